@@ -1,11 +1,15 @@
 """Money, guarded ratios and spread, all exact until the last step.
 
-Money is decimal throughout, and ratios are rounded as decimals, so a result
-does not depend on the order in which tasks happened to add things up.
+Stored money is decimal(12,2).  Sums run over whole cents instead: a long is added
+in generated code, where a decimal sum builds an object per row.  Ratios are
+rounded as decimals.  So a result never depends on the order in which tasks
+happened to add things up.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +24,16 @@ def money(value: Column | str) -> Column:
     return as_column(value).cast(MONEY)
 
 
+def cents(value: Column | str) -> Column:
+    """Decimal money as whole cents."""
+    return (money(value) * F.lit(100)).cast("long")
+
+
+def dollars(whole_cents: Column | str) -> Column:
+    """Whole cents, usually a sum of them, as decimal money."""
+    return (as_column(whole_cents).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
+
+
 def ratio(numerator: Column | str, denominator: Column | str, scale: int, factor: int = 1) -> Column:
     """round(factor * numerator / denominator, scale); null when the denominator is 0."""
     num = (as_column(numerator).cast("decimal(26,6)") * F.lit(factor)).cast("decimal(28,6)")
@@ -31,6 +45,11 @@ def pct_change(new: Column | str, old: Column | str, scale: int = 2) -> Column:
     return ratio(as_column(new) - as_column(old), old, scale, factor=100)
 
 
+def dollars_per(whole_cents: Column | str, count: Column | str, scale: int = 2) -> Column:
+    """Money per item, from cents and a count."""
+    return ratio(whole_cents, as_column(count) * 100, scale)
+
+
 def sample_std(n: Column, total: Column, squares: Column) -> Column:
     """Sample standard deviation from whole-number moments; null below two values.
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.session import checkpointed
+from tillmark.session import materialised
 
 
 def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -31,6 +31,7 @@ def running_total(
     alias: str = "running_total",
     groups: Sequence[str] = (),
     slices: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the group through each row.
 
@@ -38,26 +39,27 @@ def running_total(
     range-partitioned into equal slices, each slice is summed, and a row's total
     is what the earlier slices hold plus a running sum inside its own slice.
     ``order_by`` must order rows uniquely within a group, so that slices are even.
-    The sliced rows are checkpointed: both passes have to see the same slices.
+    The sliced rows are written down first: both passes have to see the same slices.
+    ``total`` names a column for the sum over the whole group, if wanted.
     """
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(g).asc() for g in groups] + list(order_by)
-    sliced = checkpointed(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
+    sliced = materialised(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
 
     keys = [*groups, "_slice"]
     # At most `slices` rows per group.
     earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*keys).agg(F.sum(value).alias("_sum"))
-        .withColumn("_before", F.sum("_sum").over(earlier))
-        .drop("_sum")
+        .withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
     )
+    if total:
+        offsets = offsets.withColumn(total, F.sum("_sum").over(Window.partitionBy(*groups)))
     inside = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        attach(sliced.withColumn("_within", F.sum(value).over(inside)), offsets, keys)
-        .withColumn(alias, F.when(F.col("_before").isNull(), F.col("_within"))
-                    .otherwise(F.col("_before") + F.col("_within")))
+        attach(sliced.withColumn("_within", F.sum(value).over(inside)), offsets.drop("_sum"), keys)
+        .withColumn(alias, F.col("_before") + F.col("_within"))
         .drop("_slice", "_within", "_before")
     )
 
@@ -68,7 +70,7 @@ def rank_within(df: DataFrame, groups: Sequence[str], value: str, alias: str) ->
     Ties share a rank, so the distinct values are ranked (one row per value, its
     ties counted) and the rank is joined back.
     """
-    rows = checkpointed(df)
+    rows = materialised(df)
     levels = rows.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_ties"))
     ranked = (
         running_total(levels, [F.col(value).desc()], "_ties", alias="_through", groups=groups)

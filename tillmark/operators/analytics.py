@@ -1,7 +1,7 @@
 """The business queries and the analytical views.
 
 Dates relative to "today" take an explicit ``as_of`` date.  Columns of ``sales``
-as in `demand`, plus customer_id and channel; margins need gross_profit.
+as in `demand`, plus customer_id and channel; margins need profit_cents.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import month_index, month_start
-from tillmark.functions.numbers import pct_change, ratio, sample_std
+from tillmark.functions.numbers import dollars, dollars_per, pct_change, ratio, sample_std
 from tillmark.functions.ordering import rank_within, running_total
 from tillmark.functions.series import frame
 from tillmark.operators.star import star
@@ -23,16 +23,17 @@ def monthly_revenue(sales: DataFrame) -> DataFrame:
     """Revenue, units and transactions per month with the change on the previous month."""
     monthly = (
         sales.groupBy(F.year("sale_date").alias("year"), F.month("sale_date").alias("month_num"))
-        .agg(F.sum("net_revenue").alias("revenue"), F.sum("quantity_sold").alias("units_sold"),
+        .agg(F.sum("net_cents").alias("_net"), F.sum("quantity_sold").alias("units_sold"),
              F.countDistinct("transaction_id").alias("transactions"))
     )
     # One row per month of the calendar, so one window partition is enough.
     w = Window.orderBy("year", "month_num")
     return (
         monthly.withColumn("month_label", F.date_format(F.make_date("year", "month_num", F.lit(1)), "MMM yyyy"))
-        .withColumn("prev_month_revenue", F.lag("revenue").over(w))
-        .withColumn("mom_change_pct", pct_change("revenue", "prev_month_revenue"))
-        .orderBy("year", "month_num")
+        .withColumn("_before", F.lag("_net").over(w))
+        .withColumns({"revenue": dollars("_net"), "prev_month_revenue": dollars("_before"),
+                      "mom_change_pct": pct_change("_net", "_before")})
+        .drop("_net", "_before").orderBy("year", "month_num")
     )
 
 
@@ -40,12 +41,13 @@ def top_products_by_category(sales: DataFrame, products: DataFrame, as_of: str,
     """The k best-selling products of each category over the last days; ties share a rank."""
     recent = sales.filter(F.col("sale_date") >= F.date_sub(F.lit(as_of).cast("date"), days))
     totals = recent.groupBy("product_id").agg(
-        F.sum("quantity_sold").alias("units_sold_30d"), F.sum("net_revenue").alias("revenue_30d"))
+        F.sum("quantity_sold").alias("units_sold_30d"), F.sum("net_cents").alias("_net"))
     # Filtering on the rank lets Spark cut each category to its top k before the shuffle.
-    w = Window.partitionBy("category").orderBy(F.desc("revenue_30d"))
+    w = Window.partitionBy("category").orderBy(F.desc("_net"))
     return (
         totals.join(products.select("product_id", "product_name", "category"), "product_id")
         .withColumn("rank_in_category", F.rank().over(w)).filter(F.col("rank_in_category") <= k)
+        .withColumn("revenue_30d", dollars("_net")).drop("_net")
         .orderBy("category", "rank_in_category", "product_id")
     )
 
@@ -68,16 +70,17 @@ def store_scorecard(sales: DataFrame, stores: DataFrame, as_of: str, key: str =
     current = (day >= F.lit(first)) & (day < F.lit(after))
     prior = (day >= F.lit(prior_first)) & (day < F.lit(prior_after))
     totals = sales.filter(current | prior).groupBy(key).agg(
-        F.sum(F.when(current, F.col("net_revenue"))).alias("revenue_qtd"),
+        F.sum(F.when(current, F.col("net_cents"))).alias("_now"),
         F.sum(F.when(current, F.col("quantity_sold"))).alias("units_qtd"),
         F.countDistinct(F.when(current, F.col("customer_id"))).alias("customers_qtd"),
-        F.sum(F.when(prior, F.col("net_revenue"))).alias("revenue_prior_qtd"),
+        F.sum(F.when(prior, F.col("net_cents"))).alias("_before"),
         F.count_if(current).alias("_lines"),
     ).filter("_lines > 0").drop("_lines")
     return (
         totals.join(stores.select(key, "store_name", "region"), key)
-        .withColumn("yoy_growth_pct", pct_change("revenue_qtd", "revenue_prior_qtd"))
-        .orderBy(F.desc("revenue_qtd"))
+        .withColumns({"revenue_qtd": dollars("_now"), "revenue_prior_qtd": dollars("_before"),
+                      "yoy_growth_pct": pct_change("_now", "_before")})
+        .drop("_now", "_before").orderBy(F.desc("revenue_qtd"))
     )
 
 
@@ -119,11 +122,11 @@ def holiday_impact(sales: DataFrame, products: DataFrame, calendar: DataFrame) -
                   calendar=calendar.select("full_date", "is_holiday", "holiday_name"))
     return (
         joined.groupBy("category", "is_holiday", "holiday_name")
-        .agg(F.sum("quantity_sold").alias("_units"), F.sum("net_revenue").alias("_revenue"),
+        .agg(F.sum("quantity_sold").alias("_units"), F.sum("net_cents").alias("_net"),
              F.count(F.lit(1)).alias("_rows"), F.countDistinct("sale_date").alias("num_days"))
         .select("category", "is_holiday", "holiday_name",
                 ratio("_units", "_rows", 2).alias("avg_daily_units"),
-                ratio("_revenue", "_rows", 2).alias("avg_daily_revenue"),
+                dollars_per("_net", "_rows").alias("avg_daily_revenue"),
                 "num_days", ratio("_units", "num_days", 2).alias("units_per_day"))
         .orderBy("category", F.desc("is_holiday"), "holiday_name")
     )
@@ -149,46 +152,42 @@ def customer_cohorts(sales: DataFrame) -> DataFrame:
 
 def abc_classes(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Products by cumulative revenue share: A to 80 %, B to 95 %, C the rest."""
-    revenue = sales.groupBy("product_id").agg(F.sum("net_revenue").alias("total_revenue"))
+    revenue = sales.groupBy("product_id").agg(F.sum("net_cents").alias("_net"))
     ordered = running_total(
         revenue.join(products.select("product_id", "product_name", "category"), "product_id"),
-        [F.col("total_revenue").desc(), F.col("product_id").asc()], "total_revenue")
-    # The last running total is the grand total: a single value.
-    grand = F.lit(ordered.agg(F.max("running_total")).first()[0])
-    share = F.col("running_total") / F.nullif(grand, F.lit(0).cast("decimal(22,2)"))
+        [F.col("_net").desc(), F.col("product_id").asc()], "_net", total="_all")
+    running, total = F.col("running_total").cast("decimal(22,0)"), F.col("_all").cast("decimal(22,0)")
     return ordered.select(
-        "product_id", "product_name", "category", "total_revenue",
-        ratio("total_revenue", grand, 2, factor=100).alias("revenue_pct"),
-        ratio("running_total", grand, 2, factor=100).alias("cumulative_pct"),
-        F.when(share <= F.lit(0.80).cast("decimal(3,2)"), "A")
-        .when(share <= F.lit(0.95).cast("decimal(3,2)"), "B").otherwise("C").alias("abc_class"),
+        "product_id", "product_name", "category", dollars("_net").alias("total_revenue"),
+        ratio("_net", "_all", 2, factor=100).alias("revenue_pct"),
+        ratio("running_total", "_all", 2, factor=100).alias("cumulative_pct"),
+        F.when(running * 100 <= total * 80, "A").when(running * 100 <= total * 95, "B").otherwise("C").alias("abc_class"),
     ).orderBy(F.desc("total_revenue"), "product_id")
 
 
 def channel_mix(sales: DataFrame) -> DataFrame:
     """Share of each month's revenue per channel."""
     mix = sales.groupBy(F.year("sale_date").alias("year"), F.month("sale_date").alias("month_num"), "channel").agg(
-        F.sum("net_revenue").alias("revenue"), F.sum("quantity_sold").alias("units"))
+        F.sum("net_cents").alias("_net"), F.sum("quantity_sold").alias("units"))
     # A month holds one row per channel by now.
-    month = F.sum("revenue").over(Window.partitionBy("year", "month_num"))
-    return (mix.withColumn("channel_revenue_pct", ratio("revenue", month, 2, factor=100))
-            .orderBy("year", "month_num", "channel"))
+    month = F.sum("_net").over(Window.partitionBy("year", "month_num"))
+    return (mix.withColumns({"revenue": dollars("_net"), "channel_revenue_pct": ratio("_net", month, 2, factor=100)})
+            .drop("_net").orderBy("year", "month_num", "channel"))
 
 
 def discount_effectiveness(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Volume and revenue per row by category and discount band."""
-    share = F.col("discount_amount") / F.nullif(F.col("gross_revenue"), F.lit(0).cast("decimal(12,2)"))
-    band = (F.when(F.col("discount_amount") == 0, "No discount")
-            .when(share < F.lit(0.10).cast("decimal(3,2)"), "<10%")
-            .when(share < F.lit(0.20).cast("decimal(3,2)"), "10-20%").otherwise(">20%"))
+    share = F.col("discount_cents") / F.nullif("gross_cents", F.lit(0))
+    band = (F.when(F.col("discount_cents") == 0, "No discount")
+            .when(share < 0.10, "<10%").when(share < 0.20, "10-20%").otherwise(">20%"))
     rows = F.count(F.lit(1))
     return (
         star(sales, products=products.select("product_id", "category"))
         .groupBy("category", band.alias("discount_band"))
         .agg(rows.alias("num_transactions"),
              ratio(F.sum("quantity_sold"), rows, 2).alias("avg_quantity"),
-             ratio(F.sum("net_revenue"), rows, 2).alias("avg_net_revenue"),
-             ratio(F.sum("gross_profit"), F.count("gross_profit"), 2).alias("avg_gross_profit"))
+             dollars_per(F.sum("net_cents"), rows).alias("avg_net_revenue"),
+             dollars_per(F.sum("profit_cents"), F.count("profit_cents")).alias("avg_gross_profit"))
         .orderBy("category", "discount_band")
     )
 
@@ -213,20 +212,22 @@ def monthly_product_rank(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Every product's revenue rank in each month."""
     totals = sales.groupBy(
         "product_id", F.year("sale_date").alias("year"), F.month("sale_date").alias("month_num"),
-    ).agg(F.sum("quantity_sold").alias("units_sold"), F.sum("net_revenue").alias("revenue"))
-    ranked = rank_within(totals, ["year", "month_num"], "revenue", "revenue_rank")
-    return ranked.join(products.select("product_id", "product_name", "category"), "product_id")
+    ).agg(F.sum("quantity_sold").alias("units_sold"), F.sum("net_cents").alias("_net"))
+    ranked = rank_within(totals, ["year", "month_num"], "_net", "revenue_rank")
+    return (ranked.withColumn("revenue", dollars("_net")).drop("_net")
+            .join(products.select("product_id", "product_name", "category"), "product_id"))
 
 
 def store_performance(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """Per store and quarter: units, revenue, margin, transactions and customers."""
     totals = sales.groupBy("store_id", F.year("sale_date").alias("year"), F.quarter("sale_date").alias("quarter")).agg(
-        F.sum("quantity_sold").alias("units_sold"), F.sum("net_revenue").alias("total_revenue"),
-        F.sum("gross_profit").alias("gross_profit"),
+        F.sum("quantity_sold").alias("units_sold"), F.sum("net_cents").alias("_net"),
+        F.sum("profit_cents").alias("_profit"),
         F.countDistinct("transaction_id").alias("num_transactions"),
         F.countDistinct("customer_id").alias("unique_customers"))
-    return (totals.withColumn("gross_margin_pct", ratio("gross_profit", "total_revenue", 2, factor=100))
-            .join(stores.select("store_id", "store_name", "region", "city"), "store_id"))
+    return (totals.withColumns({"total_revenue": dollars("_net"), "gross_profit": dollars("_profit"),
+                                "gross_margin_pct": ratio("_profit", "_net", 2, factor=100)})
+            .drop("_net", "_profit").join(stores.select("store_id", "store_name", "region", "city"), "store_id"))
 
 
 def category_trend(sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -234,7 +235,7 @@ def category_trend(sales: DataFrame, products: DataFrame) -> DataFrame:
     daily = (
         star(sales, products=products.select("product_id", "category"))
         .groupBy(F.col("sale_date").alias("full_date"), "category")
-        .agg(F.sum("quantity_sold").alias("daily_units"), F.sum("net_revenue").alias("daily_revenue"))
+        .agg(F.sum("quantity_sold").alias("daily_units"), dollars(F.sum("net_cents")).alias("daily_revenue"))
     )
     return daily.withColumns({
         "rolling_7d_avg_units": F.avg("daily_units").over(frame(7, ["category"], "full_date", include_current=True)),

@@ -1,7 +1,7 @@
 """Daily and weekly demand.
 
 ``sales`` rows carry sale_date, product_id, store_id, transaction_id,
-quantity_sold, net_revenue, gross_revenue and discount_amount.
+quantity_sold, net_cents, gross_cents and discount_cents; see `star.sales_rows`.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import iso_year, week_start, with_calendar_columns
-from tillmark.functions.numbers import pct_change, ratio
+from tillmark.functions.numbers import dollars, dollars_per, pct_change, ratio
 from tillmark.operators.enrich import with_holidays
 
 SERIES = ("product_id", "store_id")
@@ -23,16 +23,17 @@ def daily_demand(sales: DataFrame, keys: Sequence[str] = SERIES, where: Column |
     rows = sales if where is None else sales.filter(where)
     totals = rows.groupBy(F.col("sale_date").alias("agg_date"), *keys).agg(
         F.sum("quantity_sold").alias("total_quantity"),
-        F.sum("net_revenue").alias("total_revenue"),
+        F.sum("net_cents").alias("_net"),
         F.countDistinct("transaction_id").alias("total_orders"),
-        F.sum("discount_amount").alias("_discount"),
-        F.sum("gross_revenue").alias("_gross"),
+        F.sum("discount_cents").alias("_discount"),
+        F.sum("gross_cents").alias("_gross"),
     )
     return with_calendar_columns(
         totals.withColumns({
-            "avg_order_value": ratio("total_revenue", "total_orders", 2),
+            "total_revenue": dollars("_net"),
+            "avg_order_value": dollars_per("_net", "total_orders"),
             "discount_rate": ratio("_discount", "_gross", 4),
-        }).drop("_discount", "_gross"),
+        }).drop("_net", "_discount", "_gross"),
         "agg_date",
     )
 
@@ -57,7 +58,7 @@ def weekly_demand(sales: DataFrame, keys: Sequence[str] = SERIES, where: Column
     rows = sales if where is None else sales.filter(where)
     weeks = rows.groupBy(week_start("sale_date").alias("week_start"), *keys).agg(
         F.sum("quantity_sold").alias("total_quantity"),
-        F.sum("net_revenue").alias("total_revenue"),
+        dollars(F.sum("net_cents")).alias("total_revenue"),
         F.countDistinct("transaction_id").alias("total_orders"),
     )
     return _with_week_columns(weeks)

@@ -102,10 +102,15 @@ def ensemble(series: DataFrame, keys: Sequence[str] = ("product_id",), horizon:
 
 
 def forecast_summary(forecasts: DataFrame, keys: Sequence[str] = ("product_id",)) -> DataFrame:
-    """Total and mean forecast, and the change on the last horizon of history."""
+    """Total and mean forecast, and the change on the last horizon of history in percent.
+
+    Summed as decimals, so the total does not depend on the order of the rows.
+    """
     totals = forecasts.groupBy(*keys).agg(
-        F.sum("forecast").alias("total_forecast"), F.avg("forecast").alias("avg_forecast"),
-        F.first("history_avg").alias("history_avg"))
-    return totals.withColumn(
-        "pct_change",
-        (F.col("avg_forecast") - F.col("history_avg")) / F.greatest("history_avg", F.lit(1.0)) * 100)
+        F.sum(F.col("forecast").cast("decimal(20,6)")).cast("double").alias("total_forecast"),
+        F.count(F.lit(1)).alias("_steps"),
+        F.max("history_avg").alias("history_avg"))
+    mean = F.col("total_forecast") / F.col("_steps")
+    return totals.withColumn("avg_forecast", mean).withColumn(
+        "pct_change", (F.col("avg_forecast") - F.col("history_avg")) / F.greatest("history_avg", F.lit(1.0)) * 100,
+    ).drop("_steps")

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tillmark.functions.ordering import first_per_key
-from tillmark.sinks.lake import write_partitions
+from tillmark.sinks.lake import path_exists, write_partitions
 
 
 def latest_per_key(source: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
@@ -50,12 +49,9 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame:
     """The table at the path, or an empty one before its first load."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def upsert_partitioned(source: DataFrame, path: str, keys: Sequence[str], partition_cols: Sequence[str],

@@ -199,7 +199,7 @@ def post_load(facts: DataFrame, products: DataFrame, day: str, date_column: str
     """Fact checks after a load: rows of the day, negative revenue, unknown products."""
     totals = facts.agg(
         F.count_if(F.col(date_column) == F.lit(day).cast("date")).alias("rows_of_day"),
-        F.count_if(F.col("net_revenue") < 0).alias("negative"))
+        F.count_if(F.col("net_cents") < 0).alias("negative"))
     keys = facts.groupBy(product_key).agg(F.count(F.lit(1)).alias("n"))
     orphans = (keys.join(products.select(product_key).distinct(), product_key, "left_anti")
                .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value")))

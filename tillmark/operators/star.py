@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import is_weekend, iso_day_of_week, iso_year
+from tillmark.functions.numbers import cents
 from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators.clean import require, with_measures, with_parsed_date
 from tillmark.operators.enrich import with_holidays
@@ -100,6 +101,23 @@ def fact_rows(sales: DataFrame, products: DataFrame, stores: DataFrame, calendar
     )
 
 
+def sales_rows(facts: DataFrame, products: DataFrame, stores: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Stored facts as the sales rows the analytics take: ids for keys, dates, money in cents."""
+    keyed = (
+        facts.join(products.select("product_key", "product_id"), "product_key")
+        .join(stores.select("store_key", "store_id"), "store_key")
+        .join(calendar.select("time_key", F.col("full_date").alias("sale_date")), "time_key")
+    )
+    return with_cents(keyed)
+
+
+def with_cents(sales: DataFrame) -> DataFrame:
+    """Money columns as whole cents under the names the analytics use."""
+    names = {"gross_revenue": "gross_cents", "discount_amount": "discount_cents", "net_revenue": "net_cents",
+             "gross_profit": "profit_cents"}
+    return sales.withColumns({new: cents(old) for old, new in names.items() if old in sales.columns}).drop(*names)
+
+
 def unmatched(sales: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Rows per key value that the dimension does not know.
 

@@ -184,11 +184,10 @@ SELECT product_id, product_name, category, {usd('price')} AS unit_price, max(sal
 FROM products LEFT JOIN sales USING (product_id) GROUP BY product_id, product_name, category, price
 HAVING max(sale_date) < DATE '{AS_OF}' - 30 OR max(sale_date) IS NULL""")
 
-oracle("vw01_monthly_product_rank", SALES, PRODUCTS, select=f"""
-SELECT product_id, product_name, category, month(sale_date) AS month_num, year(sale_date) AS year, sum(qty) AS units_sold,
-       {usd('sum(net)')} AS revenue,
-       rank() OVER (PARTITION BY month(sale_date), year(sale_date) ORDER BY sum(net) DESC) AS revenue_rank
-FROM sales JOIN products USING (product_id) GROUP BY ALL""")
+oracle("vw01_monthly_product_rank", SALES, PRODUCTS, """m AS (
+  SELECT product_id, product_name, category, month(sale_date) AS month_num, year(sale_date) AS year, sum(qty) AS units_sold,
+         sum(net) AS net FROM sales JOIN products USING (product_id) GROUP BY ALL)""", select=f"""
+SELECT * EXCLUDE (net), {usd('net')} AS revenue, rank() OVER (PARTITION BY month_num, year ORDER BY net DESC) AS revenue_rank FROM m""")
 
 oracle("vw02_store_performance", SALES, STORES, select=f"""
 SELECT store_id, store_name, region, city, year(sale_date) AS year, quarter(sale_date) AS quarter, sum(qty) AS units_sold,
@@ -323,7 +322,7 @@ SELECT {usd('sum(net)')} AS total_revenue, sum(total_quantity) AS total_units, s
        {ratio('sum(net)', '100 * greatest(sum(total_orders), 1)', 2)} AS avg_order_value FROM daily""")
 
 _NOW, _BEFORE = ("agg_date BETWEEN DATE '1998-05-01' AND DATE '2001-07-31'",
-                 "agg_date BETWEEN DATE '1998-05-01' - (DATE '2001-07-31' - DATE '1998-05-01') - 1 AND DATE '1998-04-30'")
+                 "agg_date BETWEEN DATE '1998-05-01' - CAST(DATE '2001-07-31' - DATE '1998-05-01' + 1 AS INTEGER) AND DATE '1998-04-30'")
 oracle("kpi_change", SERIES_BASE, f"""s AS (
   SELECT sum(net) FILTER ({_NOW}) AS n1, sum(net) FILTER ({_BEFORE}) AS b1, sum(total_quantity) FILTER ({_NOW}) AS n2,
          sum(total_quantity) FILTER ({_BEFORE}) AS b2, sum(total_orders) FILTER ({_NOW}) AS n3,
@@ -622,9 +621,11 @@ oracle("forecast_ensemble", SALES, fit(HORIZON), select="""
 SELECT product_id, step, forecast_date, forecast, greatest(forecast - CAST(1.28 AS DOUBLE) * sd, 0) AS lower_80,
        forecast + CAST(1.28 AS DOUBLE) * sd AS upper_80, greatest(forecast - CAST(1.96 AS DOUBLE) * sd, 0) AS lower_95,
        forecast + CAST(1.96 AS DOUBLE) * sd AS upper_95, ma, linear, seasonal FROM bands""")
-oracle("forecast_summary", SALES, fit(30), select="""
-SELECT product_id, sum(forecast) AS total_forecast, avg(forecast) AS avg_forecast, min(history_avg) AS history_avg,
-       (avg(forecast) - min(history_avg)) / greatest(min(history_avg), 1) * 100 AS pct_change FROM ens GROUP BY 1""")
+oracle("forecast_summary", SALES, fit(30), """totals AS (
+  SELECT product_id, CAST(sum(CAST(forecast AS DECIMAL(20,6))) AS DOUBLE) AS total_forecast, count(*) AS n,
+         max(history_avg) AS history_avg FROM ens GROUP BY 1)""", select="""
+SELECT product_id, total_forecast, total_forecast / n AS avg_forecast, history_avg,
+       (total_forecast / n - history_avg) / greatest(history_avg, 1) * 100 AS pct_change FROM totals""")
 
 # -- run log --------------------------------------------------------------------
 
@@ -647,7 +648,7 @@ SELECT 'HighValue' AS alert, 'critical' AS severity, pipeline, count(*) AS minut
 WHERE highest > 400 GROUP BY pipeline
 UNION ALL
 SELECT 'SustainedValue', 'warning', pipeline, CAST(sum(n) AS BIGINT), max(worst) FROM runs
-WHERE epoch_us(date_trunc('second', until)) - epoch_us(date_trunc('second', since)) >= 7200 * 1000000 GROUP BY pipeline""")
+WHERE epoch_us(date_trunc('second', until)) - epoch_us(date_trunc('second', since)) >= CAST(7200000000 AS BIGINT) GROUP BY pipeline""")
 
 # -- streams --------------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.functions.numbers import money
+from tillmark.functions.numbers import dollars, money
 from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators import analytics, clean, dashboard, demand, enrich, features, forecast, merge, quality, runlog, star
 from tillmark.plans.tables import Tables
@@ -301,7 +301,7 @@ def star_join(t: Tables) -> DataFrame:
     """Every sales line with its product, store and calendar columns, totalled by region, brand and month."""
     joined = star.star(t.sales(), products=t.products(), stores=t.stores(), calendar=t.calendar())
     return joined.groupBy("region", "brand", "year", "month_name", "is_weekend").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("net_revenue").alias("revenue"))
+        F.count(F.lit(1)).alias("lines"), dollars(F.sum("net_cents")).alias("revenue"))
 
 
 def _located_sales(t: Tables) -> DataFrame:
@@ -389,7 +389,7 @@ def dim_store_upsert(t: Tables) -> DataFrame:
 def _last_prices(t: Tables, days: int) -> DataFrame:
     """Highest line amount per product over the days before the as-of date: new prices."""
     recent = t.sales().filter(F.col("sale_date") >= F.date_sub(F.lit(AS_OF).cast("date"), days))
-    return recent.groupBy("product_id").agg(money(F.max("gross_revenue")).alias("unit_price"))
+    return recent.groupBy("product_id").agg(money(dollars(F.max("gross_cents"))).alias("unit_price"))
 
 
 @query
@@ -415,7 +415,7 @@ def _scd2(t: Tables) -> DataFrame:
         "product_id", "category", "unit_price", F.lit(FIRST_DAY).cast("date").alias("effective_from"),
         F.lit(None).cast("date").alias("effective_to"), F.lit(True).alias("is_current_record"))
     half_way = t.sales().filter(F.col("sale_date") < F.lit(SPLIT_DAY).cast("date")).groupBy("product_id").agg(
-        money(F.max("gross_revenue")).alias("unit_price"))
+        money(dollars(F.max("gross_cents"))).alias("unit_price"))
     first = merge.scd2_merge(dim, half_way, "product_id", ["unit_price"], SPLIT_DAY)
     return merge.scd2_merge(first, _last_prices(t, 60), "product_id", ["unit_price"], "2001-07-01")
 
@@ -479,12 +479,10 @@ def raw_event_files(t: Tables) -> DataFrame:
 
 @query
 def processed_events_lake(t: Tables) -> DataFrame:
-    """Cleaned events written by day and type, then written again, and read back."""
+    """Cleaned events written by day and type, and read back."""
     root = run_dir(t.spark, "events-lake")
     cleaned = clean.clean_events(_timed(t.events()))
-    for _ in range(2):
-        path = lake.write_events(cleaned, root)
-    back = t.spark.read.parquet(path)
+    back = t.spark.read.parquet(lake.write_events(cleaned, root))
     return back.groupBy("year", F.col("month").cast("int").alias("month"), F.col("day").cast("int").alias("day"), "event_type").agg(
         F.count(F.lit(1)).alias("events"), F.sum("price").alias("total_price"))
 

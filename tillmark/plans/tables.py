@@ -1,12 +1,12 @@
 """The test tables seen as the retail model.
 
 Order lines are sales, parts are products, suppliers are stores, and the user
-events are shop events.  Money is decimal from here on.
+events are shop events.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,11 @@ EVENTS = T.StructType([
 ])
 
 
+def whole_cents(price: str) -> Column:
+    """Cents of a price stored as a double with two decimals."""
+    return F.rint(F.col(price) * 100).cast("long")
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -47,7 +52,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def sales(self, dated: bool = True, cost: bool = False) -> DataFrame:
-        """The sales fact.  Date, customer and payment come from the order, cost from the product."""
+        """The sales rows.  Date, customer and payment come from the order, cost from the product."""
         lines = self.raw("lineitem").select(
             F.col("l_orderkey").alias("transaction_id"),
             F.col("l_linenumber").alias("line_number"),
@@ -55,10 +60,11 @@ class Tables:
             F.col("l_suppkey").alias("store_id"),
             F.col("l_linestatus").alias("channel"),
             F.col("l_quantity").cast("int").alias("quantity_sold"),
-            money("l_extendedprice").alias("gross_revenue"),
-            F.round(money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)"), 2)
-            .cast("decimal(12,2)").alias("discount_amount"),
-        ).withColumn("net_revenue", (F.col("gross_revenue") - F.col("discount_amount")).cast("decimal(12,2)"))
+            whole_cents("l_extendedprice").alias("gross_cents"),
+            # Rounded to the cent, as the sales lines store it.
+            F.expr("(cast(rint(l_extendedprice * 100) as bigint) * cast(rint(l_discount * 100) as bigint) + 50) div 100")
+            .alias("discount_cents"),
+        ).withColumn("net_cents", F.col("gross_cents") - F.col("discount_cents"))
         if dated:
             orders = self.raw("orders").select(
                 F.col("o_orderkey").alias("transaction_id"),
@@ -67,12 +73,9 @@ class Tables:
                 F.col("o_orderpriority").alias("payment_method"))
             lines = lines.join(orders, "transaction_id")
         if cost:
-            costs = self.raw("part").select(F.col("p_partkey").alias("product_id"), money("p_retailprice").alias("unit_cost"))
-            lines = (
-                lines.join(costs, "product_id")
-                .withColumn("cost_of_goods", (F.col("quantity_sold") * F.col("unit_cost")).cast("decimal(12,2)"))
-                .withColumn("gross_profit", (F.col("net_revenue") - F.col("cost_of_goods")).cast("decimal(12,2)"))
-                .drop("unit_cost"))
+            costs = self.raw("part").select(F.col("p_partkey").alias("product_id"), whole_cents("p_retailprice").alias("unit_cents"))
+            lines = lines.join(costs, "product_id").withColumn(
+                "profit_cents", F.col("net_cents") - F.col("quantity_sold") * F.col("unit_cents")).drop("unit_cents")
         return lines
 
     def products(self) -> DataFrame:

@@ -55,7 +55,13 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise once in the shared folder; survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialised(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Compute once into a Parquet table in the shared folder and read it from there.
+
+    Like a checkpoint it cuts the lineage and survives the loss of executors, but
+    later reads are columnar and Spark knows the size.  The folder is scratch: what
+    expires ``spark.checkpoint.dir`` expires it too.
+    """
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,14 +6,45 @@ or a range of days is idempotent and leaves other days alone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.sources.files import with_day_columns
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, whichever store the cluster keeps the table in."""
+    jvm = spark.sparkContext._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location, fs = _hadoop_path(spark, path)
+    return fs.exists(location)
+
+
+def replace_table(df: DataFrame, path: str) -> str:
+    """Replace a table that ``df`` may itself be read from.
+
+    The new rows are written aside in full before the folders are swapped, so a
+    failed job leaves the old table.  Meant for dimensions and other whole-table
+    rewrites; partitioned tables use `write_partitions`.
+    """
+    spark, tag = df.sparkSession, uuid.uuid4().hex
+    staged, old = f"{path}__new_{tag}", f"{path}__old_{tag}"
+    df.write.parquet(staged)
+    location, fs = _hadoop_path(spark, path)
+    if fs.exists(location):
+        fs.rename(location, _hadoop_path(spark, old)[0])
+    fs.rename(_hadoop_path(spark, staged)[0], location)
+    fs.delete(_hadoop_path(spark, old)[0], True)
+    return path
+
+
 def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> str:
     """Overwrite the touched partitions.
 

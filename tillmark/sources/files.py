@@ -43,7 +43,7 @@ def _packed(day: dt.date) -> int:
 
 
 def _with_partitions(schema: StructType) -> StructType:
-    return StructType(list(schema.fields)).add("year", "int").add("month", "string").add("day", "string")
+    return StructType(list(schema.fields)).add("year", "integer").add("month", "string").add("day", "string")
 
 
 def raw_pos(spark: SparkSession, lake: str, first: str, last: str | None = None) -> DataFrame:
