@@ -154,10 +154,10 @@ def abc_classes(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Products by cumulative revenue share: A to 80 %, B to 95 %, C the rest."""
     revenue = sales.groupBy("product_id").agg(F.sum("net_cents").alias("_net"))
     ordered = running_total(
-        revenue.join(products.select("product_id", "product_name", "category"), "product_id"),
+        revenue.join(products.select("product_id"), "product_id", "left_semi"),
         [F.col("_net").desc(), F.col("product_id").asc()], "_net", total="_all")
     running, total = F.col("running_total").cast("decimal(22,0)"), F.col("_all").cast("decimal(22,0)")
-    return ordered.select(
+    return ordered.join(products.select("product_id", "product_name", "category"), "product_id").select(
         "product_id", "product_name", "category", dollars("_net").alias("total_revenue"),
         ratio("_net", "_all", 2, factor=100).alias("revenue_pct"),
         ratio("running_total", "_all", 2, factor=100).alias("cumulative_pct"),
@@ -180,14 +180,16 @@ def discount_effectiveness(sales: DataFrame, products: DataFrame) -> DataFrame:
     share = F.col("discount_cents") / F.nullif("gross_cents", F.lit(0))
     band = (F.when(F.col("discount_cents") == 0, "No discount")
             .when(share < 0.10, "<10%").when(share < 0.20, "10-20%").otherwise(">20%"))
-    rows = F.count(F.lit(1))
+    # Four rows per product at most are left when the category is joined.
+    per_product = sales.groupBy("product_id", band.alias("discount_band")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("quantity_sold").alias("_units"), F.sum("net_cents").alias("_net"),
+        F.sum("profit_cents").alias("_profit"), F.count("profit_cents").alias("_with_profit"))
     return (
-        star(sales, products=products.select("product_id", "category"))
-        .groupBy("category", band.alias("discount_band"))
-        .agg(rows.alias("num_transactions"),
-             ratio(F.sum("quantity_sold"), rows, 2).alias("avg_quantity"),
-             dollars_per(F.sum("net_cents"), rows).alias("avg_net_revenue"),
-             dollars_per(F.sum("profit_cents"), F.count("profit_cents")).alias("avg_gross_profit"))
+        per_product.join(products.select("product_id", "category"), "product_id").groupBy("category", "discount_band")
+        .agg(F.sum("_rows").alias("num_transactions"),
+             ratio(F.sum("_units"), F.sum("_rows"), 2).alias("avg_quantity"),
+             dollars_per(F.sum("_net"), F.sum("_rows")).alias("avg_net_revenue"),
+             dollars_per(F.sum("_profit"), F.sum("_with_profit")).alias("avg_gross_profit"))
         .orderBy("category", "discount_band")
     )
 

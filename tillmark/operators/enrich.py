@@ -1,8 +1,8 @@
 """Joins that add context to sales and events.
 
-None of them carries a broadcast hint: Spark broadcasts a lookup when its size is
-known to be under the configured threshold and otherwise shuffles, splitting hot
-keys at run time.
+Lookups carry no broadcast hint unless the calendar bounds them: Spark broadcasts
+one when its size is known to be under the configured threshold and otherwise
+shuffles, splitting hot keys at run time.
 """
 
 from __future__ import annotations
@@ -45,10 +45,10 @@ def holiday_flag(df: DataFrame, holidays: DataFrame, day: str) -> DataFrame:
 
 
 def with_mean_weather(daily: DataFrame, weather: DataFrame, day: str) -> DataFrame:
-    """Mean weather over all states on the day."""
+    """Mean weather over all states on the day: one row per day, so safe to broadcast."""
     means = weather.groupBy(F.col("weather_date").alias("_day")).agg(
         F.avg("temp_high_f").alias("temp_high_f"), F.avg("precipitation_in").alias("precipitation_in"))
-    return daily.join(means, daily[day] == means["_day"], "left").drop("_day")
+    return daily.join(F.broadcast(means), daily[day] == means["_day"], "left").drop("_day")
 
 
 def with_product(events: DataFrame, products: DataFrame) -> DataFrame:

@@ -165,6 +165,21 @@ def report(results: DataFrame) -> DataFrame:
         (F.count_if(F.col("status") == "FAIL") == 0).alias("passed"))
 
 
+def _verdicts() -> list[tuple[str, Column, float]]:
+    """The gate's rules over the counts n, null_ids, bad_qty and n_dupes.
+
+    On empty input the shares are unknown, which does not pass.
+    """
+    n = F.nullif("n", F.lit(0))
+    rules = [
+        ("row_count_ok", F.col("n") > 100, 0.0),
+        ("txn_id_no_nulls", F.col("null_ids") / n == 0, 0.0),
+        ("quantity_positive", F.col("bad_qty") / n < 0.01, 0.01),
+        ("duplicate_txns", F.col("n_dupes") / n < 0.02, 0.02),
+    ]
+    return [(name, F.coalesce(ok, F.lit(False)), limit) for name, ok, limit in rules]
+
+
 def preload_gate(df: DataFrame) -> DataFrame:
     """The four checks raw sales must pass before loading, and their joint verdict."""
     rows = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("transaction_id").isNull()).alias("null_ids"),
@@ -173,22 +188,29 @@ def preload_gate(df: DataFrame) -> DataFrame:
     # Two one-row results folded into one.
     names = ["n", "null_ids", "bad_qty", "n_dupes"]
     both = rows.unionByName(dupes, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in names])
-    n = F.nullif("n", F.lit(0))
-    verdicts = [
-        ("row_count_ok", F.col("n") > 100, 0.0),
-        ("txn_id_no_nulls", F.col("null_ids") / n == 0, 0.0),
-        ("quantity_positive", F.col("bad_qty") / n < 0.01, 0.01),
-        ("duplicate_txns", F.col("n_dupes") / n < 0.02, 0.02),
-    ]
-    # On empty input the shares are unknown, which does not pass.
-    verdicts = [(name, F.coalesce(ok, F.lit(False)), limit) for name, ok, limit in verdicts]
-    everything = reduce(lambda a, b: a & b, [ok for _, ok, _ in verdicts])
+    everything = reduce(lambda a, b: a & b, [ok for _, ok, _ in _verdicts()])
     listed = F.array(*[
         F.struct(F.lit(name).alias("check_name"), F.when(ok, "PASS").otherwise("FAIL").alias("status"),
-                 F.lit(limit).alias("threshold"), everything.alias("gate_open")) for name, ok, limit in verdicts])
+                 F.lit(limit).alias("threshold"), everything.alias("gate_open")) for name, ok, limit in _verdicts()])
     return both.select(F.explode(listed).alias("r")).select("r.*")
 
 
+def preload_gate_by_day(df: DataFrame, day: str) -> DataFrame:
+    """The gate for every day at once: one row per day with its verdicts.
+
+    Rows are counted per day and transaction first, so neither a hot day nor a hot
+    transaction id meets a single task.
+    """
+    ids = df.groupBy(day, "transaction_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("quantity") <= 0).alias("bad"))
+    days = ids.groupBy(day).agg(
+        F.sum("rows").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("transaction_id").isNull(), F.col("rows"))), F.lit(0)).alias("null_ids"),
+        F.sum("bad").alias("bad_qty"), (F.sum("rows") - F.count(F.lit(1))).alias("n_dupes"))
+    everything = reduce(lambda a, b: a & b, [ok for _, ok, _ in _verdicts()])
+    return days.select(day, "n", *[ok.alias(name) for name, ok, _ in _verdicts()], everything.alias("gate_open"))
+
+
 def gate_open(df: DataFrame) -> bool:
     """Whether loading may go on."""
     return df.filter("not gate_open").isEmpty()

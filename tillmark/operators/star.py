@@ -101,13 +101,15 @@ def fact_rows(sales: DataFrame, products: DataFrame, stores: DataFrame, calendar
     )
 
 
-def sales_rows(facts: DataFrame, products: DataFrame, stores: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Stored facts as the sales rows the analytics take: ids for keys, dates, money in cents."""
-    keyed = (
-        facts.join(products.select("product_key", "product_id"), "product_key")
-        .join(stores.select("store_key", "store_id"), "store_key")
-        .join(calendar.select("time_key", F.col("full_date").alias("sale_date")), "time_key")
-    )
+def sales_rows(facts: DataFrame, products: DataFrame, stores: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """Stored facts as the sales rows the analytics take: ids for keys, dates, money in cents.
+
+    The calendar is needed only where the facts do not store their sale date.
+    """
+    keyed = (facts.join(products.select("product_key", "product_id"), "product_key")
+             .join(stores.select("store_key", "store_id"), "store_key"))
+    if calendar is not None:
+        keyed = keyed.join(calendar.select("time_key", F.col("full_date").alias("sale_date")), "time_key")
     return with_cents(keyed)
 
 

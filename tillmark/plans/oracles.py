@@ -570,6 +570,12 @@ v AS (SELECT n > 100 AS a, nulls = 0 AND n > 0 AS b, CAST(bad AS DOUBLE) / n < 0
            f"a AND b AND c AND d AS gate_open FROM v"
            for n, c, t in [("row_count_ok", "a", 0), ("txn_id_no_nulls", "b", 0), ("quantity_positive", "c", 0.01),
                            ("duplicate_txns", "d", 0.02)]))
+oracle("dq_preload_gate_by_day", RAW_POS, """g AS (
+  SELECT transaction_date, count(*) AS n, count(*) FILTER (transaction_id IS NULL) AS nulls, count(*) FILTER (quantity <= 0) AS bad,
+         count(*) - count(DISTINCT transaction_id) AS dup FROM raw_pos GROUP BY 1),
+v AS (SELECT transaction_date, n, n > 100 AS row_count_ok, nulls = 0 AS txn_id_no_nulls,
+             CAST(bad AS DOUBLE) / n < 0.01 AS quantity_positive, CAST(dup AS DOUBLE) / n < 0.02 AS duplicate_txns FROM g)""",
+       select="SELECT *, row_count_ok AND txn_id_no_nulls AND quantity_positive AND duplicate_txns AS gate_open FROM v")
 oracle("dq_postload", SALES, """v AS (
   SELECT count(*) FILTER (sale_date = DATE '2001-07-31') AS a, count(*) FILTER (net < 0) AS b,
          count(*) FILTER (p_partkey IS NULL) AS c

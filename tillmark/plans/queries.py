@@ -515,6 +515,11 @@ def dq_preload_gate(t: Tables) -> DataFrame:
     return quality.preload_gate(t.raw_pos())
 
 
+@query
+def dq_preload_gate_by_day(t: Tables) -> DataFrame:
+    return quality.preload_gate_by_day(t.raw_pos(), "transaction_date")
+
+
 @query
 def dq_postload(t: Tables) -> DataFrame:
     return quality.post_load(t.sales(), t.products().filter("category <> 'PROMO'"), "2001-07-31")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmark.functions.joins import lookup
 from tillmark.functions.numbers import money
 from tillmark.operators.star import calendar_dim
 
@@ -29,14 +30,27 @@ FIXED_HOLIDAYS = [
 # Shop event types the test tables' events stand for; others are unknown to the shop.
 EVENT_TYPE_OF = {"view": "product_view", "click": "add_to_cart", "purchase": "purchase", "error": "wishlist_add"}
 
-EVENTS = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
+_LONG, _INT, _DOUBLE, _TEXT, _TIME = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+
+# Known schemas: without them every read starts with a job that looks one up.
+SCHEMAS = {
+    "region": [("r_regionkey", _INT), ("r_name", _TEXT)],
+    "nation": [("n_nationkey", _INT), ("n_name", _TEXT), ("n_regionkey", _INT)],
+    "supplier": [("s_suppkey", _LONG), ("s_name", _TEXT), ("s_nationkey", _INT), ("s_acctbal", _DOUBLE)],
+    "part": [("p_partkey", _LONG), ("p_name", _TEXT), ("p_brand", _TEXT), ("p_type", _TEXT), ("p_size", _INT),
+             ("p_retailprice", _DOUBLE)],
+    "orders": [("o_orderkey", _LONG), ("o_custkey", _LONG), ("o_orderstatus", _TEXT), ("o_totalprice", _DOUBLE),
+               ("o_orderdate", _TIME), ("o_orderpriority", _TEXT)],
+    "lineitem": [("l_orderkey", _LONG), ("l_partkey", _LONG), ("l_suppkey", _LONG), ("l_linenumber", _INT),
+                 ("l_quantity", _DOUBLE), ("l_extendedprice", _DOUBLE), ("l_discount", _DOUBLE), ("l_tax", _DOUBLE),
+                 ("l_returnflag", _TEXT), ("l_linestatus", _TEXT), ("l_shipdate", _TIME)],
+    "events": [("event_id", _LONG), ("ts", _TIME), ("user_id", _LONG), ("event_type", _TEXT), ("value", _DOUBLE),
+               ("props", _TEXT)],
+}
+
+
+def schema_of(name: str) -> T.StructType:
+    return T.StructType([T.StructField(column, kind) for column, kind in SCHEMAS[name]])
 
 
 def whole_cents(price: str) -> Column:
@@ -49,7 +63,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(schema_of(name)).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def sales(self, dated: bool = True, cost: bool = False) -> DataFrame:
         """The sales rows.  Date, customer and payment come from the order, cost from the product."""
@@ -85,10 +99,12 @@ class Tables:
             money("p_retailprice").alias("unit_price"), F.lit(True).alias("is_active"))
 
     def stores(self) -> DataFrame:
+        """Suppliers with nation and region: one row per supplier, so as small as that table."""
+        suppliers = self.raw("supplier")
         nations = self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return self.raw("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        return lookup(suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
             F.col("s_suppkey").alias("store_id"), F.col("s_name").alias("store_name"), F.col("n_name").alias("city"),
-            F.col("n_name").alias("state"), F.col("r_name").alias("region"))
+            F.col("n_name").alias("state"), F.col("r_name").alias("region")), as_small_as=suppliers)
 
     def order_span(self) -> DataFrame:
         """First and last order day."""
@@ -100,8 +116,9 @@ class Tables:
         years = self.raw("orders").select(F.year("o_orderdate").alias("y")).distinct()
         listed = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("holiday_name"))
                            for m, d, n in FIXED_HOLIDAYS])
-        return years.select("y", F.explode(listed).alias("h")).select(
-            F.make_date("y", "h.m", "h.d").alias("holiday_date"), "h.holiday_name", F.lit(True).alias("is_holiday"))
+        # Nine rows a year, which Spark cannot know from the size of the orders.
+        return F.broadcast(years.select("y", F.explode(listed).alias("h")).select(
+            F.make_date("y", "h.m", "h.d").alias("holiday_date"), "h.holiday_name", F.lit(True).alias("is_holiday")))
 
     def calendar(self) -> DataFrame:
         return calendar_dim(self.order_span(), self.holidays())
@@ -163,7 +180,7 @@ class Tables:
     def event_stream(self) -> DataFrame:
         """The events table as a stream."""
         return self._shop_events(
-            self.spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(self.sf_dir))
+            self.spark.readStream.schema(schema_of("events")).option("pathGlobFilter", "events.parquet").parquet(self.sf_dir))
 
     @staticmethod
     def as_json(events: DataFrame) -> DataFrame:

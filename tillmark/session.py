@@ -18,6 +18,9 @@ JOB_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Rewriting a day replaces that day's partitions only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Keeps streaming state off the heap and checkpoints its changes only.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Sessions of one user are merged on the map side before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

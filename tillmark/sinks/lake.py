@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.schemas import CHECK_LOG
 from tillmark.sources.files import with_day_columns
 
 
@@ -106,9 +107,12 @@ def export_by_run_date(df: DataFrame, lake: str, run_date: str) -> str:
     return path
 
 
-def append_check_log(results: DataFrame, root: str, run_id: str) -> str:
-    """Add check results to the log, one partition per run, so a retried run does not log twice."""
+def append_check_log(results: DataFrame, root: str, run_id: str, phase: str) -> str:
+    """Add check results to the log, one partition per run and phase, so a retried run does not log twice."""
     path = f"{root}/dq_check_log"
-    (results.withColumns({"pipeline_run_id": F.lit(run_id), "run_timestamp": F.current_timestamp()})
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pipeline_run_id").parquet(path))
+    columns = [F.col(f.name) if f.name in results.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in CHECK_LOG]
+    (results.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, CHECK_LOG)])
+     .withColumns({"pipeline_run_id": F.lit(run_id), "check_type": F.lit(phase), "run_timestamp": F.current_timestamp()})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("pipeline_run_id", "check_type").parquet(path))
     return path

@@ -47,12 +47,16 @@ def _with_partitions(schema: StructType) -> StructType:
 
 
 def raw_pos(spark: SparkSession, lake: str, first: str, last: str | None = None) -> DataFrame:
-    """Raw sales lines of a day (or an inclusive range): empty text is null, NaN is read as such."""
+    """Raw sales lines of a day (or an inclusive range): empty text is null, NaN is read as such.
+
+    ``source_day`` is the day the rows were delivered for.
+    """
     return (
         spark.read.schema(_with_partitions(RAW_POS))
         .option("header", True).option("nullValue", "").option("nanValue", "NaN")
         .csv(f"{lake}/raw/pos")
         .filter(days_between(first, last or first))
+        .withColumn("source_day", F.make_date("year", F.col("month").cast("int"), F.col("day").cast("int")))
         .drop("year", "month", "day")
     )
 

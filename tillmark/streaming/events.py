@@ -12,8 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from tillmark.functions.dates import parse_event_time
 from tillmark.functions.ordering import first_per_key
@@ -26,10 +26,14 @@ CORRUPT = "_corrupt"
 
 
 def parsed(raw: DataFrame) -> DataFrame:
-    """The raw ``value`` text next to its event fields; unreadable text gives no fields."""
-    schema = StructType(list(RAW_EVENT.fields)).add(CORRUPT, "string")
+    """The raw ``value`` text next to its event fields; unreadable text gives no fields.
+
+    `inline` makes the fields columns after a single parse; as plain struct fields
+    each use of one would parse the text again.
+    """
+    schema = T.StructType([*RAW_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
     event = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    return raw.withColumn("_e", event).select(*raw.columns, "_e.*")
+    return raw.select(*raw.columns, F.inline(F.array(event)))
 
 
 def reject_reason(event_types: Sequence[str] = tuple(EVENT_TYPES)) -> Column:
