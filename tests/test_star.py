@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillmark.operators import enrich, merge, star
+
+
+def test_calendar(spark):
+    bounds = spark.sql("select date'2020-01-01' first_day, date'2030-12-31' last_day")
+    holidays = spark.sql("select date'2023-07-04' holiday_date, 'Independence Day' holiday_name")
+    calendar = star.calendar_dim(bounds, holidays, fiscal_start_month=10).cache()
+    span = calendar.agg(F.min("full_date"), F.max("full_date"), F.count("*"), F.countDistinct("time_key")).first()
+    assert (span[1] - span[0]).days + 1 == span[2] == span[3] == 4018
+    days = {str(r["full_date"]): r for r in calendar.filter("year = 2023").collect()}
+    assert len(days) == 365
+    first, fourth, end = days["2023-01-01"], days["2023-07-04"], days["2023-02-28"]
+    assert (first["day_of_week"], first["day_name"], first["week_of_year"], first["iso_year"]) == (7, "Sunday", 52, 2022)
+    assert first["is_month_start"] and first["is_weekend"] and end["is_month_end"] and not first["is_month_end"]
+    assert fourth["is_holiday"] and fourth["holiday_name"] == "Independence Day" and not first["is_holiday"]
+    assert (days["2023-10-01"]["fiscal_year"], days["2023-10-01"]["fiscal_quarter"]) == (2024, 1)
+    assert (days["2023-09-30"]["fiscal_year"], days["2023-09-30"]["fiscal_quarter"]) == (2023, 4)
+
+
+DIM = "product_id string, product_name string, category string, brand string, unit_price double, product_key bigint"
+LINES = "product_id string, product_name string, category string, brand string, unit_price double, transaction_date string"
+
+
+def test_upsert_keeps_the_surrogate_key(spark):
+    dim = spark.createDataFrame([], DIM)
+    for price in (9.99, 12.99):
+        lines = spark.createDataFrame([("TEST_001", "Test", "c", "b", price, "2023-01-01"), (None, "x", "c", "b", 1.0, "2023-01-01")], LINES)
+        dim = star.upsert_products(dim, lines, ["transaction_date"])
+        assert [(r["product_id"], r["product_key"], r["unit_price"]) for r in dim.collect()] == [("TEST_001", 1, price)]
+
+
+def test_new_keys_follow_the_highest(spark):
+    dim = spark.createDataFrame([("b", "n", "c", "b", 1.0, 41)], DIM)
+    lines = spark.createDataFrame([(p, None, "c", "b", 2.0, "2023-01-01") for p in "cab"], LINES)
+    found = {r["product_id"]: r for r in star.upsert_products(dim, lines, ["transaction_date"]).collect()}
+    assert {k: r["product_key"] for k, r in found.items()} == {"a": 42, "b": 41, "c": 43}
+    assert found["b"]["product_name"] is None  # missing text stays missing
+
+
+def test_store_upsert_changes_name_and_city_only(spark):
+    schema = "store_id string, store_name string, city string, state string, region string"
+    dim = spark.createDataFrame([("s", "old", "old", "old", "old", 1)], schema + ", store_key bigint")
+    seen = spark.createDataFrame([("s", "new", "new", "new", "new", "2023-01-01")], schema + ", transaction_date string")
+    assert tuple(star.upsert_stores(dim, seen, ["transaction_date"]).first()) == ("s", "new", "new", "old", "old", 1)
+
+
+def test_facts_need_all_three_keys(spark, rows):
+    lines = spark.createDataFrame(
+        [("t1", "2023-01-01", "P", "S", 3, 9.99, 0.333), ("t1", "2023-01-01", "P", "S", 3, 9.99, 0.333),
+         ("t2", "2023-01-01", "?", "S", 1, 1.0, None), ("t3", "1999-01-01", "P", "S", 1, 1.0, None), ("t4", "bad", "P", "S", 1, 1.0, None)],
+        "transaction_id string, transaction_date string, product_id string, store_id string, quantity int, unit_price double, discount double"
+    ).withColumns({"customer_id": F.lit("c"), "payment_method": F.lit("Cash")})
+    products = spark.createDataFrame([("P", 7)], "product_id string, product_key bigint")
+    stores = spark.createDataFrame([("S", 8)], "store_id string, store_key bigint")
+    calendar = spark.sql("select date'2023-01-01' full_date, 9 time_key")
+    facts = star.fact_rows(lines, products, stores, calendar, batch_id="b")
+    assert rows(facts, "time_key", "product_key", "store_key", "transaction_id", "gross_revenue", "discount_amount", "net_revenue") == [
+        (9, 7, 8, "t1", Decimal("29.97"), Decimal("9.98"), Decimal("19.99"))]
+    assert rows(star.unmatched(lines, products, "product_id"), "product_id", "rows") == [("?", 1)]
+    sales = star.sales_rows(facts, products, stores, calendar).first()
+    assert (sales["net_cents"], sales["product_id"], str(sales["sale_date"])) == (1999, "P", "2023-01-01")
+
+
+def test_merge_updates_inserts_and_keeps(spark, rows):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, w string")
+    source = spark.createDataFrame([(2, None, "z"), (3, "c", "q")], "k int, v string, w string")
+    assert rows(merge.merge_upsert(target, source, ["k"]), "k", "v", "w") == [(1, "a", "x"), (2, None, "z"), (3, "c", "q")]
+    assert rows(merge.merge_upsert(target, source, ["k"], ["w"]), "k", "v", "w") == [(1, "a", "x"), (2, "b", "z"), (3, "c", "q")]
+    assert rows(merge.merge_upsert(target, source.drop("w"), ["k"]), "k", "v", "w") == [(1, "a", "x"), (2, None, "y"), (3, "c", None)]
+    assert rows(merge.insert_ignore(target, source, ["k"]), "k") == [(3,)]
+
+
+def test_latest_source_row_wins(spark, rows):
+    t = [dt.datetime(2023, 1, 1, h) for h in (1, 2)]
+    source = spark.createDataFrame([(1, "old", t[0]), (1, "new", t[1])], "k int, v string, at timestamp")
+    assert rows(merge.latest_per_key(source, ["k"], "at"), "k", "v") == [(1, "new")]
+
+
+def test_partitioned_upsert_touches_its_partitions_only(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "d string, k int, v int"
+    merge.upsert_partitioned(spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], schema), path, ["d", "k"], ["d"])
+    before = {p.name for p in (tmp_path / "t" / "d=a").iterdir()}
+    update = spark.createDataFrame([("b", 1, 20), ("b", 2, 30), ("c", 1, 40)], schema)
+    for _ in range(2):
+        merge.upsert_partitioned(update, path, ["d", "k"], ["d"])
+        assert rows(spark.read.parquet(path), "d", "k", "v") == [("a", 1, 1), ("b", 1, 20), ("b", 2, 30), ("c", 1, 40)]
+    assert {p.name for p in (tmp_path / "t" / "d=a").iterdir()} == before
+    with pytest.raises(ValueError):
+        merge.upsert_partitioned(update, path, ["k"], ["d"])
+
+
+SCD = "id int, price double, effective_from date, effective_to date, is_current_record boolean"
+
+
+def test_scd2_closes_opens_and_repeats(spark, rows):
+    day = dt.date
+    dim = spark.createDataFrame([(1, 5.0, day(2023, 1, 1), None, True), (2, 6.0, day(2023, 1, 1), None, True),
+                                 (3, None, day(2023, 1, 1), None, True)], SCD)
+    incoming = spark.createDataFrame([(1, 7.0), (2, 6.0), (3, None), (4, 1.0)], "id int, price double")
+    want = [(1, 5.0, day(2023, 6, 1), False), (1, 7.0, None, True), (2, 6.0, None, True), (3, None, None, True), (4, 1.0, None, True)]
+    for _ in range(2):
+        dim = merge.scd2_merge(dim, incoming, "id", ["price"], "2023-06-01")
+        assert rows(dim, "id", "price", "effective_to", "is_current_record") == want
+    sales = spark.createDataFrame([(1, day(2023, 5, 31)), (1, day(2023, 6, 1)), (4, day(2023, 1, 1))], "id int, sold date")
+    assert rows(merge.as_of_version(sales, dim, "id", "sold"), "sold", "price") == [(day(2023, 5, 31), 5.0), (day(2023, 6, 1), 7.0)]
+
+
+def test_weather_and_holidays(spark, rows):
+    sales = spark.sql("select date'2023-07-04' d, 'CA' state union all select date'2023-07-05', 'NV'")
+    weather = spark.sql("select date'2023-07-04' weather_date, 'CA' weather_state, 80D temp_high_f, 0D precipitation_in, 'Sunny' weather_condition")
+    holidays = spark.sql("select date'2023-07-04' holiday_date, 'Independence Day' holiday_name")
+    assert rows(enrich.with_weather(sales, weather, "d", "state"), "state", "temp_high_f") == [("CA", 80.0), ("NV", None)]
+    assert enrich.with_weather(sales, None, "d", "state").columns == enrich.with_weather(sales, weather, "d", "state").columns
+    assert rows(enrich.with_holidays(sales, holidays, "d"), "state", "is_holiday") == [("CA", True), ("NV", False)]
+    assert rows(enrich.with_holidays(sales, None, "d"), "is_holiday") == [(False,), (False,)]
+    assert rows(enrich.holiday_flag(sales, holidays, "d"), "state", "is_holiday") == [("CA", 1), ("NV", 0)]
+
+
+def test_session_metrics_of_hot_and_missing_sessions(spark):
+    events = spark.createDataFrame(
+        [(str(i), "hot", "purchase" if i == 5 else "product_view") for i in range(300)] + [("x", None, "purchase"), ("y", None, "add_to_cart"),
+                                                                                   ("z", "s", "product_view")],
+        "event_id string, session_id string, event_type string")
+    found = enrich.with_session_metrics(events)
+    assert found.count() == 303
+    per = {r["session_id"]: (r["n"], r["p"], r["rows"]) for r in found.groupBy("session_id").agg(
+        F.max("session_event_count").alias("n"), F.max("session_has_purchase").alias("p"), F.count("*").alias("rows")).collect()}
+    assert per == {"hot": (300, 1, 300), None: (2, 1, 2), "s": (1, 0, 1)}
