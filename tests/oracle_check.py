@@ -42,9 +42,8 @@ def comparable(names: list[str], rows) -> tuple[list[str], list[tuple]]:
     return [names[i] for i in order], sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
-def differences(spark, con, build, sql: str, sf_dir: str) -> str:
+def differences(frame, con, sql: str) -> str:
     """Empty when both sides hold the same rows."""
-    frame = build(spark, sf_dir)
     got_names, got = comparable(frame.columns, frame.collect())
     result = con.execute(sql)
     want_names, want = comparable([d[0] for d in result.description], result.fetchall())
@@ -69,7 +68,7 @@ def main() -> int:
     for name in sys.argv[2:] or built:
         start = time.time()
         try:
-            problem = differences(spark, con, built[name], sql[name], sf_dir) if name in sql else "no SQL"
+            problem = differences(built[name](spark, sf_dir), con, sql[name]) if name in sql else "no SQL"
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failed += [name] if problem else []

@@ -158,6 +158,6 @@ def test_alerts(spark):
     lag = [("c", "consumer_lag", start + dt.timedelta(minutes=m), 20000.0 if m not in (3, 9) else 5.0) for m in range(20)]
     samples = spark.createDataFrame([*lag, ("pos_etl", "elapsed_sec", start, 4000.0), ("pos_etl", "failed", start, 1.0),
                                      ("quick", "elapsed_sec", start, 40.0)], "pipeline string, metric string, ts timestamp, value double")
-    found = sorted((r["alert"], r["pipeline"], r["minutes"]) for r in runlog.alerts(samples, runlog.alert_rules(spark)).collect())
+    found = sorted((r["alert"], r["pipeline"], r["minutes"]) for r in runlog.alerts(samples).collect())
     # 10..19 and 4..8 are above; only the first run of them lasts five minutes.
     assert found == [("KafkaConsumerLagHigh", "c", 10), ("PipelineETLFailed", "pos_etl", 1), ("PipelineETLSlow", "pos_etl", 1)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -73,24 +73,22 @@ ALERT_RULES = [
     ("DQCheckFailed", "dq_failed", 0.0, 0, "warning"),
 ]
 
-RULE_SCHEMA = "alert string, metric string, limit double, for_seconds int, severity string"
 
-
-def alert_rules(spark: SparkSession, rules=None) -> DataFrame:
-    return spark.createDataFrame(rules or ALERT_RULES, RULE_SCHEMA)
-
-
-def alerts(samples: DataFrame, rules: DataFrame) -> DataFrame:
+def alerts(samples: DataFrame, rules: Sequence[tuple] = tuple(ALERT_RULES)) -> DataFrame:
     """Alerts raised by metric samples (pipeline, metric, ts, value).
 
-    A rule fires when its metric stays above the limit for ``for_seconds``: samples
+    A rule fires when its metric stays above the limit for so many seconds: samples
     above are grouped into runs by the count of samples below seen before them,
     and a run must span the time.  Samples are first reduced to the worst per
-    pipeline, metric and minute, which bounds every window.
+    pipeline, metric and minute, which bounds every window; the few rules ride
+    along as literals, so there is nothing to join.
     """
     minute = samples.groupBy("pipeline", "metric", F.date_trunc("minute", "ts").alias("minute")).agg(
         F.min("value").alias("lowest"), F.max("value").alias("highest"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-    ruled = minute.join(rules, "metric")
+    names = ("alert", "metric", "limit", "for_seconds", "severity")
+    listed = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule)]) for rule in rules])
+    ruled = minute.withColumn("rule", F.explode(F.filter(listed, lambda rule: rule["metric"] == F.col("metric")))).select(
+        *minute.columns, *[F.col(f"rule.{n}").alias(n) for n in names if n != "metric"])
     instant = ruled.filter("for_seconds = 0 and highest > limit").groupBy("alert", "severity", "pipeline").agg(
         F.count(F.lit(1)).alias("minutes"), F.max("highest").alias("worst"))
     over = F.expr("sum(case when lowest > limit then 0 else 1 end) over "

@@ -599,7 +599,7 @@ ALERT_RULES = [("HighValue", "value", 400.0, 0, "critical"), ("SustainedValue",
 @query
 def metric_alerts(t: Tables) -> DataFrame:
     samples = t.raw("events").select(F.col("event_type").alias("pipeline"), F.lit("value").alias("metric"), "ts", "value")
-    return runlog.alerts(samples, runlog.alert_rules(t.spark, ALERT_RULES))
+    return runlog.alerts(samples, ALERT_RULES)
 
 
 # -- streams --------------------------------------------------------------------
