@@ -16,6 +16,10 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    return known_bytes(df) <= broadcast_limit(df)
+
+
 def lookup(df: DataFrame, as_small_as: DataFrame) -> DataFrame:
     """``df`` marked for broadcast if the table it has no more rows than is small enough.
 
@@ -23,4 +27,4 @@ def lookup(df: DataFrame, as_small_as: DataFrame) -> DataFrame:
     small tables for a huge one, and would shuffle the facts to join it.  Above the
     threshold nothing is marked and the join is shuffled, with hot keys split.
     """
-    return F.broadcast(df) if known_bytes(as_small_as) <= broadcast_limit(df) else df
+    return F.broadcast(df) if fits_broadcast(as_small_as) else df

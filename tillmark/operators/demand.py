@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.dates import iso_year, week_start, with_calendar_columns
 from tillmark.functions.numbers import dollars, dollars_per, pct_change, ratio
+from tillmark.operators.clean import clean_pos
 from tillmark.operators.enrich import with_holidays
+from tillmark.operators.star import with_cents
 
 SERIES = ("product_id", "store_id")
 
@@ -53,6 +55,15 @@ def daily_demand_table(sales: DataFrame, products: DataFrame, stores: DataFrame,
     return with_holidays(with_dims(daily_demand(sales, where=where), products, stores), holidays, "agg_date")
 
 
+def daily_from_raw(raw: DataFrame, key: Sequence[str] = ("transaction_id",)) -> DataFrame:
+    """Daily demand straight from raw sales lines, where no warehouse exists yet.
+
+    Cleaned and revenue recomputed by the same code as the fact load.
+    """
+    sales = with_cents(clean_pos(raw, key)).withColumnsRenamed({"transaction_date": "sale_date", "quantity": "quantity_sold"})
+    return daily_demand(sales, [c for c in ("product_id", "store_id", "category", "region") if c in sales.columns])
+
+
 def weekly_demand(sales: DataFrame, keys: Sequence[str] = SERIES, where: Column | None = None) -> DataFrame:
     """ISO-week totals with distinct orders of the week; the daily mean is over seven days."""
     rows = sales if where is None else sales.filter(where)

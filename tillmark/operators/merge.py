@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.functions.joins import fits_broadcast
 from tillmark.functions.ordering import first_per_key
 from tillmark.sinks.lake import path_exists, write_partitions
 
@@ -42,9 +43,19 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return t.join(s, on, "full_outer").select(*[merged(c).alias(c) for c in target.columns])
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source rows whose key the target does not have yet."""
-    return source.join(target.select(*keys), list(keys), "left_anti")
+def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                  as_small_as: DataFrame | None = None) -> DataFrame:
+    """The source rows whose key the target does not have yet.
+
+    Plainly, both sides are shuffled by key.  ``as_small_as`` names a table the
+    source has no more rows than: if that is known to be small, the target's keys
+    are first filtered by the broadcast source keys while they are scanned, and
+    the target is not shuffled.
+    """
+    known = target.select(*keys)
+    if as_small_as is not None and fits_broadcast(as_small_as):
+        known = known.join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
+    return source.join(known, list(keys), "left_anti")
 
 
 def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame:

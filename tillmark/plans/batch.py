@@ -72,7 +72,7 @@ def load_facts(spark: SparkSession, layout: Layout, cleaned: DataFrame, products
         calendar.select("time_key", F.col("full_date").alias("sale_date")), "time_key")
     # Of the stored facts only the key columns are read.
     known = merge.read_if_exists(spark, path, rows.schema)
-    (merge.insert_ignore(known, rows, key).hint("rebalance", "sale_date")
+    (merge.insert_ignore(known, rows, key, as_small_as=cleaned).hint("rebalance", "sale_date")
      .write.mode("append").partitionBy("sale_date").parquet(path))
     return path
 

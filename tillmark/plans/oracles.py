@@ -357,6 +357,13 @@ oracle("serving_extract", DAILY_BASE, select="""
 SELECT agg_date, product_id, store_id, category, region, total_quantity, total_revenue, total_orders, day_of_week, week_of_year,
        month_num, quarter, is_holiday FROM daily""")
 
+oracle("adhoc_sql_over_views", SALES, STORES, PRODUCTS, """m AS (
+  SELECT product_id, rank() OVER (PARTITION BY year(sale_date), month(sale_date) ORDER BY sum(net) DESC) AS r
+  FROM sales GROUP BY product_id, year(sale_date), month(sale_date))""", select=f"""
+SELECT region, year(sale_date) AS year, quarter(sale_date) AS quarter, sum(qty) AS units, {usd('sum(net)')} AS revenue,
+       (SELECT count(*) FROM m WHERE r = 1) AS best_months
+FROM sales JOIN stores USING (store_id) GROUP BY ALL""")
+
 # -- cleaning, joins, dimensions ------------------------------------------------
 
 RAW_POS = """raw_pos AS (
@@ -394,6 +401,11 @@ SELECT transaction_id, day AS transaction_date, store_id, product_id, customer_i
        quantity AS quantity_sold, unit_price, {usd('disc')} AS discount_amount, {usd('gross')} AS gross_revenue,
        {usd('gross - disc')} AS net_revenue, 'pos' AS source_system FROM kept""")
 
+oracle("daily_demand_from_raw", RAW_POS, CLEAN, """s AS (
+  SELECT *, quantity AS qty, gross - disc AS net FROM kept)""", select=f"""
+SELECT day AS agg_date, product_id, store_id, category, {DEMAND}, {CALENDAR_COLUMNS.format('day')}
+FROM s GROUP BY day, product_id, store_id, category""")
+
 oracle("star_join", BASE, CALENDAR, select=f"""
 SELECT region, brand, year, month_name, is_weekend, count(*) AS lines, {usd('sum(net)')} AS revenue
 FROM sales JOIN products USING (product_id) JOIN stores USING (store_id) JOIN calendar ON sale_date = full_date GROUP BY ALL""")

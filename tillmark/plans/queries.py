@@ -12,6 +12,7 @@ from tillmark.functions.numbers import dollars, money
 from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators import analytics, clean, dashboard, demand, enrich, features, forecast, merge, quality, runlog, star
 from tillmark.plans.tables import Tables
+from tillmark.plans.views import register_views
 from tillmark.session import run_dir
 from tillmark.sinks import lake
 from tillmark.sources import files
@@ -122,6 +123,16 @@ def vw04_ml_dataset(t: Tables) -> DataFrame:
     return features.ml_dataset(weathered)
 
 
+@query
+def adhoc_sql_over_views(t: Tables) -> DataFrame:
+    """SQL over the registered views: each region's best quarter and its best-ranked product months."""
+    register_views(t.sales(cost=True), t.products(), t.stores(), _daily(t))
+    return t.spark.sql("""
+        SELECT region, year, quarter, sum(units_sold) AS units, sum(total_revenue) AS revenue,
+               (SELECT count(*) FROM v_top_products_monthly WHERE revenue_rank = 1) AS best_months
+        FROM v_store_performance GROUP BY region, year, quarter""")
+
+
 # -- demand ---------------------------------------------------------------------
 
 def _daily(t: Tables) -> DataFrame:
@@ -143,6 +154,11 @@ def daily_demand(t: Tables) -> DataFrame:
     return _daily(t)
 
 
+@query
+def daily_demand_from_raw(t: Tables) -> DataFrame:
+    return demand.daily_from_raw(t.raw_pos())
+
+
 @query
 def daily_demand_incremental(t: Tables) -> DataFrame:
     """The table up to a day, with the days from a month before it on loaded again."""

@@ -72,9 +72,10 @@ def normalised(events: DataFrame, *extra: str) -> DataFrame:
 class EventSink:
     """Where a micro-batch goes.
 
-    ``replay_days`` bounds the search for known event ids to that many days around
-    the batch's own days.  By default the whole table's ids are compared, which
-    also finds an id that comes back with another time.
+    By default a batch's event ids are looked up among all ids of the table, which
+    also finds one that comes back with another time; only the id column is scanned,
+    and not shuffled for a batch of ordinary size.  ``replay_days`` bounds the search
+    to that many days around the batch's own days, for tables too long to scan.
     """
 
     table: str
@@ -86,13 +87,14 @@ class EventSink:
         batch = batch.withColumn("batch", F.lit(str(batch_id))).persist()
         try:
             valid = normalised(batch.filter("reject_reason is null"), "ingested_at", "batch")
-            self._insert(valid)
-            self._append_raw(valid)
             self._quarantine(batch.filter("reject_reason is not null"))
+            self._append_raw(valid)
+            # Last: by now the batch is cached and its size known.
+            self._insert(valid, batch)
         finally:
             batch.unpersist()
 
-    def _insert(self, valid: DataFrame) -> None:
+    def _insert(self, valid: DataFrame, batch: DataFrame) -> None:
         """New event ids only; a replayed batch finds its own rows and adds none."""
         rows = first_per_key(valid.drop("batch"), ["event_id"], ["event_timestamp"])
         rows = rows.withColumnRenamed("ingested_at", "load_timestamp").withColumn("event_date", F.to_date("event_timestamp"))
@@ -101,7 +103,7 @@ class EventSink:
             first, last = valid.agg(F.to_date(F.min("event_timestamp")), F.to_date(F.max("event_timestamp"))).first()
             known = known.filter(F.col("event_date").between(
                 F.date_sub(F.lit(first), self.replay_days), F.date_add(F.lit(last), self.replay_days)))
-        (insert_ignore(known, rows, ["event_id"]).hint("rebalance", "event_date")
+        (insert_ignore(known, rows, ["event_id"], as_small_as=batch).hint("rebalance", "event_date")
          .write.mode("append").partitionBy("event_date").parquet(self.table))
 
     def _append_raw(self, valid: DataFrame) -> None:
