@@ -42,13 +42,13 @@ def running_total(
     The sliced rows are written down first: both passes have to see the same slices.
     ``total`` names a column for the sum over the whole group, if wanted.
     """
-    spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(g).asc() for g in groups] + list(order_by)
-    sliced = materialised(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
+    # Without a number AQE merges neighbouring slices of small input, which keeps their order.
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    sliced = materialised(ranged.withColumn("_slice", F.spark_partition_id()))
 
     keys = [*groups, "_slice"]
-    # At most `slices` rows per group.
+    # One row per group and slice.
     earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*keys).agg(F.sum(value).alias("_sum"))

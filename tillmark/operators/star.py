@@ -13,6 +13,7 @@ from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators.clean import require, with_measures, with_parsed_date
 from tillmark.operators.enrich import with_holidays
 from tillmark.operators.merge import merge_upsert
+from tillmark.session import materialised
 
 
 def calendar_days(bounds: DataFrame) -> DataFrame:
@@ -70,13 +71,13 @@ def upsert_dim(dim: DataFrame, incoming: DataFrame, key: str, surrogate: str,
 
 
 def upsert_products(dim: DataFrame, sales: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    incoming = first_seen(sales, "product_id", ["product_name", "category", "brand", "unit_price"], order_by)
+    incoming = materialised(first_seen(sales, "product_id", ["product_name", "category", "brand", "unit_price"], order_by))
     return upsert_dim(dim, incoming, "product_id", "product_key")
 
 
 def upsert_stores(dim: DataFrame, sales: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Known stores change name and city only."""
-    incoming = first_seen(sales, "store_id", ["store_name", "city", "state", "region"], order_by)
+    incoming = materialised(first_seen(sales, "store_id", ["store_name", "city", "state", "region"], order_by))
     return upsert_dim(dim, incoming, "store_id", "store_key", ["store_name", "city"])
 
 

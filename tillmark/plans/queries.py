@@ -653,8 +653,14 @@ def stream_raw_lake(t: Tables) -> DataFrame:
 
 
 def _stream_times(t: Tables) -> DataFrame:
-    # Event-time operators need an instant; the zone cancels out in the result.
-    return t.event_stream().withColumn("ts", F.col("ts").cast("timestamp"))
+    """The event stream with times as instants, which event-time operators need; the tables' clock is UTC."""
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts"))
+    return t.event_stream().withColumn("ts", local.cast("timestamp"))
+
+
+def _utc(instant: str):
+    """An instant back on the tables' clock."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(instant).cast("timestamp_ntz"))
 
 
 @query
@@ -664,7 +670,7 @@ def stream_tumbling_demand(t: Tables) -> DataFrame:
     dated = windows.withColumn("day", F.to_date("window_start"))
     signals.start_upserts(dated, f"{root}/t", ["day", "window_start", "event_type"], ["day"], f"{root}/c", None).awaitTermination()
     return t.spark.read.parquet(f"{root}/t").select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "events", "total_value")
+        _utc("window_start").alias("window_start"), "event_type", "events", "total_value")
 
 
 @query
@@ -674,7 +680,7 @@ def stream_sessions(t: Tables) -> DataFrame:
     found = signals.sessions(_stream_times(t), "ts", "user_id", "6 hours", "1 day")
     signals.start_append(found, f"{root}/t", f"{root}/c", None).awaitTermination()
     return t.spark.read.parquet(f"{root}/t").select(
-        "user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), "events", "has_purchase", "duration_us")
+        "user_id", _utc("session_start").alias("session_start"), "events", "has_purchase", "duration_us")
 
 
 @query
@@ -694,6 +700,6 @@ def batch_speed_view(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("events"), F.sum("price").alias("total_value"))
     root = run_dir(t.spark, "speed")
     windows = signals.windowed_demand(_stream_times(t), "ts", ["event_type"], "price", "1 day")
-    dated = windows.select(F.to_date("window_start").alias("day"), "event_type", "events", "total_value")
+    dated = windows.select(_utc("window_start").cast("date").alias("day"), "event_type", "events", "total_value")
     signals.start_upserts(dated, f"{root}/t", ["day", "event_type"], ["day"], f"{root}/c", None).awaitTermination()
     return signals.serving_view(daily.filter(F.col("day") < F.lit("2024-01-20").cast("date")), t.spark.read.parquet(f"{root}/t"), "day")

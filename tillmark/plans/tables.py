@@ -137,11 +137,11 @@ class Tables:
         priced = lines.join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
         return priced.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("transaction_date"),
+            F.col("o_orderdate").cast("date").cast("string").alias("transaction_date"),
             F.col("l_suppkey").cast("string").alias("store_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
-            # Economy products are sold without a name, returned lines count negative,
-            # and a full discount step is left out where there is none.
+            # Economy products come without a name, returned lines count negative, and
+            # no discount is left empty.
             F.when(F.col("p_type") != "ECONOMY", F.col("p_name")).alias("product_name"),
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("brand"),
