@@ -125,7 +125,7 @@ def vw04_ml_dataset(t: Tables) -> DataFrame:
 
 @query
 def adhoc_sql_over_views(t: Tables) -> DataFrame:
-    """SQL over the registered views: each region's best quarter and its best-ranked product months."""
+    """SQL over the registered views: each region's quarters, next to the number of top product months."""
     register_views(t.sales(cost=True), t.products(), t.stores(), _daily(t))
     return t.spark.sql("""
         SELECT region, year, quarter, sum(units_sold) AS units, sum(total_revenue) AS revenue,
