@@ -7,7 +7,9 @@ import os
 import pytest
 from oracle_check import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tillmark.plans.oracles import ORACLES
+from tillmark.plans.queries import REGISTRY
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -19,16 +21,16 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_equals_sql(spark, duck, name):
-    frame = queries()[name](spark, SF_DIR)
+    frame = REGISTRY[name](spark, SF_DIR)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert bad not in plan
-    assert differences(frame, duck, oracle_sql()[name]) == ""
+    assert differences(frame, duck, ORACLES[name]) == ""
 
 
 def test_entry_has_rows(spark):
