@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from types import ModuleType
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,3 +59,25 @@ def integer_names(keys: DataFrame, columns: Sequence[str], alias: str = "name")
         "_slice", F.pmod(F.xxhash64(*columns), F.lit(NAME_SLICES)))
     place = F.row_number().over(Window.partitionBy("_slice").orderBy(*columns)).cast("long")
     return sliced.withColumn(alias, place * NAME_SLICES + F.col("_slice")).drop("_slice")
+
+
+def per_text(rows: DataFrame, added: str, function: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """``rows`` with its column ``text`` replaced by the columns ``added`` (DDL), computed in Arrow batches.
+
+    ``function`` gets the texts of a batch and returns one array for each added column.
+    All other columns pass through untouched.
+    """
+    keep = [c for c in rows.columns if c != "text"]
+    schema = rows.select(*keep).schema
+    for field in rows.sparkSession.createDataFrame([], added).schema:
+        schema = schema.add(field)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [batch.column(c) for c in keep]
+            yield pa.RecordBatch.from_arrays([*kept, *function(batch.column("text"))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+ship(sys.modules[__name__])

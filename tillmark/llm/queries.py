@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tillmark.llm import naming
+from tillmark.llm import ledger, naming, simhash, winnow
 
 LLM_REGISTRY = {
     "op2_exact_dedup": naming.op2_exact_dedup,
+    "op4_secret_scan": ledger.op4_secret_scan,
+    "op6_simhash": simhash.op6_simhash,
+    "op7_fingerprints": winnow.op7_fingerprints,
 }
 
 LLM_ORACLES = {
     "op2_exact_dedup": naming.OP2_SQL,
+    "op4_secret_scan": ledger.OP4_SQL,
 }
