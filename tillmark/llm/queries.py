@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tillmark.llm import ledger, naming, simhash, winnow
+from tillmark.llm import langid, ledger, mixing, naming, simhash, winnow
 
 LLM_REGISTRY = {
+    "op1_mixture": mixing.op1_mixture,
     "op2_exact_dedup": naming.op2_exact_dedup,
     "op4_secret_scan": ledger.op4_secret_scan,
     "op6_simhash": simhash.op6_simhash,
     "op7_fingerprints": winnow.op7_fingerprints,
+    "op9_language": langid.op9_language,
 }
 
 LLM_ORACLES = {
