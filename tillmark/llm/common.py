@@ -6,11 +6,15 @@ import string
 import sys
 from collections.abc import Callable, Iterator, Sequence
 from types import ModuleType
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+T = TypeVar("T")
 
 #: Words are runs of anything but these six ASCII characters.
 SPACE = r"\x20\x09-\x0D"
@@ -69,7 +73,7 @@ def per_text(rows: DataFrame, added: str, function: Callable[[pa.Array], list[pa
     """
     keep = [c for c in rows.columns if c != "text"]
     schema = rows.select(*keep).schema
-    for field in rows.sparkSession.createDataFrame([], added).schema:
+    for field in StructType.fromDDL(added):
         schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,4 +84,16 @@ def per_text(rows: DataFrame, added: str, function: Callable[[pa.Array], list[pa
     return rows.mapInArrow(run, schema)
 
 
+def on_workers(spark: SparkSession, model: T) -> Callable[[], T]:
+    """A function that gives tasks the model, sent once per executor and unpacked once per worker process."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+    def get() -> T:
+        if not hasattr(packed, "unpacked"):
+            packed.unpacked = cloudpickle.loads(packed.value)
+        return packed.unpacked
+
+    return get
+
+
 ship(sys.modules[__name__])

@@ -5,15 +5,14 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import held_out, per_text, ship, table
+from tillmark.llm.common import held_out, on_workers, per_text, ship, table
 
 ship(sys.modules[__name__])
 
@@ -111,9 +110,8 @@ def ngrams(word: str, order: int) -> list[str]:
     return [framed[i:i + order] for i in range(len(framed) - order + 1)]
 
 
-def fitted(docs: DataFrame, sample: int = SAMPLE) -> Broadcast:
-    model = Model(sample_words(docs.select("doc_id", "text", "lang"), sample))
-    return docs.sparkSession.sparkContext.broadcast(model)
+def fitted(docs: DataFrame, sample: int = SAMPLE) -> Callable[[], Model]:
+    return on_workers(docs.sparkSession, Model(sample_words(docs.select("doc_id", "text", "lang"), sample)))
 
 
 def identify(docs: DataFrame, train: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -132,7 +130,7 @@ def identify(docs: DataFrame, train: DataFrame | None = None, sample: int = SAMP
     model = fitted(docs if train is None else train, sample)
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        found = [model.value.predict(t) for t in texts.to_pylist()]
+        found = [model().predict(t) for t in texts.to_pylist()]
         return [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
 
     return per_text(docs, "lang_pred string, score double", run)
@@ -144,7 +142,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.predict(t) for t in batch.column("text").to_pylist()]
+            found = [model().predict(t) for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmark.functions.ordering import attach
 from tillmark.llm.common import table, text_of
@@ -54,7 +55,8 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing.getCondition()):
             raise
-        return spark.createDataFrame([], ENTRY)
+        fields = T.StructType.fromDDL(ENTRY).fields
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def _matches(rule: Rule) -> Column:
@@ -162,7 +164,8 @@ def joined(spans: Column) -> Column:
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"), run_dir(spark, "ledger"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
 
