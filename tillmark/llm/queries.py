@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tillmark.llm import langid, ledger, mixing, naming, simhash, winnow
+from tillmark.llm import langid, ledger, mixing, naming, simhash, toxicity, winnow
 
 LLM_REGISTRY = {
     "op1_mixture": mixing.op1_mixture,
     "op2_exact_dedup": naming.op2_exact_dedup,
     "op4_secret_scan": ledger.op4_secret_scan,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_simhash": simhash.op6_simhash,
     "op7_fingerprints": winnow.op7_fingerprints,
     "op9_language": langid.op9_language,
