@@ -51,13 +51,13 @@ def simhashes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def _variants(points: DataFrame) -> DataFrame:
-    """Every fingerprint under both halves, each with one of its bits cut out: 64 rows of (half, cut, rest)."""
-    half = F.when(F.col("half") == 0, F.col("bits").bitwiseAND(0xFFFFFFFF)).otherwise(F.shiftrightunsigned("bits", 32))
-    return (
-        points.select("bits", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("variant"))
-        .select("bits", "variant", F.expr("variant div 32").alias("half"), F.expr("cast(variant % 32 as int)").alias("cut"))
-        .select("bits", "variant", half.bitwiseAND(F.bitwise_not(F.expr("shiftleft(1L, cut)"))).alias("rest"))
-    )
+    """Every fingerprint under both halves, each with one of its bits cut out: 64 rows of (bits, key).
+
+    A key holds which half and bit it is above the other bits of the half.
+    """
+    half = F.when(F.col("variant") < 32, F.col("bits").bitwiseAND(0xFFFFFFFF)).otherwise(F.shiftrightunsigned("bits", 32))
+    key = half.bitwiseAND(F.expr("~shiftleft(1L, variant % 32)")).bitwiseOR(F.expr("shiftleft(cast(variant as bigint), 32)"))
+    return points.select("bits", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("variant")).select("bits", key.alias("key"))
 
 
 def _neighbours() -> Column:
@@ -79,12 +79,11 @@ def near_links(points: DataFrame, bucket: int = BUCKET) -> DataFrame:
     groups is found as well, at 65 rows per fingerprint instead of a square.
     """
     variants = _variants(points)
-    key = ["variant", "rest"]
     shared = materialised(
-        variants.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    met = materialised(variants.join(shared, key), "met")
+        variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    met = materialised(variants.join(shared, "key"), "met")
 
-    small = met.filter(F.col("n") <= bucket).groupBy(*key).agg(F.array_sort(F.collect_list("bits")).alias("members"))
+    small = met.filter(F.col("n") <= bucket).groupBy("key").agg(F.array_sort(F.collect_list("bits")).alias("members"))
     pairs = (
         small.select(F.explode("members").alias("a"), "members")
         .select("a", F.explode(F.filter("members", lambda b: (b > F.col("a")) & (
