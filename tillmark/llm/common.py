@@ -53,6 +53,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def joined(spans: Column) -> Column:
+    """kind:start:end of every span (kind, start, stop), comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+
 def integer_names(keys: DataFrame, columns: Sequence[str], alias: str = "name") -> DataFrame:
     """Distinct rows of ``columns`` with one integer each, the same in every run over the same rows.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmark.functions.ordering import attach
-from tillmark.llm.common import table, text_of
+from tillmark.llm.common import joined, table, text_of
 from tillmark.session import materialised, run_dir
 
 
@@ -155,12 +155,6 @@ def scan(docs: DataFrame, ledger_path: str, rules: Sequence[Rule] = RULES) -> Da
     return findings(scan_new(docs, ledger_path, rules), ledger_path, rules)
 
 
-def joined(spans: Column) -> Column:
-    """kind:start:end of every span, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
-        ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
-
-
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"), run_dir(spark, "ledger"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillmark.llm import langid, ledger, mixing, naming, simhash, toxicity, winnow
+from tillmark.llm import langid, ledger, mixing, naming, pii, simhash, toxicity, winnow
 
 LLM_REGISTRY = {
     "op1_mixture": mixing.op1_mixture,
@@ -11,6 +11,7 @@ LLM_REGISTRY = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_simhash": simhash.op6_simhash,
     "op7_fingerprints": winnow.op7_fingerprints,
+    "op8_personal_data": pii.op8_personal_data,
     "op9_language": langid.op9_language,
 }
 
