@@ -75,11 +75,12 @@ def per_text(rows: DataFrame, added: str, function: Callable[[pa.Array], list[pa
     """``rows`` with its column ``text`` replaced by the columns ``added`` (DDL), computed in Arrow batches.
 
     ``function`` gets the texts of a batch and returns one array for each added column.
-    All other columns pass through untouched.
+    All other columns pass through untouched, but for those whose names are needed.
     """
-    keep = [c for c in rows.columns if c != "text"]
+    fields = StructType.fromDDL(added)
+    keep = [c for c in rows.columns if c.lower() not in ("text", *(f.name.lower() for f in fields))]
     schema = rows.select(*keep).schema
-    for field in StructType.fromDDL(added):
+    for field in fields:
         schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

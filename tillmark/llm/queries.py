@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from tillmark.llm import langid, ledger, mixing, naming, pii, simhash, toxicity, winnow
+from tillmark.llm import html, langid, ledger, mixing, naming, pieces, pii, simhash, toxicity, winnow
 
 LLM_REGISTRY = {
     "op1_mixture": mixing.op1_mixture,
     "op2_exact_dedup": naming.op2_exact_dedup,
+    "op3_main_text": html.op3_main_text,
     "op4_secret_scan": ledger.op4_secret_scan,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_simhash": simhash.op6_simhash,
     "op7_fingerprints": winnow.op7_fingerprints,
     "op8_personal_data": pii.op8_personal_data,
     "op9_language": langid.op9_language,
+    "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 
 LLM_ORACLES = {

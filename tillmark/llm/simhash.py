@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import per_text, ship, table
+from tillmark.llm.common import per_text, ship, table, text_of
 from tillmark.llm.components import least_reachable
 from tillmark.session import materialised
 
@@ -43,11 +44,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def simhashes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``bits``, the SimHash as a signed long, of every row; null texts count as empty."""
+    """``docs`` with ``bits``, the SimHash as a signed long, instead of its text; null texts count as empty."""
     def values(text: pa.Array) -> pa.Array:
         return pa.array(np.array([fingerprint(t, shingle) for t in text.to_pylist()], dtype=np.uint64).view(np.int64))
 
-    return per_text(docs.select("doc_id", "text"), "bits long", lambda text: [values(text)])
+    return per_text(docs, "bits long", lambda text: [values(text)])
 
 
 def _variants(points: DataFrame) -> DataFrame:
@@ -96,31 +97,36 @@ def near_links(points: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return pairs.unionAll(stars).distinct()
 
 
-def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
-    """``doc_id``, ``bits`` and ``component_id`` of every row of ``docs``.
+def near_duplicate_groups(
+    docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET, carry: Sequence[str] = (),
+) -> DataFrame:
+    """``doc_id``, ``bits``, ``root`` and ``component_id`` of every row of ``docs``, and the columns named by ``carry``.
 
-    The component is named by its smallest doc_id.  Texts without a word have
-    fingerprint 0 and are linked like any other.  Null texts count as empty; rows with a null id are
-    linked but name no component (it is null if there is no other); repeated rows
-    come back as often as they came; other columns are ignored; no rows give no rows.
+    The component is named by its smallest doc_id; ``root`` is its least fingerprint.  Texts
+    without a word have fingerprint 0 and are linked like any other.  Null texts count as
+    empty; rows with a null id are linked but name no component (it is null if there is no
+    other); repeated rows come back as often as they came; other columns are ignored; no
+    rows give no rows.
     """
-    prints = materialised(simhashes(docs, shingle), "simhash")
-    points = prints.select("bits").distinct()
-    roots = materialised(least_reachable(near_links(points, bucket)), "roots")
+    prints = materialised(simhashes(docs.select("doc_id", "text", *carry), shingle), "simhash")
     least = materialised(prints.groupBy("bits").agg(F.min("doc_id").alias("doc_id")), "least")
+    # Few bytes become 64 rows each: keep them from being read by one task.
+    points = least.select("bits").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    roots = materialised(least_reachable(near_links(points, bucket)), "roots")
     rooted = least.join(roots, F.col("bits") == F.col("node"), "left").select(
         "bits", "doc_id", F.coalesce("root", "bits").alias("root"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(names, "root").select("bits", "component_id")
-    return prints.join(named, "bits").select("doc_id", "bits", "component_id")
+    named = rooted.join(names, "root").select("bits", "root", "component_id")
+    return prints.join(named, "bits").select("doc_id", "bits", "root", "component_id", *carry)
 
 
 def keep_one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, once each, with all their columns."""
-    kept = near_duplicate_groups(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    rows = docs.select(F.struct("doc_id").alias("_key"), F.struct("*").alias("_row"))
-    keys = kept.select(F.struct("doc_id").alias("_key"))
-    return rows.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
+    """One row of ``docs`` of each component with all its columns: that of the smallest id, then of the smallest text hash."""
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2(text_of(), 256).alias("sha")).alias("_key")
+    groups = near_duplicate_groups(docs.select("doc_id", "text", key), carry=["_key"], **options)
+    kept = groups.groupBy("root").agg(F.min("_key").alias("_key")).select("_key")
+    rows = docs.select(key, F.struct("*").alias("_row"))
+    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
