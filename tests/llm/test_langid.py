@@ -31,7 +31,7 @@ def test_unseen_words_fall_back_to_shorter_grams():
     model = Model([("en", "house", 5), ("de", "haus", 5), ("de", "äu", 3)])
     assert model.predict("housing")[0] == "en" and model.predict("hausen")[0] == "de"
     assert model.predict("ä")[0] == "de" and (model.word("qqqq") == 0).all()
-    assert max(map(len, model.tables[LONGEST])) == LONGEST
+    assert max(map(len, model.rows[LONGEST])) == LONGEST
 
 
 def test_ties_go_to_the_first_language():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections import Counter
@@ -18,7 +19,7 @@ ship(sys.modules[__name__])
 
 UNKNOWN = "und"
 #: Labelled documents a language is learned from, on average; a bound on what is fitted, not on what is predicted.
-SAMPLE = 2000
+SAMPLE = 1000
 #: Characters of the longest n-gram for words that were not seen.
 LONGEST = 4
 #: A word counts as known if the sample has it this often.
@@ -51,27 +52,28 @@ def sample_words(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str,
 class Model:
     """Log frequencies per language of words and of n-grams of every order.
 
-    A table maps a string to a row of log frequencies, one column per language.
+    ``rows`` maps a word or n-gram to its row in ``logs``, which has a column per language.
     """
 
     def __init__(self, counted: list[tuple[str, str, int]]) -> None:
         self.langs = sorted({lang for lang, _, _ in counted})
         column = {lang: i for i, lang in enumerate(self.langs)}
-        tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]  # 0 holds words, n the n-grams
+        counts: list[list[Counter]] = [[Counter() for _ in self.langs] for _ in range(LONGEST + 1)]  # by order, 0 for words
         for lang, word, count in counted:
-            for order in range(LONGEST + 1):
+            at = column[lang]
+            counts[0][at][word] += count
+            for order in range(1, LONGEST + 1):
                 # Each different word counts for its n-grams as often as it occurs, dampened: unseen words resemble rare ones.
-                for gram in [word] if order == 0 else ngrams(word, order):
-                    row = tables[order].get(gram)
-                    if row is None:
-                        row = tables[order][gram] = np.zeros(len(self.langs))
-                    row[column[lang]] += count if order == 0 else 1 + np.log(count)
-        tables[0] = {w: row for w, row in tables[0].items() if row.sum() >= KNOWN}
-        self.tables = []
-        for rows in tables:
-            matrix = np.array(list(rows.values())).reshape(len(rows), len(self.langs))
-            logs = np.log(matrix + SMOOTH) - np.log(matrix.sum(axis=0) + SMOOTH * max(1, len(rows)))
-            self.tables.append(dict(zip(rows, logs, strict=True)))
+                for gram in ngrams(word, order):
+                    counts[order][at][gram] += 1 + math.log(count)
+        self.rows: list[dict[str, int]] = []
+        self.logs: list[np.ndarray] = []
+        for order, by_lang in enumerate(counts):
+            total = sum(by_lang, Counter())
+            keys = sorted(k for k, n in total.items() if order or n >= KNOWN)
+            matrix = np.array([[c[k] for c in by_lang] for k in keys], dtype=np.float32).reshape(len(keys), len(self.langs))
+            self.rows.append({k: i for i, k in enumerate(keys)})
+            self.logs.append(np.log(matrix + SMOOTH) - np.log(matrix.sum(axis=0) + SMOOTH * max(1, len(keys))))
         self.cache: dict[str, np.ndarray] = {}
 
     def __getstate__(self) -> dict:
@@ -81,11 +83,12 @@ class Model:
         """Log likelihood of a word in each language, 0 if nothing in it was ever seen."""
         found = self.cache.get(word)
         if found is None:
-            found = self.tables[0].get(word)
+            known = self.rows[0].get(word)
+            found = None if known is None else self.logs[0][known]
             order = LONGEST
             while found is None and order:
-                rows = [self.tables[order][g] for g in ngrams(word, order) if g in self.tables[order]]
-                found = np.mean(rows, axis=0) if rows else None
+                rows = [self.rows[order][g] for g in ngrams(word, order) if g in self.rows[order]]
+                found = self.logs[order][rows].mean(axis=0) if rows else None
                 order -= 1
             found = np.zeros(len(self.langs)) if found is None else found
             if len(self.cache) >= CACHE:
