@@ -83,3 +83,36 @@ def test_calendar_is_widened(spark, layout):
     assert batch.ensure_calendar(spark, layout, "2023-05-01", "2023-05-02", None).count() == 365
     assert batch.ensure_calendar(spark, layout, "2024-05-01", "2024-05-02", None).count() == 731
     assert batch.ensure_calendar(spark, layout, "2023-05-01", "2023-05-02", None).agg(F.max("full_date")).first()[0] == dt.date(2024, 12, 31)
+
+
+def test_late_lines_reach_the_lake_and_the_aggregates(spark, layout):
+    files.land_sales(raw_day(spark, "2023-01-01"), layout.lake, "2023-01-01")
+    late = raw_day(spark, "2023-01-01", n=1, prefix="late")
+    files.land_sales(raw_day(spark, "2023-01-02").unionByName(late), layout.lake, "2023-01-02")
+    batch.run_batch(spark, layout, "2023-01-01", run_id="1")
+    batch.run_batch(spark, layout, "2023-01-02", run_id="2")
+    read = lambda name: spark.read.parquet(layout.table(name))
+    orders = {str(r[0]): r[1] for r in read("agg_daily_demand").groupBy("agg_date").agg(F.sum("total_orders")).collect()}
+    assert orders == {"2023-01-01": 151, "2023-01-02": 150} and read("fact_sales").count() == 301
+    assert spark.read.parquet(f"{layout.lake}/processed/pos_fact").filter("transaction_date = '2023-01-01'").count() == 151
+
+
+def test_a_range_equals_its_days_one_by_one(spark, tmp_path):
+    """Changing prices, a transaction delivered twice, and late lines."""
+    tables = {}
+    for name, ranges in (("days", ["01", "02", "03"]), ("range", [("01", "03")])):
+        layout = batch.Layout(str(tmp_path / name / "lake"), str(tmp_path / name / "warehouse"))
+        for n in (1, 2, 3):
+            lines = raw_day(spark, f"2023-01-0{n}").withColumn("unit_price", F.lit(10.0 + n)).withColumn("city", F.lit(f"City {n}"))
+            if n > 1:
+                again = raw_day(spark, f"2023-01-0{n - 1}", n=5).withColumn("unit_price", F.lit(77.0))
+                lines = lines.unionByName(again).unionByName(raw_day(spark, f"2023-01-0{n - 1}", n=2, prefix="late"))
+            files.land_sales(lines, layout.lake, f"2023-01-0{n}")
+        for days in ranges:
+            first, last = (days, days) if isinstance(days, str) else days
+            batch.run_batch(spark, layout, f"2023-01-{first}", f"2023-01-{last}", run_id=f"run-{first}")
+        read = lambda path, drop=(): sorted((tuple(r) for r in spark.read.parquet(path).drop(*drop).collect()), key=repr)
+        tables[name] = {t: read(layout.table(t), ["batch_id"]) for t in (
+            "dim_product", "dim_store", "fact_sales", "agg_daily_demand", "agg_weekly_demand")}
+        tables[name]["lake"] = read(f"{layout.lake}/processed/pos_fact")
+    assert tables["days"] == tables["range"]

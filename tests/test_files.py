@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark import schemas
 from tillmark.functions.joins import lookup
 from tillmark.operators import runlog
 from tillmark.session import run_dir, shared_dir
@@ -13,14 +12,18 @@ from tillmark.sinks import lake
 from tillmark.sources import files, warehouse
 
 
-def pos_file(root, day, *lines):
+# The layout of the tills' own files, written out so that a changed schema is noticed.
+HEADER = ("transaction_id,transaction_date,transaction_time,store_id,store_name,city,state,region,product_id,product_name,category,brand,"
+          "unit_price,quantity,discount,total_amount,payment_method,customer_id")
+
+
+def pos_file(root, day, *lines, header=HEADER):
     folder = root / "raw" / "pos" / files.partition_path("", "", "", day).split("//")[-1].lstrip("/")
     folder.mkdir(parents=True)
-    header = ",".join(f.name for f in schemas.RAW_POS)
     (folder / "pos.csv").write_text("\n".join([header, *lines]) + "\n")
 
 
-LINE = "{},2023-11-{},10:00:00,S1,Store,City,CA,West,P1,,Toys,Brand,2,{},,20.0,Cash,"
+LINE = "{},2023-11-{},10:00:00,S1,Store,City,CA,West,P1,,Toys,Brand,{},2,,20.0,Cash,"
 
 
 def test_partition_path():
@@ -33,15 +36,23 @@ def test_raw_sales_of_a_day_and_of_a_range(spark, tmp_path):
     day = files.raw_pos(spark, str(tmp_path), "2023-11-15")
     row = day.first()
     assert row["transaction_id"] == "T15" and row["product_name"] is None and row["customer_id"] is None and row["discount"] is None
-    assert row["unit_price"] != row["unit_price"] and row["source_day"] == dt.date(2023, 11, 15)
+    assert row["quantity"] == 2 and row["unit_price"] != row["unit_price"] and row["source_day"] == dt.date(2023, 11, 15)
     assert files.raw_pos(spark, str(tmp_path), "2023-11-14", "2023-11-15").count() == 2
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [((" in plan or "year" in plan.split("PartitionFilters: [")[1][:200]
 
 
-def test_sales_partitions_are_replaced_by_day(spark, tmp_path):
+def test_a_header_in_another_order_is_refused(spark, tmp_path):
+    swapped = HEADER.replace("unit_price,quantity", "quantity,unit_price")
+    pos_file(tmp_path, "2023-11-14", LINE.format("T", "14", "10"), header=swapped)
+    with pytest.raises(Exception, match="header"):
+        files.raw_pos(spark, str(tmp_path), "2023-11-14").collect()
+
+
+def test_sales_partitions_are_replaced_by_day_of_delivery(spark, tmp_path):
     root = str(tmp_path)
-    rows = spark.createDataFrame([("a", dt.date(2023, 1, 1)), ("b", dt.date(2023, 1, 2))], "transaction_id string, transaction_date date")
+    rows = spark.createDataFrame([("a", dt.date(2023, 1, 1), dt.date(2023, 1, 1)), ("b", dt.date(2023, 1, 1), dt.date(2023, 1, 2))],
+                                 "transaction_id string, transaction_date date, source_day date")
     lake.write_sales(rows, root)
     lake.write_sales(rows.filter("transaction_id = 'b'").withColumn("transaction_id", F.lit("c")), root)
     assert sorted(r[0] for r in spark.read.parquet(f"{root}/processed/pos_fact").select("transaction_id").collect()) == ["a", "c"]
@@ -51,7 +62,8 @@ def test_sales_partitions_are_replaced_by_day(spark, tmp_path):
 
 
 def test_events_are_split_by_type(spark, tmp_path):
-    rows = spark.createDataFrame([("1", "purchase", dt.datetime(2023, 1, 1, 5))], "event_id string, event_type string, event_timestamp timestamp")
+    rows = spark.createDataFrame([("1", "purchase", dt.datetime(2022, 12, 31, 5), dt.date(2023, 1, 1))],
+                                 "event_id string, event_type string, event_timestamp timestamp, source_day date")
     lake.write_events(rows, str(tmp_path))
     assert (tmp_path / "processed/ecommerce_events/year=2023/month=01/day=01/event_type=purchase").is_dir()
 
@@ -159,5 +171,8 @@ def test_alerts(spark):
     samples = spark.createDataFrame([*lag, ("pos_etl", "elapsed_sec", start, 4000.0), ("pos_etl", "failed", start, 1.0),
                                      ("quick", "elapsed_sec", start, 40.0)], "pipeline string, metric string, ts timestamp, value double")
     found = sorted((r["alert"], r["pipeline"], r["minutes"]) for r in runlog.alerts(samples).collect())
+    # A silence of nine hours is no run of two samples.
+    apart = [("c", "consumer_lag", start + dt.timedelta(hours=h), 20000.0) for h in (0, 9)]
+    assert runlog.alerts(spark.createDataFrame(apart, samples.schema)).isEmpty()
     # 10..19 and 4..8 are above; only the first run of them lasts five minutes.
     assert found == [("KafkaConsumerLagHigh", "c", 10), ("PipelineETLFailed", "pos_etl", 1), ("PipelineETLSlow", "pos_etl", 1)]

@@ -53,8 +53,17 @@ def dollars_per(whole_cents: Column | str, count: Column | str, scale: int = 2)
 def sample_std(n: Column, total: Column, squares: Column) -> Column:
     """Sample standard deviation from whole-number moments; null below two values.
 
-    Integer moments are exact and can be merged in any order, unlike running
-    means, so retried tasks give the same bits.
+    Whole moments can be merged in any order, so retried tasks give the same bits.
+    The moments are subtracted as decimals: large values near each other would
+    cancel as doubles.
     """
-    n, total, squares = (c.cast("double") for c in (n, total, squares))
-    return F.when(n >= 2, F.sqrt((n * squares - total * total) / (n * (n - 1))))
+    n, total, squares = (c.cast("decimal(38,0)") for c in (n, total, squares))
+    spread = (n * squares - total * total).cast("double")
+    count = n.cast("double")
+    return F.when(n >= 2, F.sqrt(spread / (count * (count - 1))))
+
+
+def squared(whole: Column | str) -> Column:
+    """The square of a whole number, wide enough to be summed."""
+    wide = as_column(whole).cast("decimal(19,0)")
+    return (wide * wide).cast("decimal(38,0)")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tillmark.functions.numbers import sample_std
+from tillmark.functions.numbers import sample_std, squared
 
 EPOCH = "1970-01-01"
 
@@ -47,4 +47,4 @@ def trailing_mean(value: str, over: WindowSpec, min_periods: int = 1) -> Column:
 
 def trailing_std(value: str, over: WindowSpec) -> Column:
     amount = F.col(value).cast("long")
-    return sample_std(F.count(amount).over(over), F.sum(amount).over(over), F.sum(amount * amount).over(over))
+    return sample_std(F.count(amount).over(over), F.sum(amount).over(over), F.sum(squared(amount)).over(over))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import month_index, month_start
-from tillmark.functions.numbers import dollars, dollars_per, pct_change, ratio, sample_std
+from tillmark.functions.numbers import dollars, dollars_per, pct_change, ratio, sample_std, squared
 from tillmark.functions.ordering import rank_within, running_total
 from tillmark.functions.series import frame
 from tillmark.operators.star import star
@@ -98,7 +98,7 @@ def demand_signals(daily: DataFrame, as_of: str, keys: Sequence[str] = ("product
         daily.filter(F.col("agg_date").between(F.date_sub(F.lit(as_of).cast("date"), 31), end))
         .groupBy(*keys)
         .agg(F.max(F.when(tested, F.col("total_quantity"))).alias("today_qty"), F.count(qty).alias("_n"),
-             F.sum(qty).alias("_sum"), F.sum(qty * qty).alias("_squares"))
+             F.sum(qty).alias("_sum"), F.sum(squared(qty)).alias("_squares"))
         .filter("today_qty is not null")
         .withColumn("_mean", F.col("_sum").cast("double") / F.nullif("_n", F.lit(0)))
         .withColumn("_std", sample_std(F.col("_n"), F.col("_sum"), F.col("_squares")))
@@ -118,12 +118,17 @@ def holiday_impact(sales: DataFrame, products: DataFrame, calendar: DataFrame) -
 
     ``avg_daily_*`` average rows; ``units_per_day`` divides by the number of days.
     """
-    joined = star(sales, products=products.select("product_id", "category"),
+    # Lines are summed per product and day before anything is joined.
+    sums = sales.groupBy("product_id", "sale_date").agg(
+        F.sum("quantity_sold").alias("_units"), F.sum("net_cents").alias("_net"), F.count(F.lit(1)).alias("_rows"))
+    joined = star(sums, products=products.select("product_id", "category"),
                   calendar=calendar.select("full_date", "is_holiday", "holiday_name"))
     return (
-        joined.groupBy("category", "is_holiday", "holiday_name")
-        .agg(F.sum("quantity_sold").alias("_units"), F.sum("net_cents").alias("_net"),
-             F.count(F.lit(1)).alias("_rows"), F.countDistinct("sale_date").alias("num_days"))
+        joined.groupBy("category", "is_holiday", "holiday_name", "sale_date")
+        .agg(F.sum("_units").alias("_units"), F.sum("_net").alias("_net"), F.sum("_rows").alias("_rows"))
+        .groupBy("category", "is_holiday", "holiday_name")
+        .agg(F.sum("_units").alias("_units"), F.sum("_net").alias("_net"),
+             F.sum("_rows").alias("_rows"), F.count(F.lit(1)).alias("num_days"))
         .select("category", "is_holiday", "holiday_name",
                 ratio("_units", "_rows", 2).alias("avg_daily_units"),
                 dollars_per("_net", "_rows").alias("avg_daily_revenue"),
@@ -234,10 +239,12 @@ def store_performance(sales: DataFrame, stores: DataFrame) -> DataFrame:
 
 def category_trend(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Daily units and revenue per category with 7- and 30-row means including the day."""
+    sums = sales.groupBy("product_id", "sale_date").agg(
+        F.sum("quantity_sold").alias("_units"), F.sum("net_cents").alias("_net"))
     daily = (
-        star(sales, products=products.select("product_id", "category"))
+        star(sums, products=products.select("product_id", "category"))
         .groupBy(F.col("sale_date").alias("full_date"), "category")
-        .agg(F.sum("quantity_sold").alias("daily_units"), dollars(F.sum("net_cents")).alias("daily_revenue"))
+        .agg(F.sum("_units").alias("daily_units"), dollars(F.sum("_net")).alias("daily_revenue"))
     )
     return daily.withColumns({
         "rolling_7d_avg_units": F.avg("daily_units").over(frame(7, ["category"], "full_date", include_current=True)),

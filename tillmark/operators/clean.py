@@ -60,12 +60,12 @@ def clean_pos(df: DataFrame, key: Sequence[str] = ("transaction_id",)) -> DataFr
     return with_measures(first_per_key(valid_pos_rows(df), list(key), ["transaction_date"]))
 
 
-def sales_projection(df: DataFrame) -> DataFrame:
+def sales_projection(df: DataFrame, *extra: str) -> DataFrame:
     """Cleaned sales lines in the shape of the sales fact."""
     return df.select(
         "transaction_id", "transaction_date", "store_id", "product_id", "customer_id", "payment_method",
         F.lit("store").alias("channel"), F.col("quantity").alias("quantity_sold"), "unit_price",
-        "discount_amount", "gross_revenue", "net_revenue", F.lit("pos").alias("source_system"),
+        "discount_amount", "gross_revenue", "net_revenue", F.lit("pos").alias("source_system"), *extra,
     )
 
 

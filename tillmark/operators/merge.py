@@ -18,6 +18,14 @@ def latest_per_key(source: DataFrame, keys: Sequence[str], order_by: str) -> Dat
     return first_per_key(ordered, list(keys), ["_newest"]).drop("_newest")
 
 
+def unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, none without a key: repeated keys would multiply rows, and null keys be inserted on every run.
+
+    Of rows with one key the first by all other columns counts; `latest_per_key` chooses by time beforehand.
+    """
+    return first_per_key(source.dropna(subset=list(keys)), list(keys), [c for c in source.columns if c not in keys])
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update_cols: Sequence[str] | None = None) -> DataFrame:
     """Insert new keys, and on known keys overwrite ``update_cols`` (default: all but the keys).
@@ -25,6 +33,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     A null in the source overwrites, too: whether a row has a source is decided by
     a marker, not by the value.  Target columns the source lacks stay as they are.
     """
+    source = unique_keys(source, keys)
     updates = set(update_cols if update_cols is not None else [c for c in source.columns if c not in keys])
     t, s = target.withColumn("_in_target", F.lit(True)), source.withColumn("_in_source", F.lit(True))
     t, s = t.alias("t"), s.alias("s")
@@ -98,6 +107,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
     day = F.lit(as_of).cast("date")
     others = [c for c in dim.columns if c not in ("effective_from", "effective_to", "is_current_record")]
     history, current = dim.filter("not is_current_record"), dim.filter("is_current_record")
+    incoming = unique_keys(incoming, [key])
     d, i = current.alias("d"), incoming.withColumn("_in", F.lit(True)).alias("i")
     both = d.join(i, F.col(f"d.{key}") == F.col(f"i.{key}"), "full_outer")
     is_new = F.col(f"d.{key}").isNull()

@@ -38,13 +38,13 @@ class RowCheck:
 
 def null_rate(column: str, threshold: float = 0.99) -> RowCheck:
     return RowCheck(f"null_check_{column}", column, "null_check", F.col(column).isNull(), threshold,
-                    f"null values in column '{column}'")
+                    f"{column} is missing")
 
 
 def value_in_set(column: str, valid: Sequence, threshold: float = 0.99) -> RowCheck:
     """A null is unknown, so it does not fail."""
     return RowCheck(f"value_set_{column}", column, "value_set_check", ~F.col(column).isin(list(valid)), threshold,
-                    f"Valid values: {sorted(valid)}")
+                    f"{column} is none of {sorted(valid)}")
 
 
 def in_range(column: str, low=None, high=None, threshold: float = 0.99) -> RowCheck:
@@ -53,18 +53,18 @@ def in_range(column: str, low=None, high=None, threshold: float = 0.99) -> RowCh
         outside = outside | (F.col(column) < low)
     if high is not None:
         outside = outside | (F.col(column) > high)
-    return RowCheck(f"range_{column}", column, "range_check", outside, threshold, f"Expected [{low}, {high}]")
+    return RowCheck(f"range_{column}", column, "range_check", outside, threshold, f"{column} is below {low} or above {high}")
 
 
 def date_format(column: str, fmt: str = "yyyy-MM-dd", threshold: float = 0.99) -> RowCheck:
     failed = F.col(column).isNotNull() & parse_date(F.col(column), fmt).isNull()
-    return RowCheck(f"date_format_{column}", column, "date_format_check", failed, threshold, f"Expected format: {fmt}")
+    return RowCheck(f"date_format_{column}", column, "date_format_check", failed, threshold, f"{column} does not read as {fmt}")
 
 
 def completeness(columns: Sequence[str], threshold: float = 0.95) -> RowCheck:
     failed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
     return RowCheck(f"completeness_{'_'.join(columns[:3])}", None, "completeness_check", failed, threshold,
-                    f"All of {list(columns)} must be non-null")
+                    f"one of {', '.join(columns)} is missing")
 
 
 def _row(name: str, column: str | None, check_type: str, total: Column, failed: Column,
@@ -140,6 +140,7 @@ def run_checks(df: DataFrame, table_name: str, checks: Sequence[RowCheck], uniqu
 def pos_suite(df: DataFrame, table_name: str = "pos_sales_raw",
               payment_methods: Sequence[str] = tuple(PAYMENT_METHODS)) -> DataFrame:
     """The standard suite for raw sales lines: 13 checks."""
+    # The limits and shares of the sales checks.
     checks = [
         null_rate("transaction_id", 1.0),
         null_rate("product_id", 1.0),

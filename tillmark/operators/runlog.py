@@ -74,12 +74,13 @@ ALERT_RULES = [
 ]
 
 
-def alerts(samples: DataFrame, rules: Sequence[tuple] = tuple(ALERT_RULES)) -> DataFrame:
+def alerts(samples: DataFrame, rules: Sequence[tuple] = tuple(ALERT_RULES), interval_seconds: int = 300) -> DataFrame:
     """Alerts raised by metric samples (pipeline, metric, ts, value).
 
     A rule fires when its metric stays above the limit for so many seconds: samples
     above are grouped into runs by the count of samples below seen before them,
-    and a run must span the time.  Samples are first reduced to the worst per
+    and a run must span the time.  A silence longer than ``interval_seconds``, within
+    which a sample is due, ends a run: nobody knows what the metric did.  Samples are first reduced to the worst per
     pipeline, metric and minute, which bounds every window; the few rules ride
     along as literals, so there is nothing to join.
     """
@@ -91,10 +92,12 @@ def alerts(samples: DataFrame, rules: Sequence[tuple] = tuple(ALERT_RULES)) -> D
         *minute.columns, *[F.col(f"rule.{n}").alias(n) for n in names if n != "metric"])
     instant = ruled.filter("for_seconds = 0 and highest > limit").groupBy("alert", "severity", "pipeline").agg(
         F.count(F.lit(1)).alias("minutes"), F.max("highest").alias("worst"))
-    over = F.expr("sum(case when lowest > limit then 0 else 1 end) over "
+    silence = F.expr("unix_timestamp(cast(minute as timestamp)) - unix_timestamp(cast("
+                     "lag(minute) over (partition by alert, pipeline order by minute) as timestamp))")
+    over = F.expr(f"sum(case when lowest > limit and _silence <= {interval_seconds} then 0 else 1 end) over "
                   "(partition by alert, pipeline order by minute rows between unbounded preceding and current row)")
     runs = (
-        ruled.filter("for_seconds > 0").withColumn("_run", over).filter("lowest > limit")
+        ruled.filter("for_seconds > 0").withColumn("_silence", silence).withColumn("_run", over).filter("lowest > limit")
         .groupBy("alert", "severity", "pipeline", "for_seconds", "_run")
         .agg(F.count(F.lit(1)).alias("minutes"), F.max("highest").alias("worst"),
              F.min("first_ts").alias("since"), F.max("last_ts").alias("until"))

@@ -47,10 +47,20 @@ def calendar_dim(bounds: DataFrame, holidays: DataFrame | None = None, fiscal_st
     return with_holidays(days, holidays, "full_date")
 
 
-def first_seen(df: DataFrame, key: str, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key with the attributes it was first seen with."""
-    rows = require(df, [key]).select(key, *columns, *[c for c in order_by if c not in columns and c != key])
-    return first_per_key(rows, [key], list(order_by)).select(key, *columns)
+def first_seen(df: DataFrame, key: str, columns: Sequence[str], order_by: Sequence[str],
+               day: str | None = None, latest: bool = True) -> DataFrame:
+    """One row per key with the attributes it was first seen with.
+
+    With ``day``, those of its latest (or earliest) day of delivery: what loading the
+    days one after the other would leave.
+    """
+    rows = require(df, [key])
+    if day:
+        back = F.datediff(F.lit("1970-01-01").cast("date"), F.col(day))
+        rows = rows.withColumn("_turn", back if latest else -back)
+    order = (["_turn"] if day else []) + list(order_by)
+    rows = rows.select(key, *columns, *[c for c in order if c not in columns and c != key])
+    return first_per_key(rows, [key], order).select(key, *columns)
 
 
 def assign_keys(dim: DataFrame, incoming: DataFrame, key: str, surrogate: str) -> DataFrame:
@@ -70,15 +80,22 @@ def upsert_dim(dim: DataFrame, incoming: DataFrame, key: str, surrogate: str,
                         list(update_cols) if update_cols is not None else columns)
 
 
-def upsert_products(dim: DataFrame, sales: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    incoming = materialised(first_seen(sales, "product_id", ["product_name", "category", "brand", "unit_price"], order_by))
+def upsert_products(dim: DataFrame, sales: DataFrame, order_by: Sequence[str], day: str | None = None) -> DataFrame:
+    """Products as the sales show them; ``day`` names the day of delivery when there may be several."""
+    columns = ["product_name", "category", "brand", "unit_price"]
+    incoming = materialised(first_seen(sales, "product_id", columns, order_by, day))
     return upsert_dim(dim, incoming, "product_id", "product_key")
 
 
-def upsert_stores(dim: DataFrame, sales: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Known stores change name and city only."""
-    incoming = materialised(first_seen(sales, "store_id", ["store_name", "city", "state", "region"], order_by))
-    return upsert_dim(dim, incoming, "store_id", "store_key", ["store_name", "city"])
+def upsert_stores(dim: DataFrame, sales: DataFrame, order_by: Sequence[str], day: str | None = None) -> DataFrame:
+    """Known stores change name and city only; a new one keeps the state and region of its first delivery."""
+    changing, fixed = ["store_name", "city"], ["state", "region"]
+    if day:
+        incoming = first_seen(sales, "store_id", changing, order_by, day).join(
+            first_seen(sales, "store_id", fixed, order_by, day, latest=False), "store_id")
+    else:
+        incoming = first_seen(sales, "store_id", changing + fixed, order_by)
+    return upsert_dim(dim, materialised(incoming), "store_id", "store_key", changing)
 
 
 def fact_rows(sales: DataFrame, products: DataFrame, stores: DataFrame, calendar: DataFrame,
@@ -88,7 +105,8 @@ def fact_rows(sales: DataFrame, products: DataFrame, stores: DataFrame, calendar
     Only keys, date and quantity are checked here; `clean.clean_pos` has the full rules.
     """
     lines = require(with_parsed_date(sales), ["transaction_id", "product_id", "store_id", "transaction_date"]).filter("quantity > 0")
-    measured = with_measures(first_per_key(lines, list(key), ["transaction_date"]))
+    delivered = ["source_day"] if "source_day" in lines.columns else []
+    measured = with_measures(first_per_key(lines, list(key), [*delivered, "transaction_date"]))
     keyed = (
         measured.join(products.select("product_id", "product_key"), "product_id")
         .join(stores.select("store_id", "store_key"), "store_id")

@@ -60,7 +60,7 @@ def load_dims(spark: SparkSession, layout: Layout, cleaned: DataFrame) -> tuple[
     for name, schema, upsert in (("dim_product", PRODUCT_DIM, star.upsert_products),
                                  ("dim_store", STORE_DIM, star.upsert_stores)):
         path = layout.table(name)
-        sinks.replace_table(upsert(merge.read_if_exists(spark, path, schema), cleaned, order), path)
+        sinks.replace_table(upsert(merge.read_if_exists(spark, path, schema), cleaned, order, "source_day"), path)
     return spark.read.parquet(layout.table("dim_product")), spark.read.parquet(layout.table("dim_store"))
 
 
@@ -77,21 +77,26 @@ def load_facts(spark: SparkSession, layout: Layout, cleaned: DataFrame, products
     return path
 
 
-def aggregate(spark: SparkSession, layout: Layout, first: str, last: str, products: DataFrame, stores: DataFrame,
+def aggregate(spark: SparkSession, layout: Layout, days: Sequence[dt.date], products: DataFrame, stores: DataFrame,
               weather: DataFrame | None, holidays: DataFrame | None) -> None:
-    """Daily and weekly demand of the range, computed again from the facts of just those days."""
+    """Daily and weekly demand of the given days of sale, computed again from all facts of just those days.
+
+    These are the days a load touched, late lines of older days among them.
+    """
     sales = star.sales_rows(spark.read.parquet(layout.table("fact_sales")), products, stores)
-    day, one, two = F.col("sale_date"), F.lit(first).cast("date"), F.lit(last).cast("date")
+    day = F.col("sale_date")
 
-    daily = demand.daily_demand_table(sales, products, stores, holidays, where=day.between(one, two))
+    daily = demand.daily_demand_table(sales, products, stores, holidays, where=day.isin(list(days)))
     located = daily.join(stores.select("store_id", "state"), "store_id")
     weathered = enrich.with_weather(located, weather, "agg_date", "state").drop("state", "weather_condition")
     sinks.write_partitions(weathered, layout.table("agg_daily_demand"), ["agg_date"])
 
-    # The week after the range compares itself with the range's last week.
-    weeks = day.between(F.date_sub(week_start(one), 7), F.date_add(week_start(two), 13))
-    weekly = demand.with_week_over_week(demand.weekly_demand(sales, where=weeks))
-    kept = weekly.filter(F.col("week_start") >= week_start(one))
+    # The week after a touched week compares itself with it, and both with the week before.
+    touched = {d - dt.timedelta(days=d.weekday()) for d in days}
+    written = touched | {w + dt.timedelta(days=7) for w in touched}
+    needed = written | {w - dt.timedelta(days=7) for w in touched}
+    weekly = demand.with_week_over_week(demand.weekly_demand(sales, where=week_start(day).isin(sorted(needed))))
+    kept = weekly.filter(F.col("week_start").isin(sorted(written)))
     sinks.write_partitions(demand.with_dims(kept, products, stores), layout.table("agg_weekly_demand"), ["week_start"])
 
 
@@ -124,16 +129,21 @@ def run_batch(spark: SparkSession, layout: Layout, first: str, last: str | None
         if open_days.isEmpty():
             raise GateClosed(f"no day from {first} to {last} passed the checks before loading")
 
-        admitted = run.observed(raw.join(F.broadcast(open_days), "source_day", "left_semi").drop("source_day"),
+        admitted = run.observed(raw.join(F.broadcast(open_days), "source_day", "left_semi"),
                                 rows_read=F.count(F.lit(1)))
-        # Cleaned once; sales, dimensions and facts all read the result.
-        cleaned = materialised(run.observed(clean.clean_pos(admitted, key), rows_clean=F.count(F.lit(1))), "cleaned")
-        sinks.write_sales(clean.sales_projection(cleaned), layout.lake)
+        # Cleaned once; sales, dimensions and facts all read the result.  A transaction may come again on a later
+        # day: the lake keeps both deliveries, the facts the first.
+        cleaned = materialised(run.observed(clean.clean_pos(admitted, [*key, "source_day"]), rows_clean=F.count(F.lit(1))), "cleaned")
+        sinks.write_sales(clean.sales_projection(cleaned, "source_day"), layout.lake)
+        # Bounded by the calendar.
+        days = sorted(r[0] for r in cleaned.select("transaction_date").distinct().collect())
+        if not days:
+            raise GateClosed(f"no line from {first} to {last} is left to load")
 
         calendar = ensure_calendar(spark, layout, first, last, holidays)
         products, stores = load_dims(spark, layout, cleaned)
         load_facts(spark, layout, cleaned, products, stores, calendar, key, run_id)
-        aggregate(spark, layout, first, last, products, stores, weather, holidays)
+        aggregate(spark, layout, days, products, stores, weather, holidays)
 
         facts = spark.read.parquet(layout.table("fact_sales"))
         checks = materialised(quality.post_load(star.with_cents(facts), products, last, product_key="product_key"), "checks")

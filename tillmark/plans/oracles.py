@@ -24,8 +24,9 @@ def ratio(num: str, den: str, scale: int) -> str:
 
 
 def std(n: str, s: str, q: str) -> str:
-    n, s, q = (f"CAST({x} AS DOUBLE)" for x in (n, s, q))
-    return f"CASE WHEN {n} >= 2 THEN sqrt(({n} * {q} - {s} * {s}) / ({n} * ({n} - 1))) END"
+    """From whole moments, subtracted as whole numbers."""
+    n, s, q = (f"CAST({x} AS HUGEINT)" for x in (n, s, q))
+    return f"CASE WHEN {n} >= 2 THEN sqrt(CAST({n} * {q} - {s} * {s} AS DOUBLE) / CAST({n} * ({n} - 1) AS DOUBLE)) END"
 
 
 CENTS = "CAST(CAST({0} AS DECIMAL(12,2)) * 100 AS BIGINT)"
@@ -519,6 +520,10 @@ SELECT event_id, session_id, event_type, CAST(event_type = 'purchase' AS BIGINT)
 oracle("event_reject_reasons", EVENTS, select="SELECT outcome, count(*) AS events FROM judged GROUP BY 1")
 oracle("raw_event_files", EVENTS, select=f"""
 SELECT event_id, event_type, ts AS event_timestamp, session_id, user_id, product_id, {_PRICE_OUT} FROM shop""")
+oracle("raw_pos_files", RAW_POS, select=f"SELECT transaction_id, transaction_date, {_REST} FROM raw_pos")
+oracle("processed_sales_lake", RAW_POS, CLEAN, select=f"""
+SELECT day AS transaction_date, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units, {usd('sum(gross - disc)')} AS net_revenue
+FROM kept GROUP BY day""")
 oracle("processed_events_lake", EVENTS, select="""
 SELECT year(ts) AS year, month(ts) AS month, day(ts) AS day, event_type, count(*) AS events, CAST(sum(price) AS DOUBLE) AS total_price
 FROM judged WHERE outcome = 'valid' GROUP BY 1, 2, 3, 4""")
@@ -659,7 +664,9 @@ oracle("run_metrics", RAW_POS, CLEAN, """m AS (
 oracle("metric_alerts", """minutes AS (
   SELECT event_type AS pipeline, date_trunc('minute', ts) AS minute, min(value) AS lowest, max(value) AS highest,
          min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1, 2),
-marked AS (SELECT *, sum(CASE WHEN lowest > 15 THEN 0 ELSE 1 END) OVER (PARTITION BY pipeline ORDER BY minute) AS run FROM minutes),
+spaced AS (SELECT *, epoch_us(minute) - epoch_us(lag(minute) OVER (PARTITION BY pipeline ORDER BY minute)) AS silence FROM minutes),
+marked AS (SELECT *, sum(CASE WHEN lowest > 15 AND silence <= CAST(3600000000 AS BIGINT) THEN 0 ELSE 1 END)
+           OVER (PARTITION BY pipeline ORDER BY minute) AS run FROM spaced),
 runs AS (SELECT pipeline, count(*) AS n, max(highest) AS worst, min(first_ts) AS since, max(last_ts) AS until FROM marked
          WHERE lowest > 15 GROUP BY pipeline, run)""", select="""
 SELECT 'HighValue' AS alert, 'critical' AS severity, pipeline, count(*) AS minutes, max(highest) AS worst FROM minutes

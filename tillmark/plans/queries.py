@@ -13,6 +13,7 @@ from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators import analytics, clean, dashboard, demand, enrich, features, forecast, merge, quality, runlog, star
 from tillmark.plans.tables import Tables
 from tillmark.plans.views import register_views
+from tillmark.schemas import RAW_POS
 from tillmark.session import run_dir
 from tillmark.sinks import lake
 from tillmark.sources import files
@@ -488,18 +489,55 @@ def raw_event_files(t: Tables) -> DataFrame:
         "year", "month", "day", F.lit("00").alias("hour"), F.lit("landed").alias("batch"))
      .hint("rebalance", "year", "month", "day")
      .write.partitionBy("year", "month", "day", "hour", "batch").json(f"{root}/raw/ecommerce"))
-    flat = ingest.normalised(files.raw_events(t.spark, root, "2024-01-01", "2024-12-31"))
+    # Two dates.
+    first, last = t.events().agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
+    flat = ingest.normalised(files.raw_events(t.spark, root, str(first), str(last)))
     return flat.select("event_id", "event_type", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
                        "session_id", "user_id", "product_id", "price")
 
 
+@query
+def raw_pos_files(t: Tables) -> DataFrame:
+    """Sales lines landed as day-partitioned CSV in the files' order, and read back from there."""
+    root = run_dir(t.spark, "raw-pos")
+    lines = t.raw_pos()
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in RAW_POS if f.name not in lines.columns}
+    dated = files.with_day_columns(lines.withColumns(missing).select(RAW_POS.fieldNames()), "transaction_date")
+    (dated.hint("rebalance", "year", "month", "day").write.option("header", True)
+     .partitionBy("year", "month", "day").csv(f"{root}/raw/pos"))
+    # Two dates.
+    first, last = lines.agg(F.min("transaction_date"), F.max("transaction_date")).first()
+    return files.raw_pos(t.spark, root, first, last).select(lines.columns)
+
+
+def _delivered(rows: DataFrame, day: str, key: str) -> DataFrame:
+    """Rows with a day of delivery: that of the row, but the day after for about a tenth of them."""
+    late = (F.pmod(F.xxhash64(key), F.lit(10)) == 0).cast("int")
+    return rows.withColumn("source_day", F.date_add(F.to_date(day), late))
+
+
+@query
+def processed_sales_lake(t: Tables) -> DataFrame:
+    """Cleaned sales written in two loads, the second with late lines of days the first one wrote."""
+    root = run_dir(t.spark, "sales-lake")
+    cleaned = _delivered(clean.clean_pos(t.raw_pos()), "transaction_date", "transaction_id")
+    sold = clean.sales_projection(cleaned, "source_day")
+    for load in (0, 1):
+        lake.write_sales(sold.filter(F.dayofyear("source_day") % 2 == load), root)
+    return t.spark.read.parquet(f"{root}/processed/pos_fact").groupBy("transaction_date").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("quantity_sold").alias("units"), F.sum("net_revenue").alias("net_revenue"))
+
+
 @query
 def processed_events_lake(t: Tables) -> DataFrame:
-    """Cleaned events written by day and type, and read back."""
+    """Cleaned events written in two loads by day of delivery and type, and read back."""
     root = run_dir(t.spark, "events-lake")
-    cleaned = clean.clean_events(_timed(t.events()))
-    back = t.spark.read.parquet(lake.write_events(cleaned, root))
-    return back.groupBy("year", F.col("month").cast("int").alias("month"), F.col("day").cast("int").alias("day"), "event_type").agg(
+    cleaned = _delivered(clean.clean_events(_timed(t.events())), "event_timestamp", "event_id")
+    for load in (0, 1):
+        lake.write_events(cleaned.filter(F.dayofyear("source_day") % 2 == load), root)
+    back = t.spark.read.parquet(f"{root}/processed/ecommerce_events")
+    day = F.to_date("event_timestamp")
+    return back.groupBy(F.year(day).alias("year"), F.month(day).alias("month"), F.dayofmonth(day).alias("day"), "event_type").agg(
         F.count(F.lit(1)).alias("events"), F.sum("price").alias("total_price"))
 
 
@@ -615,7 +653,7 @@ ALERT_RULES = [("HighValue", "value", 400.0, 0, "critical"), ("SustainedValue",
 @query
 def metric_alerts(t: Tables) -> DataFrame:
     samples = t.raw("events").select(F.col("event_type").alias("pipeline"), F.lit("value").alias("metric"), "ts", "value")
-    return runlog.alerts(samples, ALERT_RULES)
+    return runlog.alerts(samples, ALERT_RULES, interval_seconds=3600)
 
 
 # -- streams --------------------------------------------------------------------

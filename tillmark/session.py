@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:

@@ -39,10 +39,16 @@ def replace_table(df: DataFrame, path: str) -> str:
     staged, old = f"{path}__new_{tag}", f"{path}__old_{tag}"
     df.write.parquet(staged)
     location, fs = _hadoop_path(spark, path)
-    if fs.exists(location):
-        fs.rename(location, _hadoop_path(spark, old)[0])
-    fs.rename(_hadoop_path(spark, staged)[0], location)
-    fs.delete(_hadoop_path(spark, old)[0], True)
+    aside, new = _hadoop_path(spark, old)[0], _hadoop_path(spark, staged)[0]
+    had = fs.exists(location)
+    if had and not fs.rename(location, aside):
+        raise OSError(f"{path} could not be moved aside; its new rows are in {staged}")
+    if not fs.rename(new, location):
+        if had and not fs.rename(aside, location):
+            raise OSError(f"{path} could not be replaced; its old rows are in {old}, its new ones in {staged}")
+        raise OSError(f"{path} could not be replaced and is as before; its new rows are in {staged}")
+    if had:
+        fs.delete(aside, True)
     return path
 
 
@@ -58,14 +64,17 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> str:
     return path
 
 
-def write_sales(df: DataFrame, lake: str, day: str = "transaction_date") -> str:
-    """Processed sales, one partition per day."""
+def write_sales(df: DataFrame, lake: str, day: str = "source_day") -> str:
+    """Processed sales, one partition per day of delivery.
+
+    Not by day of sale: a late line in a later delivery would replace its whole day.
+    """
     return write_partitions(with_day_columns(df, day), f"{lake}/processed/pos_fact", ["year", "month", "day"])
 
 
-def write_events(df: DataFrame, lake: str, ts: str = "event_timestamp") -> str:
-    """Processed events by day and event type."""
-    dated = with_day_columns(df.withColumn("_day", F.to_date(ts)), "_day").drop("_day")
+def write_events(df: DataFrame, lake: str, day: str = "source_day") -> str:
+    """Processed events by day of delivery and event type; see `write_sales`."""
+    dated = with_day_columns(df, day)
     return write_partitions(dated, f"{lake}/processed/ecommerce_events", ["year", "month", "day", "event_type"])
 
 

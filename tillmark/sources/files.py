@@ -49,11 +49,12 @@ def _with_partitions(schema: StructType) -> StructType:
 def raw_pos(spark: SparkSession, lake: str, first: str, last: str | None = None) -> DataFrame:
     """Raw sales lines of a day (or an inclusive range): empty text is null, NaN is read as such.
 
-    ``source_day`` is the day the rows were delivered for.
+    ``source_day`` is the day the rows were delivered for.  A file whose header does not name
+    the columns in their order is refused, since columns are read by their place.
     """
     return (
         spark.read.schema(_with_partitions(RAW_POS))
-        .option("header", True).option("nullValue", "").option("nanValue", "NaN")
+        .option("header", True).option("enforceSchema", False).option("nullValue", "").option("nanValue", "NaN")
         .csv(f"{lake}/raw/pos")
         .filter(days_between(first, last or first))
         .withColumn("source_day", F.make_date("year", F.col("month").cast("int"), F.col("day").cast("int")))
@@ -119,7 +120,8 @@ def inferred_csv(spark: SparkSession, path: str) -> DataFrame:
 def land_sales(df: DataFrame, lake: str, day: str) -> str:
     """Place a day's sales lines in the raw layer, replacing what that day held."""
     target = partition_path(lake, "raw", "pos", day)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("header", True).csv(target)
+    ordered = df.select(RAW_POS.fieldNames())
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").option("header", True).csv(target)
     return target
 
 

@@ -7,6 +7,7 @@ after a failure changes nothing.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -83,8 +84,9 @@ class EventSink:
     quarantine: str
     replay_days: int | None = None
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch", F.lit(str(batch_id))).persist()
+    def write(self, batch: DataFrame, batch_id: int, stream: str = "stream") -> None:
+        """``stream`` tells queries apart that share the sink: batch ids start anew with every checkpoint."""
+        batch = batch.withColumn("batch", F.lit(f"{stream}-{batch_id}")).persist()
         try:
             valid = normalised(batch.filter("reject_reason is null"), "ingested_at", "batch")
             self._quarantine(batch.filter("reject_reason is not null"))
@@ -133,7 +135,13 @@ def start_ingest(raw: DataFrame, sink: EventSink, checkpoint: str, every: str |
         F.count_if(F.col("reject_reason").isNull()).alias("valid"),
         F.count_if(F.col("reject_reason").isNotNull()).alias("dropped"),
     )
-    writer = counted.writeStream.queryName(name).foreachBatch(sink.write).option("checkpointLocation", checkpoint)
+    # The checkpoint's folder stands for the query: it stays the same when the query is started again.
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink.write(batch, batch_id, stream)
+
+    writer = counted.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
 
