@@ -82,7 +82,8 @@ def near_links(points: DataFrame, bucket: int = BUCKET) -> DataFrame:
     variants = _variants(points)
     shared = materialised(
         variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    met = materialised(variants.join(shared, "key"), "met")
+    # The keys that occur more than once grow with the corpus, so they are shuffled, not broadcast, at any size.
+    met = materialised(variants.join(shared.hint("merge"), "key"), "met")
 
     small = met.filter(F.col("n") <= bucket).groupBy("key").agg(F.array_sort(F.collect_list("bits")).alias("members"))
     pairs = (
