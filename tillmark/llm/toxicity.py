@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter
+from collections.abc import Collection
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from tillmark.llm.common import held_out, on_workers, per_text, ship, table
 ship(sys.modules[__name__])
 
 #: Documents of each label the model is fitted on, on average; a bound on what is fitted, not on what is scored.
-SAMPLE = {1: 1500, 0: 3000}
+SAMPLE = {1: 1000, 0: 2000}
 #: Subsequences are three characters within a stretch of SPAN, each skipped character costing a factor DECAY.
 SPAN = 6
 DECAY = 0.6
@@ -24,7 +25,7 @@ DECAY = 0.6
 PIECE = 32
 #: Landmarks, the more so from words typical of toxic documents; negative words per round of fitting.
 LANDMARKS = 256
-NEGATIVES = 10_000
+NEGATIVES = 6_000
 ROUNDS = 4
 RIDGE = 1e-4
 #: Weight of all negatives against all positives, and the log odds that make a word suspect.
@@ -188,7 +189,7 @@ def calibrate(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(theta[0], 1e-3)), float(theta[1])
 
 
-def fit(sentences: list[tuple[int, list[set[str]]]]) -> Model:
+def fit(sentences: list[tuple[int, list[Collection[str]]]]) -> Model:
     """Fit on (label, words of each sentence) of documents.
 
     All sentences of clean documents are negative.  Of a toxic document the sentence
@@ -198,8 +199,11 @@ def fit(sentences: list[tuple[int, list[set[str]]]]) -> Model:
     ones first and then those with the greatest values.
     """
     model = Model()
-    usable = lambda bag: {p for w in bag for p in pieces(w)}
-    bags = [(label, sorted(set().union(*map(usable, parts)))) for label, parts in sentences]
+    shared: dict[str, list[str]] = {}  # one string for all places where a word occurs
+    for w in {w for _, parts in sentences for part in parts for w in part}:
+        shared[w] = pieces(w)
+    bags = [(label, sorted({p for part in parts for w in part for p in shared[w]})) for label, parts in sentences]
+    del shared
     toxic, clean = [b for y, b in bags if y == 1 and b], [b for y, b in bags if y == 0 and b]
     if not toxic or not clean:
         return model
@@ -239,12 +243,12 @@ def fit(sentences: list[tuple[int, list[set[str]]]]) -> Model:
         judged = sorted(suspect)
         value = dict(zip(judged, model.decide(judged), strict=True))
         witness = [max(b, key=lambda w: (value[w], w)) for b in toxic]
-    worst = model.worst([set().union(*parts) for _, parts in sentences])
+    worst = np.concatenate([model.worst([set().union(*parts) for _, parts in sentences[i:i + 200]]) for i in range(0, len(sentences), 200)])
     model.slope, model.shift = calibrate(worst, np.array([float(y) for y, _ in bags]))
     return model
 
 
-def sample_sentences(docs: DataFrame, labels: DataFrame) -> list[tuple[int, list[set[str]]]]:
+def sample_sentences(docs: DataFrame, labels: DataFrame) -> list[tuple[int, list[Collection[str]]]]:
     """(label, words of each sentence) of about SAMPLE labelled documents that are not held out, chosen by a hash of the id."""
     usable = labels.filter(~held_out() & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic"))
@@ -256,13 +260,12 @@ def sample_sentences(docs: DataFrame, labels: DataFrame) -> list[tuple[int, list
     chosen = usable.filter(draw < rate)
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        return [pa.array([[sorted(set(tokens(s))) for s in SENTENCE.split(t or "")] for t in texts.to_pylist()],
-                         pa.list_(pa.list_(pa.string())))]
+        return [pa.array(["\n".join(" ".join(sorted(set(tokens(s)))) for s in SENTENCE.split(t or "")) for t in texts.to_pylist()], pa.string())]
 
     # The sample's size is bounded by SAMPLE, and so is what is broadcast and what comes back.
-    rows = per_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "parts array<array<string>>", run)
-    found = sorted(((r["doc_id"], r["toxic"], r["parts"]) for r in rows.collect()), key=lambda r: (r[0], r[1], str(r[2])[:100]))
-    return [(label, [set(s) for s in parts]) for _, label, parts in found]
+    rows = per_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "words string", run)
+    found = sorted((r["doc_id"], r["words"], r["toxic"]) for r in rows.collect())
+    return [(label, [tuple(map(sys.intern, s.split(" "))) for s in words.split("\n") if s]) for _, words, label in found]
 
 
 def score_texts(docs: DataFrame, train: DataFrame, labels: DataFrame) -> DataFrame:
