@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import statistics
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillmark.functions.numbers import sample_std, squared
 from tillmark.operators import analytics, dashboard, demand, features
 
 SALES = ("sale_date date, product_id string, store_id string, transaction_id string, quantity_sold int, net_cents bigint, "
@@ -133,3 +135,11 @@ def test_feature_validation(spark):
     stats = features.target_stats(df).first()
     assert (stats["zeros"], stats["neg"], stats["min"], stats["mean"]) == (1, 1, -3, Decimal("-0.67"))
     assert not features.export_allowed(df) and features.export_allowed(df.filter(F.col("target_demand") >= 0))
+
+
+@pytest.mark.parametrize("base", [0, 10 ** 8, 10 ** 9])
+def test_spread_of_large_values_is_exact(spark, base):
+    values = [base + n % 3 for n in range(30)]
+    frame = spark.createDataFrame([(v,) for v in values], "v long")
+    got = frame.agg(sample_std(F.count("v"), F.sum("v"), F.sum(squared("v")))).first()[0]
+    assert got == pytest.approx(statistics.stdev(values), rel=1e-12)

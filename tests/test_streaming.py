@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -165,3 +166,58 @@ def test_serving_view_prefers_the_batch(spark):
     assert sorted((str(r["d"]), r["n"], r["layer"]) for r in signals.serving_view(batch, speed, "d").collect()) == [
         ("2023-01-01", 1, "batch"), ("2023-01-02", 2, "batch"), ("2023-01-03", 3, "speed")]
     assert signals.serving_view(batch.filter("false"), speed, "d").count() == 2
+
+
+def test_two_queries_share_a_sink(lab, spark):
+    """Batch ids start at 0 in both; the files of neither replace those of the other."""
+    lab.deliver("a.json", [event(n) for n in range(5)] + [event(50, price=-1), "{broken"])
+    lab.run("first")
+    other = lab.root / "other"
+    other.mkdir()
+    (other / "b.json").write_text("\n".join(json.dumps(event(n)) for n in range(10, 13)) + "\n" + json.dumps(event(60, price=-1)) + "\n")
+    source = streams.json_line_events(spark, str(other), max_files=1)
+    ingest.start_ingest(source, lab.sink, str(lab.root / "second"), every=None).awaitTermination()
+    assert len(lab.ids()) == 8 and lab.rejected() == ["malformed_json", "negative_price", "negative_price"]
+    lake = spark.read.json(f"{lab.sink.lake}/raw/ecommerce")
+    assert lake.count() == 8 and lake.select("batch").distinct().count() == 2
+
+
+def _in_batches(spark, tmp_path, rows):
+    """One file, and so one micro-batch, per event, in the given order."""
+    path, seen = tmp_path / "batches", set()
+    for i, (user, ts) in enumerate(rows):
+        one = spark.createDataFrame([(str(i), "purchase", user, dt.datetime.fromisoformat(ts), 1.0)], CLICKS).coalesce(1)
+        one.write.mode("append").parquet(str(path))
+        for file in set(path.glob("*.parquet")) - seen:
+            os.utime(file, (1_700_000_000 + 60 * i,) * 2)  # files are taken by their times
+            seen.add(file)
+    stream = spark.readStream.schema(CLICKS).option("maxFilesPerTrigger", 1).parquet(str(path))
+    return stream, spark.read.schema(CLICKS).parquet(str(path))
+
+
+def test_events_out_of_order_are_all_counted(spark, tmp_path):
+    rows = [("u", "2023-01-01 10:00:00"), ("u", "2023-01-03 10:00:00"), ("u", "2023-01-01 10:05:00")]
+    stream, events = _in_batches(spark, tmp_path, rows)
+    windows = signals.windowed_demand(stream, "ts", ["user_id"], "price", "6 hours").withColumn("day", F.to_date("window_start"))
+    keys = ["day", "window_start", "user_id"]
+    signals.start_upserts(windows, str(tmp_path / "w"), keys, ["day"], str(tmp_path / "c1"), None).awaitTermination()
+    held = spark.read.parquet(str(tmp_path / "w"))
+    assert sorted(r["events"] for r in held.collect()) == [1, 2]
+    assert signals.late_rows(events, held, "ts", ["user_id"], "6 hours").isEmpty()
+
+    strict = signals.windowed_demand(stream, "ts", ["user_id"], "price", "6 hours", delay="1 hour").withColumn("day", F.to_date("window_start"))
+    signals.start_upserts(strict, str(tmp_path / "s"), keys, ["day"], str(tmp_path / "c2"), None).awaitTermination()
+    missing = signals.late_rows(events, spark.read.parquet(str(tmp_path / "s")), "ts", ["user_id"], "6 hours")
+    # What the stream let go is what the table lacks.
+    lost = 3 - spark.read.parquet(str(tmp_path / "s")).agg(F.sum("events")).first()[0]
+    assert sum(r["late"] for r in missing.collect()) == lost
+
+
+def test_finished_and_open_sessions_are_all_sessions(spark, tmp_path):
+    rows = [("u", "2023-01-01 10:00:00"), ("u", "2023-01-01 10:20:00"), ("v", "2023-01-03 10:00:00"), ("u", "2023-01-03 11:00:00")]
+    stream, events = _in_batches(spark, tmp_path, rows)
+    found = signals.sessions(stream, "ts", "user_id", "1 hour", "1 hour")
+    signals.start_append(found, str(tmp_path / "t"), str(tmp_path / "c"), None).awaitTermination()
+    finished = spark.read.schema(found.schema).parquet(str(tmp_path / "t"))
+    everything = finished.unionByName(signals.open_sessions(events, finished, "ts", "user_id", "1 hour"))
+    assert sorted((r["user_id"], r["events"]) for r in everything.collect()) == [("u", 1), ("u", 2), ("v", 1)]

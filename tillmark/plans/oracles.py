@@ -692,8 +692,7 @@ oracle("stream_sessions", EVENTS, """gaps AS (
 numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM gaps),
 found AS (SELECT user_id, min(ts) AS session_start, max(ts) AS last_event, count(*) AS events,
                  max(CAST(event_type = 'purchase' AS BIGINT)) AS has_purchase FROM numbered GROUP BY user_id, n)""", select="""
-SELECT user_id, session_start, events, has_purchase, epoch_us(last_event) - epoch_us(session_start) AS duration_us FROM found
-WHERE last_event + INTERVAL 6 HOURS <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
+SELECT user_id, session_start, events, has_purchase, epoch_us(last_event) - epoch_us(session_start) AS duration_us FROM found""")
 oracle("stream_deduplicated", EVENTS, select="""
 SELECT event_type, count(*) AS events, count(DISTINCT event_id) AS distinct_events FROM shop GROUP BY 1""")
 oracle("batch_speed_view", EVENTS, select="""

@@ -713,11 +713,14 @@ def stream_tumbling_demand(t: Tables) -> DataFrame:
 
 @query
 def stream_sessions(t: Tables) -> DataFrame:
-    """Sessions of users closed by the watermark, a day behind the newest event."""
+    """All sessions of users: those the watermark, a day behind the newest event, has closed, and the open ones."""
     root = run_dir(t.spark, "sessions")
     found = signals.sessions(_stream_times(t), "ts", "user_id", "6 hours", "1 day")
     signals.start_append(found, f"{root}/t", f"{root}/c", None).awaitTermination()
-    return t.spark.read.parquet(f"{root}/t").select(
+    finished = t.spark.read.schema(found.schema).parquet(f"{root}/t")
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts"))
+    newest = signals.open_sessions(t.events().withColumn("ts", local.cast("timestamp")), finished, "ts", "user_id", "6 hours")
+    return finished.unionByName(newest).select(
         "user_id", _utc("session_start").alias("session_start"), "events", "has_purchase", "duration_us")
 
 

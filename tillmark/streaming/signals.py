@@ -16,9 +16,15 @@ from tillmark.operators.merge import upsert_partitioned
 
 
 def windowed_demand(events: DataFrame, ts: str, keys: Sequence[str], value: str, size: str,
-                    slide: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """Events and value per key and event-time window (tumbling, or sliding by ``slide``)."""
-    totals = events.withWatermark(ts, delay).groupBy(F.window(ts, size, slide), *keys).agg(
+                    slide: str | None = None, delay: str | None = None) -> DataFrame:
+    """Events and value per key and event-time window (tumbling, or sliding by ``slide``).
+
+    Without ``delay`` no event is too late: every window stays in the state and is
+    updated whenever one comes.  With it, windows that ended so long before the newest event are
+    let go, and later events of theirs with them; `late_rows` finds those.
+    """
+    timed = events.withWatermark(ts, delay) if delay else events
+    totals = timed.groupBy(F.window(ts, size, slide), *keys).agg(
         F.count(F.lit(1)).alias("events"), F.sum(value).alias("total_value"))
     return totals.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                          *keys, "events", "total_value")
@@ -30,7 +36,11 @@ def sessions(events: DataFrame, ts: str, key: str, gap: str, delay: str = "1 hou
     The window ends one gap after the last event, so the duration is the last
     event's time minus the first's.
     """
-    found = events.withWatermark(ts, delay).groupBy(F.session_window(ts, gap).alias("session"), key).agg(
+    return _sessions(events.withWatermark(ts, delay), ts, key, gap)
+
+
+def _sessions(events: DataFrame, ts: str, key: str, gap: str) -> DataFrame:
+    found = events.groupBy(F.session_window(ts, gap).alias("session"), key).agg(
         F.count(F.lit(1)).alias("events"), F.max(ts).alias("last_event"),
         F.max((F.col("event_type") == "purchase").cast("int")).alias("has_purchase"))
     return found.select(
@@ -39,6 +49,30 @@ def sessions(events: DataFrame, ts: str, key: str, gap: str, delay: str = "1 hou
         (F.unix_micros("last_event") - F.unix_micros("session.start")).alias("duration_us"))
 
 
+def open_sessions(events: DataFrame, finished: DataFrame, ts: str, key: str, gap: str) -> DataFrame:
+    """Sessions of the events that no finished session holds, in the columns of `sessions`; a batch.
+
+    A stream hands out a session once the watermark has passed its end, so the newest
+    sessions are still missing in what it has written, as are events that came too late.
+    Both together with the finished ones are all sessions.
+    """
+    held = finished.select(F.col(key).alias("_key"), "session_start", "session_end")
+    inside = (F.col(key) == F.col("_key")) & (F.col(ts) >= F.col("session_start")) & (F.col(ts) < F.col("session_end"))
+    return _sessions(events.join(held, inside, "left_anti"), ts, key, gap)
+
+
+def late_rows(events: DataFrame, windows: DataFrame, ts: str, keys: Sequence[str], size: str) -> DataFrame:
+    """Per key and window, how many events of a batch the table of windows lacks."""
+    counted = events.groupBy(F.window(ts, size).alias("w"), *keys).agg(F.count(F.lit(1)).alias("_all"))
+    known = windows.select(F.col("window_start").alias("_start"), *[F.col(k).alias(f"_{k}") for k in keys], F.col("events").alias("_held"))
+    on = F.col("w.start") == F.col("_start")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    missing = F.col("_all") - F.coalesce("_held", F.lit(0))
+    return counted.join(known, on, "left").select(
+        F.col("w.start").alias("window_start"), *keys, missing.alias("late")).filter("late > 0")
+
+
 def deduplicated(events: DataFrame, ts: str, key: str = "event_id", delay: str = "1 hour") -> DataFrame:
     """The first of each event id; ids are remembered as long as the watermark needs them."""
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
