@@ -41,7 +41,7 @@ def by_chunks(encoder, text, size):
 
 def test_chunks_give_the_ids_of_the_whole_text(encoder, library):
     random.seed(3)
-    for _ in range(400):
+    for _ in range(150):
         text = "".join(random.choice(PARTS) for _ in range(random.randint(1, 100)))
         assert by_chunks(encoder, text, random.choice([16, 17, 23, 40])) == library.encode(text)
 

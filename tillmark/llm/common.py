@@ -23,6 +23,9 @@ WORD = rf"[^{SPACE}]+"
 #: Distinct keys are named in this many slices; it bounds how many one task sorts, not how many there are.
 NAME_SLICES = 4096
 
+#: Rows that Python works on at a time.
+SLICE = 500
+
 #: Rows whose id hashes to this remainder are held out when a model is fitted.
 FOLDS = 5
 
@@ -71,6 +74,13 @@ def integer_names(keys: DataFrame, columns: Sequence[str], alias: str = "name")
     return sliced.withColumn(alias, place * NAME_SLICES + F.col("_slice")).drop("_slice")
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, to bound what Python holds of them at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def per_text(rows: DataFrame, added: str, function: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """``rows`` with its column ``text`` replaced by the columns ``added`` (DDL), computed in Arrow batches.
 
@@ -84,7 +94,7 @@ def per_text(rows: DataFrame, added: str, function: Callable[[pa.Array], list[pa
         schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             kept = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays([*kept, *function(batch.column("text"))], names=schema.names)
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import per_text, ship, table
+from tillmark.llm.common import per_text, ship, sliced, table
 from tillmark.session import materialised
 
 ship(sys.modules[__name__])
@@ -213,7 +213,7 @@ def main_text(pages: DataFrame, share: float = SHARE, least: int = PAGES) -> Dat
     templates = materialised(site_templates(pages, share, least), "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = []
             for html, gone in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist(), strict=True):
                 gone = frozenset(gone or ())

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import held_out, on_workers, per_text, ship, table
+from tillmark.llm.common import held_out, on_workers, per_text, ship, sliced, table
 
 ship(sys.modules[__name__])
 
@@ -144,7 +144,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -
     model = fitted(docs, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [model().predict(t) for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 

@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import on_workers, per_text, ship, table, text_of
+from tillmark.llm.common import on_workers, per_text, ship, sliced, table, text_of
 from tillmark.session import materialised
 
 ship(sys.modules[__name__])
@@ -22,8 +22,10 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points of a chunk; longer texts are cut.  Chunks that are scanned together on the way up.
 CHUNK = 32_768
 FAN = 64
+#: Chunks that Python holds at a time.
+CHUNKS = 32
 #: Words kept between batches of a task.
-CACHE = 400_000
+CACHE = 200_000
 SPACE = "▁"
 #: Appended to a serialised model: the normaliser's field that puts a space before a text, set to false (the last value counts).
 NO_PREFIX = b"\x1a\x02\x18\x00"
@@ -282,7 +284,7 @@ def _encode_giants(texts: DataFrame, encoder, chunk: int, fan: int) -> DataFrame
         return Chunk(row["before"], row["body"], row["after"], row["part"] == 0, row["part"] == row["parts"] - 1)
 
     def transfers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, CHUNKS):
             rows = batch.to_pylist()
             pairs = [[[_number(a), _number(b)] for a, b in encoder().transfer(chunk_of(r))] for r in rows]
             yield pa.RecordBatch.from_arrays(
@@ -319,7 +321,7 @@ def _encode_giants(texts: DataFrame, encoder, chunk: int, fan: int) -> DataFrame
             down, "sha string, part int, entry int, leave int"), "states")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, CHUNKS):
             ids = [encoder().chunk(chunk_of(r), _state(r["entry"]), _state(r["leave"])) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("sha"), batch.column("part"), _listed(ids)], names=["sha", "part", "ids"])
 
@@ -373,7 +375,7 @@ def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     schema = encoded.select(*keep).schema.add("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             column = batch.column("ids").fill_null([]) if batch.column("ids").null_count else batch.column("ids")
             texts = [encoder().text(row) for row in _rows(column)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], names=schema.names)
@@ -382,6 +384,7 @@ def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
 
 
 def _rows(lists: pa.ListArray) -> Iterator[bytes]:
+    # Offsets and values of a slice point into the whole array.
     offsets = lists.offsets.to_numpy()
     values = lists.values.to_numpy(zero_copy_only=False)
     for a, b in zip(offsets[:-1], offsets[1:], strict=True):

@@ -284,9 +284,7 @@ def score_texts(docs: DataFrame, train: DataFrame, labels: DataFrame) -> DataFra
     model = on_workers(docs.sparkSession, fit(sample_sentences(train, labels)))
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        scores = np.zeros(len(texts))
-        for part in range(0, len(texts), 500):  # bounds the words at hand
-            scores[part:part + 500] = model().scores(texts.slice(part, 500).to_pylist())
+        scores = model().scores(texts.to_pylist())
         return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
 
     return per_text(docs, "score double, predicted int", run)
