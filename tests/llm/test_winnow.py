@@ -31,13 +31,12 @@ def plain_marks(text):
         return []
     grams = [gram_hash(words[i:i + GRAM]) for i in range(max(1, len(words) - GRAM + 1))]
     signed = [(g - (1 << 64) if g >> 63 else g) >> PLACE_BITS for g in grams]
-    out = []
+    out = {}
     for i in range(max(1, len(signed) - WINDOW + 1)):
         window = signed[i:i + WINDOW]
         best = max(j for j, h in enumerate(window) if h == min(window))
-        if (i + best + 1, window[best]) not in out:
-            out.append((i + best + 1, window[best]))
-    return out
+        out[i + best + 1, window[best]] = True
+    return list(out)
 
 
 def near(a, b):
