@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tillmark.operators import analytics, star
 from tillmark.plans import batch
 from tillmark.sources import files
 
@@ -44,6 +45,9 @@ def test_days_load_once_and_add_up(spark, layout):
     batch.run_batch(spark, layout, "2023-01-02", run_id="r2-again", **more)
 
     assert read("fact_sales").count() == 300
+    facts = star.sales_rows(read("fact_sales"), read("dim_product"), read("dim_store"))
+    assert analytics.store_performance(facts, read("dim_store")).count() == 2
+    assert analytics.discount_effectiveness(facts, read("dim_product")).count() == 1
     assert (read("dim_product").count(), read("dim_store").count(), read("dim_time").count()) == (3, 2, 365)
     daily = read("agg_daily_demand")
     assert daily.count() == 12
@@ -112,7 +116,7 @@ def test_a_range_equals_its_days_one_by_one(spark, tmp_path):
             first, last = (days, days) if isinstance(days, str) else days
             batch.run_batch(spark, layout, f"2023-01-{first}", f"2023-01-{last}", run_id=f"run-{first}")
         read = lambda path, drop=(): sorted((tuple(r) for r in spark.read.parquet(path).drop(*drop).collect()), key=repr)
-        tables[name] = {t: read(layout.table(t), ["batch_id"]) for t in (
+        tables[name] = {t: read(layout.table(t), ["batch_id", "load_timestamp"]) for t in (
             "dim_product", "dim_store", "fact_sales", "agg_daily_demand", "agg_weekly_demand")}
         tables[name]["lake"] = read(f"{layout.lake}/processed/pos_fact")
     assert tables["days"] == tables["range"]

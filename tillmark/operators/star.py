@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import is_weekend, iso_day_of_week, iso_year
-from tillmark.functions.numbers import cents
+from tillmark.functions.numbers import MONEY, cents
 from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators.clean import require, with_measures, with_parsed_date
 from tillmark.operators.enrich import with_holidays
@@ -103,20 +103,24 @@ def fact_rows(sales: DataFrame, products: DataFrame, stores: DataFrame, calendar
     """Sales lines with surrogate keys and measures; lines without all three keys are left out.
 
     Only keys, date and quantity are checked here; `clean.clean_pos` has the full rules.
+    Cost and profit follow from the products' ``cost_price``; without that column they are null.
     """
     lines = require(with_parsed_date(sales), ["transaction_id", "product_id", "store_id", "transaction_date"]).filter("quantity > 0")
     delivered = ["source_day"] if "source_day" in lines.columns else []
     measured = with_measures(first_per_key(lines, list(key), [*delivered, "transaction_date"]))
+    price = F.col("cost_price").cast(MONEY) if "cost_price" in products.columns else F.lit(None).cast(MONEY)
+    cost = (F.col("quantity") * F.col("_unit_cost")).cast(MONEY)
     keyed = (
-        measured.join(products.select("product_id", "product_key"), "product_id")
+        measured.join(products.select("product_id", "product_key", price.alias("_unit_cost")), "product_id")
         .join(stores.select("store_id", "store_key"), "store_id")
         .join(calendar.select(F.col("full_date").alias("transaction_date"), "time_key"), "transaction_date")
     )
     return keyed.select(
         "time_key", "product_key", "store_key", *key, "customer_id", "payment_method",
         F.lit("store").alias("channel"), F.col("quantity").alias("quantity_sold"), "unit_price",
-        "discount_amount", "gross_revenue", "net_revenue", F.lit("pos").alias("source_system"),
-        F.lit(batch_id).cast("string").alias("batch_id"),
+        "discount_amount", "gross_revenue", "net_revenue", cost.alias("cost_of_goods"),
+        (F.col("net_revenue") - cost).cast(MONEY).alias("gross_profit"), F.lit("pos").alias("source_system"),
+        F.current_timestamp().alias("load_timestamp"), F.lit(batch_id).cast("string").alias("batch_id"),
     )
 
 

@@ -438,7 +438,8 @@ oracle("fact_load", BASE, CALENDAR, RAW_POS, f"""
 loaded AS (SELECT *, {_MEASURES} FROM ({first_row('raw_pos', _REST, 'quantity > 0')}))""", select=f"""
 SELECT time_key, CAST(l.product_id AS BIGINT) + 1 AS product_key, CAST(l.store_id AS BIGINT) + 1 AS store_key, transaction_id,
        customer_id, payment_method, 'store' AS channel, quantity AS quantity_sold, unit_price, {usd('disc')} AS discount_amount,
-       {usd('gross')} AS gross_revenue, {usd('gross - disc')} AS net_revenue, 'pos' AS source_system, 'first' AS batch_id
+       {usd('gross')} AS gross_revenue, {usd('gross - disc')} AS net_revenue, {usd('quantity * p.price')} AS cost_of_goods,
+       {usd('gross - disc - quantity * p.price')} AS gross_profit, 'pos' AS source_system, 'first' AS batch_id
 FROM loaded l JOIN products p ON l.product_id = CAST(p.product_id AS VARCHAR) AND p.category <> 'PROMO'
 JOIN stores s ON l.store_id = CAST(s.store_id AS VARCHAR) JOIN calendar ON CAST(transaction_date AS DATE) = full_date""")
 oracle("fact_load_unmatched", RAW_POS, select="""

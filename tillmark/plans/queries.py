@@ -367,13 +367,14 @@ def calendar_contiguity(t: Tables) -> DataFrame:
 def _pos_products(t: Tables) -> DataFrame:
     """A product dimension that does not know the PROMO products."""
     return t.products().filter("category <> 'PROMO'").select(
-        F.col("product_id").cast("string").alias("product_id"), (F.col("product_id") + 1).alias("product_key"))
+        F.col("product_id").cast("string").alias("product_id"), (F.col("product_id") + 1).alias("product_key"),
+        F.col("unit_price").alias("cost_price"))  # the list price stands for the cost
 
 
 @query
 def fact_load(t: Tables) -> DataFrame:
     stores = t.stores().select(F.col("store_id").cast("string").alias("store_id"), (F.col("store_id") + 1).alias("store_key"))
-    return star.fact_rows(t.raw_pos(), _pos_products(t), stores, t.calendar(), batch_id="first")
+    return star.fact_rows(t.raw_pos(), _pos_products(t), stores, t.calendar(), batch_id="first").drop("load_timestamp")
 
 
 @query
