@@ -29,7 +29,7 @@ SMOOTH = 0.5
 #: Runs of letters (and of the rare number signs that are no digits); digits, underscores and other signs separate them.
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words kept between batches of a task.
-CACHE = 500_000
+CACHE = 50_000
 
 
 def sample_words(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str, int]]:

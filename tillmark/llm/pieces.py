@@ -25,7 +25,7 @@ FAN = 64
 #: Chunks that Python holds at a time.
 CHUNKS = 32
 #: Words kept between batches of a task.
-CACHE = 200_000
+CACHE = 50_000
 SPACE = "▁"
 #: Appended to a serialised model: the normaliser's field that puts a space before a text, set to false (the last value counts).
 NO_PREFIX = b"\x1a\x02\x18\x00"

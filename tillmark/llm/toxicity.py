@@ -32,7 +32,7 @@ RIDGE = 1e-4
 CLEAN = 3.0
 TYPICAL = 1.5
 #: Scores of words kept between batches of a task.
-CACHE = 500_000
+CACHE = 150_000
 #: Least decision value a text can have, that of a text without any word of three characters.
 FLOOR = -3.0
 
