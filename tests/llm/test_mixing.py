@@ -97,3 +97,29 @@ def test_rows_come_as_often_as_they_are_taken(odd):
     copies = sum(r.copies for r in mix(odd).collect())
     out = repeat_to_weights(odd)
     assert out.columns == odd.columns and out.count() == copies
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_lengths_of_single_documents_take_part_in_proportion(seed):
+    """Mostly lengths that one document has: each band of lengths gives about the share of its documents."""
+    random.seed(seed)
+    lengths = np.array(sorted(random.sample(range(20, 20_000), 1200)))
+    counts = np.array([1 if random.random() < 0.9 else 3 for _ in lengths])
+    for share in (0.2, 0.5, 0.8):
+        budget = int((lengths * counts).sum() * share)
+        take = fit_lengths(lengths, counts, budget, seed=seed)
+        assert (take >= 0).all() and (take <= counts).all() and int((take * lengths).sum()) == budget
+        for band in np.array_split(np.arange(len(lengths)), 4):
+            assert abs(take[band].sum() / counts[band].sum() - share) < 0.05
+    other = fit_lengths(lengths, counts, budget, seed=seed + 1)
+    assert (other != take).any()
+
+
+def test_long_lengths_alone_come_close():
+    """All lengths exceed FIT: the knapsack runs over several documents all the same."""
+    lengths = np.array(sorted(random.Random(3).sample(range(9_000, 60_000), 400)))
+    counts = np.ones(400, dtype=int)
+    budget = int(lengths.sum() * 0.37)
+    left = budget - int((fit_lengths(lengths, counts, budget) * lengths).sum())
+    assert 0 <= left < 100
+    assert 0 <= 500_000_000 - int((fit_lengths(lengths * 100, counts, 500_000_000) * lengths * 100).sum()) < 900_000

@@ -21,8 +21,10 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 COPIES = 2
 SEED = 42
-#: The last words of a budget are fitted exactly by dynamic programming; before that whole shares of every length are taken.
+#: The last words of a budget are fitted exactly by dynamic programming; before that the same share of all lengths is taken.
 FIT = 8192
+#: Sums of more words are scaled down to about so many.
+BITS = 1 << 16
 #: Documents of one source and length are ranked in buckets of about this many.
 BUCKET = 10_000
 
@@ -62,13 +64,16 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
         F.least("limit", F.col("weight") * F.col("height"))).alias("target"))
 
 
-def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, fit: int = FIT) -> np.ndarray:
-    """How many documents of each length to take so that their words come closest to ``budget`` from below.
+def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, fit: int = FIT, seed: int = SEED) -> np.ndarray:
+    """How many documents of each length to take so that their words come closely to ``budget`` from below.
 
-    Every length first gives the same share of its documents, rounded down, so that the mix keeps the
-    source's lengths.  From the longest down, documents that fit are added until less than ``fit`` words
-    are open, half of them kept back on purpose.  These are filled by bounded-knapsack dynamic programming: the sums that
-    can be reached are the bits of an integer; counts are split into powers of two.
+    Documents first are taken with the same share along all lengths: the share's running total over the lengths is rounded,
+    from a seeded start, and its steps are taken, so that lengths of few documents take part in proportion.
+    The share leaves a reserve of half of ``fit`` words, at most an eighth of the budget.  What is open above the
+    reserve, by lengths that don't come out even, is shared out in the same way over the words that are left.
+    The reserve is filled by bounded-knapsack dynamic programming: the sums that can be reached are the bits of an
+    integer; counts are split into powers of two.  Where all lengths are large ``fit`` grows with the shortest, and
+    the sums are scaled.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
@@ -76,18 +81,65 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, fit: int =
     take = np.zeros_like(counts)
     if budget <= 0:
         return take
-    # Slightly too small a share is made up for below; too large a one could not be taken back.
-    take = np.floor(counts * (budget / total) * (1 - 1e-12)).astype(np.int64)
+    if budget == total:
+        return counts
+    draw = np.random.default_rng(seed)
+    start = draw.random()
+    fit = max(fit, 8 * int(lengths[(lengths > 0) & (counts > 0)].min()))
+    reserve = min(fit // 2, budget // 8)
+    ascending = np.argsort(lengths, kind="stable")
+    below = np.cumsum(counts[ascending])
+    words = budget - reserve
+    while words > 0:
+        take[ascending] = np.diff(np.floor(below * (words / total) + start).astype(np.int64), prepend=0)
+        over = int((take * lengths).sum()) - (budget - reserve)
+        if over <= 0:
+            break
+        take[:] = 0  # a longest document too many: a little less of all
+        words -= max(over, reserve // 4, 1)
     left = budget - int((take * lengths).sum())
-    order = np.argsort(-lengths)
-    for reserve in (fit // 2, 0):
-        for i in order:
-            if left >= fit and lengths[i] > 0:
-                more = min(int(counts[i] - take[i]), max(0, left - reserve) // int(lengths[i]))
-                take[i] += more
-                left -= more * int(lengths[i])
-    # Now less than ``fit`` words are open, or nothing that is left fits.
-    items = [(i, size) for i in order if 0 < lengths[i] <= left for size in _powers(int(counts[i] - take[i]), left // int(lengths[i]))]
+    while left >= max(fit, 2 * reserve):
+        gap = left - reserve
+        spare = np.where((lengths > 0) & (lengths <= gap), counts - take, 0)
+        open_words = int((spare * lengths).sum())
+        if not open_words:
+            break
+        take += _spread(lengths, spare, min(gap, open_words), open_words)
+        left = budget - int((take * lengths).sum())
+    # Now the open words are few, or only documents of about as many words are left, of which no two fit.
+    unit = max(1, left // BITS)
+    order = draw.permutation(len(lengths))
+    if left >= fit:
+        fitting = np.where((counts > take) & (lengths <= left), lengths, 0)
+        if fitting.max() > 0:
+            take[fitting.argmax()] += 1
+    else:
+        size_of = -(-lengths // unit)
+        take += _filled(size_of, counts - take, left // unit, order)
+    if unit > 1 or left >= fit:  # what scaled sums leave open
+        left = budget - int((take * lengths).sum())
+        for i in np.argsort(-lengths, kind="stable"):
+            more = min(int(counts[i] - take[i]), left // int(lengths[i])) if lengths[i] > 0 else 0
+            take[i] += more
+            left -= more * int(lengths[i])
+    return take
+
+
+def _spread(lengths: np.ndarray, counts: np.ndarray, words: int, total: int) -> np.ndarray:
+    """About ``words`` of the ``total`` words, not more, from the longest down: at no length more than the share of those so far."""
+    take, seen, taken = np.zeros_like(counts), 0, 0
+    for i in np.argsort(-lengths, kind="stable"):
+        if counts[i] > 0:
+            seen += int(lengths[i] * counts[i])
+            take[i] = min(int(counts[i]), (seen * words // total - taken) // int(lengths[i]))
+            taken += int(take[i] * lengths[i])
+    return take
+
+
+def _filled(lengths: np.ndarray, counts: np.ndarray, left: int, order: np.ndarray) -> np.ndarray:
+    """The choice of at most ``counts`` whose sum is the largest up to ``left``."""
+    take = np.zeros_like(counts)
+    items = [(i, size) for i in order if 0 < lengths[i] <= left for size in _powers(int(counts[i]), left // int(lengths[i]))]
     reached, mask, history = 1, (1 << (left + 1)) - 1, []
     for i, size in items:
         history.append(reached)
@@ -119,7 +171,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
     All documents of a source are taken as often as its target holds the whole source;
     the rest of the target is a choice of documents whose sizes sum up to just below it.
-    Documents are counted by exact size; the counts alone decide how many of each
+    Documents are counted by exact size; the counts and the seed decide how many of each
     size are taken, and a seeded hash of the id which.  The result is the same in every run.
 
     Null texts have size 0; documents of size 0 are taken with the whole source only.
@@ -138,7 +190,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         source_size, target, whole = frame[["source_size", "target", "whole"]].iloc[0]
         budget = int(round(target - source_size * whole)) if whole < copies else 0
         frame = frame.sort_values("size")
-        frame["extra"] = fit_lengths(frame["size"].to_numpy(), frame["n"].to_numpy(), budget)
+        frame["extra"] = fit_lengths(frame["size"].to_numpy(), frame["n"].to_numpy(), budget, seed=seed)
         return frame[["source", "size", "n", "extra", "source_size", "target", "whole"]]
 
     kind = docs.schema["source"].dataType.simpleString()
