@@ -60,3 +60,20 @@ def test_copies_of_a_page_do_not_make_a_template(site):
 def test_no_rows_give_no_rows_and_repeated_rows_stay(site):
     assert main_text(site.limit(0)).isEmpty()
     assert main_text(site.unionAll(site)).count() == 48
+
+
+def pages_of(spark, htmls, host="http://large.example/"):
+    return spark.createDataFrame([(i, f"{host}{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+
+
+def test_a_box_on_a_small_part_of_a_large_host_goes(spark):
+    """Fifteen of two hundred pages have one box, the others one of fifteen more that a dozen pages share; one has its own."""
+    box = lambda i: "Hot box" if i < 15 else f"Box {i % 15}" if i < 199 else "Lone box"
+    found = main_text(pages_of(spark, [f"<p>Words of {i}</p><div>{box(i)}</div>" for i in range(200)])).collect()
+    assert {r.page_id: r.text for r in found} == {i: f"Words of {i}" + ("\nLone box" if i == 199 else "") for i in range(200)}
+
+
+def test_a_mirrored_article_stays(spark):
+    """Pages that differ in what is dropped only count once."""
+    htmls = [f"<nav>{i}</nav><div><p>An article.</p><ul><li>Its list</ul></div>" for i in range(12)]
+    assert {r.text for r in main_text(pages_of(spark, htmls)).collect()} == {"An article.\nIts list"}

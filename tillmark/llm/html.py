@@ -18,7 +18,9 @@ from tillmark.session import materialised
 
 ship(sys.modules[__name__])
 
-#: A subtree is a site's template if this share of the site's different pages have it, and this many at least.
+#: A subtree is a site's template if MANY of the site's different pages have it.  On a site too small for that this share
+#: of its pages is enough, but PAGES at least.
+MANY = 10
 SHARE = 0.2
 PAGES = 3
 
@@ -177,53 +179,70 @@ def host_of(url: str = "url") -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def site_templates(pages: DataFrame, share: float = SHARE, least: int = PAGES) -> DataFrame:
-    """``host`` and ``templates``, the hashes of subtrees that many different pages of the host have.
-
-    Pages that are equal count once.  A subtree is a template if ``share`` of the host's
-    pages have it, so a host has no more templates than a page has subtrees, over ``share``.
-    """
+def _subtrees(pages: DataFrame) -> DataFrame:
+    """``host``, ``page`` (a digest of the html), ``subtrees`` (hashes) and ``content`` (a digest of the text) of every page."""
     def run(texts: pa.Array) -> list[pa.Array]:
-        return [pa.array([sorted({h for _, hashes in Page(t or "").content() for h in hashes}) for t in texts.to_pylist()],
-                         pa.list_(pa.int64()))]
+        found = [Page(t or "").content() for t in texts.to_pylist()]
+        digests = (hashlib.blake2b("\n".join(t for t, _ in f).encode("utf-8", "surrogatepass"), digest_size=8).digest() for f in found)
+        return [pa.array([sorted({h for _, hashes in f for h in hashes}) for f in found], pa.list_(pa.int64())),
+                pa.array([int.from_bytes(d, "little", signed=True) for d in digests], pa.int64())]
+
+    keyed = pages.select(host_of().alias("host"), F.col("html").alias("text"), _page().alias("page"))
+    return materialised(per_text(keyed, "subtrees array<bigint>, content bigint", run), "subtrees")
+
+
+def _page() -> Column:
+    return F.md5(F.coalesce(F.col("html"), F.lit("")).cast("binary"))
 
-    # A page's bytes are named by their hash; of equal pages any one is read.
-    keyed = pages.select(host_of().alias("host"), F.col("html").alias("text"), F.xxhash64("html").alias("page"))
-    found = materialised(per_text(keyed, "subtrees array<bigint>", run), "subtrees")
-    sizes = found.groupBy("host").agg(F.count_distinct("page").alias("pages"))
+
+def _templates(found: DataFrame, share: float, least: int, many: int) -> DataFrame:
+    sizes = found.groupBy("host").agg(F.count_distinct("content").alias("pages"))
     counts = (
-        found.select("host", "page", F.explode("subtrees").alias("subtree")).distinct()
-        .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")))
-    common = counts.join(sizes, "host").filter((F.col("n") >= F.lit(share) * F.col("pages")) & (F.col("n") >= least))
-    return common.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+        found.select("host", "content", F.explode("subtrees").alias("subtree")).distinct()
+        .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least))
+    return counts.join(sizes, "host").filter(
+        F.col("n") >= F.least(F.lit(float(many)), F.lit(share) * F.col("pages"))).select("host", "subtree")
+
+
+def site_templates(pages: DataFrame, share: float = SHARE, least: int = PAGES, many: int = MANY) -> DataFrame:
+    """``host`` and ``subtree``, the hash of a subtree that ``many`` different pages of the host have.
+
+    Pages with equal text count once, so a mirrored article is no template.  On hosts of few pages ``share`` of them is
+    enough, if these are ``least`` at least.  A host may have any number of templates.
+    """
+    return _templates(_subtrees(pages), share, least, many)
 
 
-def main_text(pages: DataFrame, share: float = SHARE, least: int = PAGES) -> DataFrame:
+def main_text(pages: DataFrame, share: float = SHARE, least: int = PAGES, many: int = MANY) -> DataFrame:
     """``pages`` without its html, with ``text`` (empty if there is none) and ``n_chars`` (code points).
 
     The text is that of the article or main element, else of the whole page, without menus, headers,
     footers, sidebars, notices, adverts, forms, scripts, styles and comments,
     which are known by their elements and names, and without subtrees that the host repeats on many of its
-    pages.  Blocks are in page order, one a line; white space inside a block is one space.
+    pages (see :func:`site_templates`).  Blocks are in page order, one a line; white space inside a block is one space.
 
     Null html counts as empty; null and odd URLs share the empty host.  Repeated rows
     get equal results; other columns pass through, but for such named text or n_chars; no
     rows give no rows.
     """
-    templates = materialised(site_templates(pages, share, least), "templates")
+    found = _subtrees(pages)
+    templates = materialised(_templates(found, share, least, many), "templates")
+    # What goes from a page is joined to its own subtrees, so no list grows with the host.
+    gone = materialised(
+        found.select("host", "page", F.explode("subtrees").alias("subtree")).join(templates, ["host", "subtree"])
+        .groupBy("host", "page").agg(F.collect_set("subtree").alias("templates")), "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = []
             for html, gone in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist(), strict=True):
-                gone = frozenset(gone or ())
-                texts.append("\n".join(t for t, hashes in Page(html or "").content() if gone.isdisjoint(hashes)))
+                texts.append("\n".join(t for t, hashes in Page(html or "").content() if frozenset(gone or ()).isdisjoint(hashes)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["row", "text", "n_chars"])
 
     rest = F.struct(*[F.col(c) for c in pages.columns if c.lower() not in ("html", "text", "n_chars")])
-    rows = pages.select(host_of().alias("host"), rest.alias("row"), "html").join(templates, "host", "left")
+    rows = pages.select(host_of().alias("host"), _page().alias("page"), rest.alias("row"), "html").join(gone, ["host", "page"], "left")
     kept = rows.select("row", "html", "templates")
     schema = kept.select("row").schema.add("text", "string").add("n_chars", "long")
     return kept.mapInArrow(run, schema).select("row.*", "text", "n_chars")
