@@ -73,6 +73,14 @@ def test_a_box_on_a_small_part_of_a_large_host_goes(spark):
     assert {r.page_id: r.text for r in found} == {i: f"Words of {i}" + ("\nLone box" if i == 199 else "") for i in range(200)}
 
 
+def test_a_box_goes_however_much_of_a_page_it_is(spark):
+    licence = "<div>" + "All rights are <a>reserved</a>. " * 12 + "</div>"
+    htmls = [f"<p>Short {i}</p>{licence}" for i in range(12)] + [f"<article><p>Inside {i}</p>{licence}</article>" for i in range(12)] + [licence]
+    texts = [r.text for r in main_text(pages_of(spark, htmls)).orderBy("page_id").collect()]
+    assert texts[:24] == [f"Short {i}" for i in range(12)] + [f"Inside {i}" for i in range(12)]
+    assert texts[24].startswith("All rights are reserved.")
+
+
 def test_a_mirrored_article_stays(spark):
     """Pages that differ in what is dropped only count once."""
     htmls = [f"<nav>{i}</nav><div><p>An article.</p><ul><li>Its list</ul></div>" for i in range(12)]

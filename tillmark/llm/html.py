@@ -162,16 +162,26 @@ class Page(HTMLParser):
             top.digest.update(data.encode("utf-8", "surrogatepass"))
 
     def content(self) -> list[tuple[str, list[int]]]:
-        """Text and hashes of the possible templates around it, of the article's blocks or, without an article, of all.
+        """Text and hashes of the possible templates around it, of the article's blocks or, without an article, of all."""
+        return [(text, [self.subtrees[i] for i in ids if i in self.subtrees])
+                for inner, text, ids in self.blocks if inner or not self.article]
 
-        A subtree with more than half of the page's text is its content, not a template.
+    def without(self, gone: frozenset) -> list[str]:
+        """The texts outside the subtrees ``gone``.
+
+        If nothing is left, the subtrees with more than half of the text stay, as that is what the page is about;
+        if that is nothing either, all do.
         """
-        blocks = [(text, ids) for inner, text, ids in self.blocks if inner or not self.article]
+        blocks = self.content()
+        left = [text for text, hashes in blocks if gone.isdisjoint(hashes)]
+        if left:
+            return left
         weight: Counter = Counter()
-        for text, ids in blocks:
-            weight.update(dict.fromkeys(ids, len(text)))
-        half = weight[0] / 2
-        return [(text, [self.subtrees[i] for i in ids if i in self.subtrees and weight[i] <= half]) for text, ids in blocks]
+        for text, hashes in blocks:
+            weight.update(dict.fromkeys(hashes, len(text)))
+        half = sum(len(text) for text, _ in blocks) / 2
+        gone = frozenset(h for h in gone if weight[h] <= half)
+        return [text for text, hashes in blocks if gone.isdisjoint(hashes)] or [text for text, _ in blocks]
 
 
 def host_of(url: str = "url") -> Column:
@@ -219,7 +229,7 @@ def main_text(pages: DataFrame, share: float = SHARE, least: int = PAGES, many:
     The text is that of the article or main element, else of the whole page, without menus, headers,
     footers, sidebars, notices, adverts, forms, scripts, styles and comments,
     which are known by their elements and names, and without subtrees that the host repeats on many of its
-    pages (see :func:`site_templates`).  Blocks are in page order, one a line; white space inside a block is one space.
+    pages (see :func:`site_templates`), however much of a page they are, unless nothing would be left of it.  Blocks are in page order, one a line; white space inside a block is one space.
 
     Null html counts as empty; null and odd URLs share the empty host.  Repeated rows
     get equal results; other columns pass through, but for such named text or n_chars; no
@@ -236,7 +246,7 @@ def main_text(pages: DataFrame, share: float = SHARE, least: int = PAGES, many:
         for batch in sliced(batches):
             texts = []
             for html, gone in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist(), strict=True):
-                texts.append("\n".join(t for t, hashes in Page(html or "").content() if frozenset(gone or ()).isdisjoint(hashes)))
+                texts.append("\n".join(Page(html or "").without(frozenset(gone or ()))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["row", "text", "n_chars"])
