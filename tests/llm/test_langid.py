@@ -54,3 +54,9 @@ def test_rejected_rows_go_and_others_keep_their_columns(odd):
     kept = keep_identified(odd)
     assert kept.columns == odd.columns
     assert {1, 2, 5, 9}.isdisjoint(r.doc_id for r in kept.collect()) and kept.filter("doc_id in (6, 7)").count() == 2
+
+
+def test_without_a_learned_language_all_texts_with_a_letter_stay(make):
+    unlabelled = make([(1, "some words", None, "a"), (2, "12 34", None, "a"), (3, None, None, "a"), (4, "漢字", None, "a")])
+    kept = keep_identified(unlabelled)
+    assert kept.columns == unlabelled.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4]

@@ -140,13 +140,21 @@ def identify(docs: DataFrame, train: DataFrame | None = None, sample: int = SAMP
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` whose language is identified with a score of at least ``least``, with all their columns."""
+    """The rows of ``docs`` whose language is identified with a score of at least ``least``, with all their columns.
+
+    If no language can be learned, as no row outside the held-out fold has one, all texts with a letter stay.
+    """
     model = fitted(docs, sample)
 
+    def stays(text: str | None) -> bool:
+        if not model().langs:
+            return any(c.isalpha() for c in text or "")
+        lang, score = model().predict(text)
+        return lang != UNKNOWN and score >= least
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            found = [model().predict(t) for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+            yield batch.filter(pa.array([stays(t) for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
