@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillmark.session import materialised
+
 T = TypeVar("T")
 
 #: Words are runs of anything but these six ASCII characters.
@@ -23,6 +25,9 @@ WORD = rf"[^{SPACE}]+"
 #: Distinct keys are named in this many slices; it bounds how many one task sorts, not how many there are.
 NAME_SLICES = 4096
 
+#: Bits of the bitmap that :func:`may_hold` broadcasts, as a power of two: 8 MB.
+FILTER_BITS = 26
+
 #: Rows that Python works on at a time.
 SLICE = 500
 
@@ -74,6 +79,26 @@ def integer_names(keys: DataFrame, columns: Sequence[str], alias: str = "name")
     return sliced.withColumn(alias, place * NAME_SLICES + F.col("_slice")).drop("_slice")
 
 
+def may_hold(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, negate: bool = False) -> DataFrame:
+    """The ``rows`` whose 64-bit ``key`` may be among the wanted ones, without a shuffle; with ``negate`` the surely others.
+
+    The wanted keys set bits of a bitmap of 2 ** FILTER_BITS, a few megabytes however many they are, which is broadcast.
+    Some other rows pass as well, so an exact join has to follow; it then ships few rows that it does not need.
+    """
+    def bit(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+
+    marks = wanted.select(bit(wanted_key).alias("_bit")).groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_marks"))
+    marked = rows.withColumn("_bit", bit(key)).withColumn("_bucket", F.bitmap_bucket_number("_bit")).join(
+        F.broadcast(materialised(marks, "marks")), "_bucket", "left")
+    place = F.bitmap_bit_position("_bit")
+    byte = F.conv(F.hex(F.substring("_marks", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.expr("getbit(_byte, cast(_place % 8 as int)) = 1"), F.lit(False))
+    found = marked.withColumn("_place", place).withColumn("_byte", byte).filter(~hit if negate else hit)
+    return found.select(*[F.col(c) for c in rows.columns])
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batches in smaller ones, to bound what Python holds of them at a time."""
     for batch in batches:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillmark.llm import html, langid, ledger, mixing, naming, pieces, pii, simhash, toxicity, winnow
+from tillmark.llm import html, langid, ledger, merkle, minhash, mixing, naming, negatives, pieces, pii, simhash, toxicity, winnow
 
 LLM_REGISTRY = {
     "op1_mixture": mixing.op1_mixture,
@@ -15,9 +15,15 @@ LLM_REGISTRY = {
     "op8_personal_data": pii.op8_personal_data,
     "op9_language": langid.op9_language,
     "op10_sentencepiece": pieces.op10_sentencepiece,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_minhash": minhash.op12_minhash,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 LLM_ORACLES = {
     "op2_exact_dedup": naming.OP2_SQL,
     "op4_secret_scan": ledger.OP4_SQL,
+    "op11_hard_negatives": negatives.OP11_SQL,
+    "op12_minhash": minhash.OP12_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
