@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import time
+from collections import defaultdict
+
 import pytest
 
-from tillmark.llm.html import Page, main_text, site_templates
+from tillmark.llm.html import MANY, Page, main_text, site_templates, without
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head>
 <body class="no-sidebar"><header>Site</header><nav><ul><li><a href="/a">menu</a></ul></nav><div class="cookie-notice">We use cookies</div>
@@ -25,7 +28,11 @@ def test_the_article_is_left():
     ("<table><tr><td>1<td>2<tr><td>3</table>tail", "1\n2\n3\ntail"), ("<!-- note --><p>a<!-- cut", "a"),
     ("<p>a &amp b &unknown; &#233;", "a & b &unknown; é"), ("<main>m</main><p>rest", "m"), ("a < b and c > d", "a < b and c > d"),
     ("<div hidden>h</div><div style='display: none'>n</div><p aria-hidden=true>z</p>v", "v"), ("</p></div>x</article>", "x"),
-    ("<article><p>a</p></article><article class=comment><p>b</p></article>", "a")])
+    ("<article><p>a</p></article><article class=comment><p>b</p></article>", "a"),
+    ('<article class="post-12 post hentry category-social tag-search"><p>x', "x"), ('<article class="entry comments-open"><p>x', "x"),
+    ('<article class="no-sidebar"><p>x', "x"), ('<div class="sidebar"><p>x', "x"), ('<div class="tag-search"><p>x<div class="site-footer">f', "x"),
+    ("<form id=aspnetForm><div><p>x</p><input><label>q</label><div class=ad>buy</div></div></form>", "x"),
+    ("<form><article><p>x</p><form><p>n</p></form></article></form>", "x"), ("<article></article><p>x", "x")])
 def test_small_pages(html, text):
     assert text_of(html) == text
 
@@ -85,3 +92,27 @@ def test_a_mirrored_article_stays(spark):
     """Pages that differ in what is dropped only count once."""
     htmls = [f"<nav>{i}</nav><div><p>An article.</p><ul><li>Its list</ul></div>" for i in range(12)]
     assert {r.text for r in main_text(pages_of(spark, htmls)).collect()} == {"An article.\nIts list"}
+
+
+@pytest.mark.parametrize("html, blocks", [
+    ("<div>x" * 200_000, 200_000), ("<a" * 500_000 + ">", 0), ("<p><object>" + "<div>x" * 150_000, 0), ("<b>x" * 200_000, 1),
+    ("<table><tr><td>" * 70_000, 0), ("<p>x<ul><li>" * 80_000, 80_000), ("</div>" * 200_000, 0), ("<" * 1_000_000, 1)])
+def test_time_grows_in_proportion_to_the_page(html, blocks):
+    began = time.process_time()
+    assert len(Page(html).outline()[0]) == blocks
+    assert time.process_time() - began < 20  # the square of these lengths would take minutes
+
+
+def test_templates_equal_a_plain_count(spark):
+    """Boxes of every number of pages, nested ones, ties and repeated rows, against a count over parsed pages."""
+    htmls = [f"<p>Words of {i}</p>" + "".join(f"<div>Box {b}<ul><li>item {b % 3}</li></ul></div>" for b in range(1, 25) if i % b == 0)
+             for i in range(60)] + ["<div>Box 1<ul><li>item 1</li></ul></div>"] * 3
+    pages = pages_of(spark, htmls)
+    outlines = [Page(h).outline() for h in htmls]
+    of = defaultdict(set)
+    for texts, _, _, hashes in outlines:
+        for h in hashes:
+            of[h].add(tuple(texts))
+    gone = frozenset(h for h, found in of.items() if len(found) >= MANY)
+    assert len(gone) > 3 and {r.subtree for r in site_templates(pages).collect()} == gone
+    assert {r.page_id: r.text for r in main_text(pages).collect()} == {i: "\n".join(without(*o, gone)) for i, o in enumerate(outlines)}
