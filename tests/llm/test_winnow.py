@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import xxhash
@@ -26,7 +27,9 @@ def gram_hash(hashes):
 def plain_marks(text):
     """(place, hash) by windows over all grams, the rightmost of the least."""
     text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    words = [word_hash(w) for w in re.findall(rf"[^\x20\x09-\x0d]{{1,{LONGEST}}}", text)]
+    words = []
+    for w in re.findall(r"[^\x20\x09-\x0d]+", text):
+        words += [word_hash(w[i:i + LONGEST]) for i in range(max(1, len(w) - LONGEST + 1))]
     if not words:
         return []
     grams = [gram_hash(words[i:i + GRAM]) for i in range(max(1, len(words) - GRAM + 1))]
@@ -90,3 +93,16 @@ def test_equal_texts_have_equal_digests_and_a_single_one_follows_itself(make):
 
 def test_no_rows_give_no_rows(none):
     assert compare_with_edits(none).isEmpty()
+
+
+def test_text_without_spaces_shares_marks_at_every_shift(make):
+    """A run of LONGEST + GRAM + WINDOW - 2 shared characters is enough, wherever it begins."""
+    random.seed(3)
+    base = "".join(random.choices("abcdefgh漢字", k=600))
+    shared = base[100:100 + LONGEST + GRAM + WINDOW - 2]
+    texts = [base] + [base[-i:] + base for i in range(1, 18)] + ["".join(random.choices("xyz", k=40 + i)) + shared + "x" * i for i in range(10)]
+    marked = [{hash_of_mark for _, hash_of_mark in plain_marks(t)} for t in texts]
+    assert all(len(marked[0] - m) <= 1 for m in marked[1:18]) and all(marked[0] & m for m in marked[18:])
+    found = fingerprints(make([(i, t, None, None) for i, t in enumerate(texts)])).select(
+        "doc_id", F.transform("marks", lambda m: F.struct(place_of(m), hash_of(m))).alias("m"))
+    assert {r.doc_id: [tuple(x) for x in r.m] for r in found.collect()} == {i: plain_marks(t) for i, t in enumerate(texts)}

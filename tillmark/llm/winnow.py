@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,10 +13,14 @@ from tillmark.session import materialised
 #: Words per gram and grams per window: any run of GRAM + WINDOW - 1 shared words shares a mark.
 GRAM = 5
 WINDOW = 8
-#: Longer words are cut, so that text without white space has grams too.
+#: A longer word counts as all its runs of so many characters, so text without white space has grams that don't depend on
+#: where the word begins: any LONGEST + GRAM + WINDOW - 2 shared characters inside such words share a mark.
 LONGEST = 16
+#: Documents that are followed to the next one in a task.
+FOLLOWED = 50_000
 
-#: A gram's key holds its hash above the bits below, and its position from the end of the text in those bits.
+#: A gram's key holds its hash above the bits below, and its position from the end of the text in those bits.  36 bits of
+#: hash tell the grams of two texts apart; an index over all grams of a large corpus would want more.
 PLACE_BITS = 28
 PLACE_MASK = (1 << PLACE_BITS) - 1
 
@@ -27,8 +33,9 @@ def marks(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     equals.  A text with fewer words is one gram, one with fewer grams one window;
     a text without a word has no marks.  Letters A-Z count as a-z.
     """
-    words = F.transform(
-        F.regexp_extract_all(ascii_lower(text), F.lit(WORD.replace("+", f"{{1,{LONGEST}}}")), F.lit(0)), lambda w: F.xxhash64(w))
+    def runs(word: Column) -> Column:
+        return F.when(F.length(word) <= LONGEST, F.array(word)).otherwise(
+            F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{LONGEST}}}))"), F.lit(1)))
 
     def keyed(hashes: Column) -> Column:
         return F.transform(
@@ -45,7 +52,10 @@ def marks(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     nothing = F.array().cast("array<bigint>")
     # A lambda over a one-element array binds each step's array, so that it is computed once.
     once = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
-    return once(words, lambda w: F.when(F.size(w) == 0, nothing).otherwise(once(keyed(w), winnowed)))
+    found = F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
+    words = once(found, lambda w: F.when(F.exists(w, lambda x: F.length(x) > LONGEST), F.flatten(F.transform(w, runs))).otherwise(w))
+    return once(F.transform(words, lambda w: F.xxhash64(w)),
+                lambda w: F.when(F.size(w) == 0, nothing).otherwise(once(keyed(w), winnowed)))
 
 
 def hash_of(mark: Column) -> Column:
@@ -90,8 +100,9 @@ def successors(docs: DataFrame) -> DataFrame:
     """
     keys = docs.select(F.struct("doc_id", F.sha2(text_of(), 256).alias("sha")).alias("key"), F.length(text_of()).alias("n"))
     order = [F.col("key.doc_id").desc_nulls_last(), F.col("key.sha").asc()]
-    ranged = materialised(
-        keys.dropDuplicates(["key"]).repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "keys")
+    distinct = materialised(keys.dropDuplicates(["key"]), "keys")
+    slices = max(1, math.ceil(distinct.count() / FOLLOWED))
+    ranged = materialised(distinct.repartitionByRange(slices, *order).withColumn("part", F.spark_partition_id()), "ranged")
     inside = Window.partitionBy("part").orderBy(*order)
     followed = ranged.withColumn("next", F.lead("key").over(inside)).withColumn(
         "nth", F.row_number().over(inside))
@@ -117,17 +128,17 @@ def compare_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WINDOW)
     texts = docs.select(
         F.struct("doc_id", F.sha2(text_of(), 256).alias("sha")).alias("key"), text_of().alias("text")
     ).dropDuplicates(["key"])
-    own = texts.select("key", "text", marks(F.col("text"), gram, window).alias("marks"))
-    # What a document needs of the next one: as much of its beginning as is replaced, and its hashes.
-    lent = own.select(F.col("key").alias("next"), F.col("text").alias("_other"), grams(F.col("marks")).alias("next_grams")).join(
-        after, "next").select("key", F.substring("_other", F.lit(1), F.expr("n div 3").cast("int")).alias("tail"), "next_grams", "n")
-    both = own.join(lent, "key").select(
-        "key.doc_id", F.col("n").cast("long").alias("n_chars"), "marks", "next_grams",
-        F.concat(F.substring("text", F.lit(1), F.col("n") - F.expr("n div 3").cast("int")), "tail").alias("_edited"))
-    compared = both.select("doc_id", "n_chars", "marks", "next_grams", F.sha2("_edited", 256).alias("edited_sha256"),
-                           marks(F.col("_edited"), gram, window).alias("edited_marks"))
-    return compared.select(
-        "doc_id", "n_chars", "marks", "edited_sha256", "edited_marks",
+    marked = materialised(texts.select("key", marks(F.col("text"), gram, window).alias("marks")), "marks")
+    # What a document needs of the next one: as much of its beginning as is replaced.
+    lent = texts.select(F.col("key").alias("next"), F.col("text").alias("_other")).join(after, "next").select(
+        "key", "next", F.substring("_other", F.lit(1), F.expr("n div 3").cast("int")).alias("tail"), "n")
+    edited = texts.join(lent, "key").select("key", "next", F.col("n").cast("long").alias("n_chars"), F.concat(
+        F.substring("text", F.lit(1), F.col("n") - F.expr("n div 3").cast("int")), "tail").alias("_edited"))
+    compared = materialised(edited.select("key", "next", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"),
+                                          marks(F.col("_edited"), gram, window).alias("edited_marks")), "edited")
+    others = marked.select(F.col("key").alias("next"), grams(F.col("marks")).alias("next_grams"))
+    return compared.join(marked, "key").join(others, "next").select(
+        "key.doc_id", "n_chars", "marks", "edited_sha256", "edited_marks",
         likeness(grams(F.col("marks")), grams(F.col("edited_marks"))).alias("near_edited"),
         likeness(grams(F.col("marks")), F.col("next_grams")).alias("near_next"))
 
