@@ -3,11 +3,13 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import time
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillmark.sinks import keyindex
 from tillmark.sources import files, streams
 from tillmark.streaming import events as ingest
 from tillmark.streaming import signals
@@ -115,12 +117,94 @@ def test_a_replayed_batch_writes_the_same_files(lab, spark):
     assert [(r["event_id"], r["state"]) for r in back.collect()] == [("E1", "CA")]
 
 
-def test_bounded_replay_search(lab, spark):
-    sink = ingest.EventSink(lab.sink.table, lab.sink.lake, lab.sink.quarantine, replay_days=1)
-    at = F.lit("2023-06-15 23:30:00").cast("timestamp")
-    for n in range(2):
-        sink.write(ingest.validated(raw(spark, [event(1)])).withColumn("ingested_at", at), n)
-    assert lab.ids() == ["E1"]
+def at_once(spark, events):
+    return ingest.validated(raw(spark, events)).withColumn("ingested_at", F.lit("2023-06-15 23:30:00").cast("timestamp"))
+
+
+def test_an_id_that_comes_back_much_later_is_known(lab, spark):
+    for n in range(20):  # enough for the runs of the index to be merged
+        lab.sink.write(at_once(spark, [event(n), event(0, event_timestamp=f"20{30 + n}-01-01T00:00:00Z")]), n)
+    assert lab.ids() == sorted(f"E{n}" for n in range(20))
+    runs = list((lab.root / "events__ids" / "runs").glob("level=*/run=*"))
+    assert len(runs) < 16 and any("level=1" in str(r) for r in runs)
+
+
+@pytest.mark.parametrize("step", ["add", "close"])
+def test_a_batch_that_fails_between_table_and_index(lab, spark, monkeypatch, step):
+    """Its replay, and other batches before that, add nothing twice and lose nothing."""
+    with monkeypatch.context() as broken:
+        whole = getattr(keyindex.KeyIndex, step)
+        def fail(self, rows, load):
+            if load == "one-3":
+                raise OSError("lost")
+            return whole(self, rows, load)
+        broken.setattr(keyindex.KeyIndex, step, fail)
+        with pytest.raises(OSError):
+            lab.sink.write(at_once(spark, [event(1), event(2)]), 3, "one")
+    lab.sink.write(at_once(spark, [event(2), event(4)]), 0, "two")
+    assert lab.ids() == ["E1", "E2", "E4"]
+    lab.sink.write(at_once(spark, [event(1), event(2)]), 3, "one")
+    lab.sink.write(at_once(spark, [event(1), event(2), event(4)]), 1, "two")
+    assert lab.ids() == ["E1", "E2", "E4"] and lab.sink.index.doubtful(spark) == []
+
+
+def test_a_table_without_an_index_gets_one(lab, spark):
+    lab.sink.write(at_once(spark, [event(1)]), 0)
+    lab.sink = ingest.EventSink(lab.sink.table, lab.sink.lake, lab.sink.quarantine)
+    keyindex._delete(spark, lab.sink.index.path)
+    lab.sink.write(at_once(spark, [event(1), event(2)]), 1)
+    assert lab.ids() == ["E1", "E2"]
+
+
+def test_two_queries_at_once_add_an_id_once(lab, spark):
+    for n in range(4):
+        lab.deliver(f"{n}.json", [event(i) for i in range(n * 10, n * 10 + 20)])
+    source = lambda: streams.json_line_events(spark, str(lab.root / "in"), max_files=1)
+    running = [ingest.start_ingest(source(), lab.sink, str(lab.root / f"c{i}"), every=None, name=f"ingest{i}") for i in range(2)]
+    for query in running:
+        query.awaitTermination()
+    assert lab.ids() == sorted(f"E{n}" for n in range(50))
+
+
+def test_a_claim_is_waited_for_and_taken_over(spark, tmp_path):
+    table = str(tmp_path / "t")
+    keyindex._write_text(spark, f"{table}.claim", f"other\n{time.time()}")
+    with pytest.raises(TimeoutError), keyindex.one_writer(spark, table, "me", patience=0.3):
+        pass
+    with keyindex.one_writer(spark, table, "other", patience=0.3):  # restarted
+        assert keyindex._read_text(spark, f"{table}.claim").startswith("other")
+    keyindex._write_text(spark, f"{table}.claim", f"other\n{time.time() - 5000}")
+    with keyindex.one_writer(spark, table, "me", patience=0.3):
+        assert keyindex._read_text(spark, f"{table}.claim").startswith("me")
+    assert keyindex._read_text(spark, f"{table}.claim") is None
+
+
+def rows_scanned(df):
+    """Rows that the scans of an executed plan gave out."""
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        own = node.metrics().apply("numOutputRows").value() if name.startswith("Scan parquet") else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_a_lookup_reads_the_row_groups_that_may_hold_the_ids(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyindex, "ROW_GROUP", 64 << 10)
+    index = keyindex.KeyIndex(str(tmp_path / "ids"), ("event_id",))
+    index.add(spark.range(400_000).select(F.concat(F.lit("E"), "id").alias("event_id")), "first")
+    rows = spark.createDataFrame([("E17",), ("E399999",), ("new",)], "event_id string")
+    found = index.unseen(rows)
+    assert [r[0] for r in found.collect()] == ["new"]
+    assert "In(key_hash" in found._jdf.queryExecution().executedPlan().toString().replace("`", "")
+    assert rows_scanned(found) < 100_000
+    many = spark.range(399_000, 401_000).select(F.concat(F.lit("E"), "id").alias("event_id"))
+    assert index.unseen(many).count() == 1000
 
 
 def test_landed_events_lie_beside_streamed_ones(lab, spark):

@@ -17,6 +17,8 @@ JOB_CONF = {
     # A hot join key is split at run time instead of landing in one task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet's statistics and bloom filters get the keys of a small load one by one.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Rewriting a day replaces that day's partitions only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Keeps streaming state off the heap and checkpoints its changes only.

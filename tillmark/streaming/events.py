@@ -7,6 +7,7 @@ after a failure changes nothing.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -18,8 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillmark.functions.dates import parse_event_time
 from tillmark.functions.ordering import first_per_key
-from tillmark.operators.merge import insert_ignore, read_if_exists
+from tillmark.operators.merge import read_if_exists
 from tillmark.schemas import EVENT_COLUMNS, EVENT_TYPES, RAW_EVENT
+from tillmark.sinks.keyindex import KeyIndex, one_writer
 from tillmark.sources.files import with_day_columns
 
 REQUIRED = ("event_id", "event_type", "event_timestamp", "product_id")
@@ -73,40 +75,56 @@ def normalised(events: DataFrame, *extra: str) -> DataFrame:
 class EventSink:
     """Where a micro-batch goes.
 
-    By default a batch's event ids are looked up among all ids of the table, which
-    also finds one that comes back with another time; only the id column is scanned,
-    and not shuffled for a batch of ordinary size.  ``replay_days`` bounds the search
-    to that many days around the batch's own days, for tables too long to scan.
+    A batch's event ids are looked up in an index of all ids beside the table, which also finds one that comes back
+    with another time, however late; the table itself is not read.  Queries that share a table take turns.
     """
 
     table: str
     lake: str
     quarantine: str
-    replay_days: int | None = None
+
+    @property
+    def index(self) -> KeyIndex:
+        return KeyIndex(f"{self.table}__ids", ("event_id",))
 
     def write(self, batch: DataFrame, batch_id: int, stream: str = "stream") -> None:
         """``stream`` tells queries apart that share the sink: batch ids start anew with every checkpoint."""
-        batch = batch.withColumn("batch", F.lit(f"{stream}-{batch_id}")).persist()
+        load = f"{stream}-{batch_id}"
+        batch = batch.withColumn("batch", F.lit(load)).persist()
         try:
             valid = normalised(batch.filter("reject_reason is null"), "ingested_at", "batch")
             self._quarantine(batch.filter("reject_reason is not null"))
             self._append_raw(valid)
-            # Last: by now the batch is cached and its size known.
-            self._insert(valid, batch)
+            rows = first_per_key(valid.drop("batch"), ["event_id"], ["event_timestamp"])
+            rows = rows.withColumnRenamed("ingested_at", "load_timestamp").withColumn("event_date", F.to_date("event_timestamp"))
+            with one_writer(batch.sparkSession, self.table, stream):
+                self._insert(rows.persist(), load)
+            rows.unpersist()
         finally:
             batch.unpersist()
 
-    def _insert(self, valid: DataFrame, batch: DataFrame) -> None:
-        """New event ids only; a replayed batch finds its own rows and adds none."""
-        rows = first_per_key(valid.drop("batch"), ["event_id"], ["event_timestamp"])
-        rows = rows.withColumnRenamed("ingested_at", "load_timestamp").withColumn("event_date", F.to_date("event_timestamp"))
-        known = read_if_exists(valid.sparkSession, self.table, rows.schema)
-        if self.replay_days is not None:
-            first, last = valid.agg(F.to_date(F.min("event_timestamp")), F.to_date(F.max("event_timestamp"))).first()
-            known = known.filter(F.col("event_date").between(
-                F.date_sub(F.lit(first), self.replay_days), F.date_add(F.lit(last), self.replay_days)))
-        (insert_ignore(known, rows, ["event_id"], as_small_as=batch).hint("rebalance", "event_date")
-         .write.mode("append").partitionBy("event_date").parquet(self.table))
+    def _insert(self, rows: DataFrame, load: str) -> None:
+        """New event ids only.
+
+        A batch that failed between the table and the index is replayed with the same rows, so it finds its own in
+        the days it wrote; until then, other batches look there, too.
+        """
+        spark, index = rows.sparkSession, self.index
+        table = read_if_exists(spark, self.table, rows.schema)
+        if not index.exists(spark):
+            # A table from before there was an index, or none yet.
+            index.add(table, "first")
+        fresh = index.unseen(rows)
+        if doubtful := index.doubtful(spark):
+            held = table.filter(F.col("event_date").isin([dt.date.fromisoformat(d) for d in doubtful])).select("event_id")
+            fresh = fresh.join(held, "event_id", "left_anti")
+        # Bounded by the calendar.
+        index.open(spark, load, [str(r[0]) for r in rows.select("event_date").distinct().collect()])
+        fresh.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(self.table)
+        # All keys of the batch, as a replay writes the same run again.
+        index.add(rows, load)
+        index.close(spark, load)
+        index.settle(spark, rows.schema)
 
     def _append_raw(self, valid: DataFrame) -> None:
         """JSON lines by ingest hour; the ingest time is the batch's, so a replay lands in the same place."""
