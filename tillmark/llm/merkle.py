@@ -104,7 +104,7 @@ def _interior(height: int):
     return run
 
 
-PROOF = StructType.fromDDL("proof array<struct<digest: binary, before: boolean>>, top binary")
+PROOF = "proof array<struct<digest: binary, before: boolean>>, top binary"
 
 
 def _prove(carry: pa.Schema):
@@ -169,7 +169,7 @@ def proven(leaves: DataFrame, carry: list[str], height: int = HEIGHT) -> DataFra
         "tree", "run", "level", "place", "digest")
     columns = list(dict.fromkeys(["tree", "place", "digest", *carry]))
     picked = leaves.select("run", "count", *columns)
-    schema = StructType([*leaves.select(*columns).schema, *PROOF])
+    schema = StructType([*leaves.select(*columns).schema, *StructType.fromDDL(PROOF)])
     return picked.groupBy("tree", "run").cogroup(fetched.groupBy("tree", "run")).applyInArrow(_prove(columns), schema)
 
 
