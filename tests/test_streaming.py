@@ -3,16 +3,17 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import random
 import time
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark.sinks import keyindex
+from tillmark.sinks import keyindex, once
 from tillmark.sources import files, streams
 from tillmark.streaming import events as ingest
-from tillmark.streaming import signals
+from tillmark.streaming import progress, signals
 
 
 def event(n, **changes):
@@ -297,11 +298,91 @@ def test_events_out_of_order_are_all_counted(spark, tmp_path):
     assert sum(r["late"] for r in missing.collect()) == lost
 
 
-def test_finished_and_open_sessions_are_all_sessions(spark, tmp_path):
-    rows = [("u", "2023-01-01 10:00:00"), ("u", "2023-01-01 10:20:00"), ("v", "2023-01-03 10:00:00"), ("u", "2023-01-03 11:00:00")]
+def test_windows_without_state_count_late_events(spark, tmp_path):
+    rows = [("u", "2023-01-01 10:00:00"), ("u", "2023-01-03 10:00:00"), ("v", "2023-01-01 10:05:00"), ("u", "2023-01-01 11:05:00"), ("u", "2022-12-01 00:00:00")]
     stream, events = _in_batches(spark, tmp_path, rows)
-    found = signals.sessions(stream, "ts", "user_id", "1 hour", "1 hour")
-    signals.start_append(found, str(tmp_path / "t"), str(tmp_path / "c"), None).awaitTermination()
-    finished = spark.read.schema(found.schema).parquet(str(tmp_path / "t"))
-    everything = finished.unionByName(signals.open_sessions(events, finished, "ts", "user_id", "1 hour"))
-    assert sorted((r["user_id"], r["events"]) for r in everything.collect()) == [("u", 1), ("u", 2), ("v", 1)]
+    run = lambda: signals.start_window_totals(
+        stream, "ts", ["user_id"], "price", "6 hours", str(tmp_path / "t"), str(tmp_path / "c"), every=None).awaitTermination()
+    run()
+    want = sorted(map(tuple, signals.windowed_demand(events, "ts", ["user_id"], "price", "6 hours").collect()))
+    read = lambda: sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "t")).drop("day").collect())
+    assert read() == want and len(want) == 4
+    run()
+    assert read() == want
+
+
+def test_a_repeated_batch_is_added_once(spark, tmp_path, monkeypatch):
+    """Whether it failed before, while or after the rows were put in place."""
+    path, state = str(tmp_path / "t"), {"n": 0}
+    def change(day, n):
+        def made():
+            rows = spark.createDataFrame([("k", n, dt.date(2023, 1, day))], "k string, n bigint, day date")
+            held = once.stored(spark, path, rows.schema).filter(F.col("day") == dt.date(2023, 1, day))
+            state["n"] += 1
+            return signals.added(held, rows, ["k", "day"], ["n"]), [f"2023-01-{day:02d}"]
+        return made
+    read = lambda: {str(r["day"]): r["n"] for r in spark.read.parquet(path).collect()}
+    assert once.change_once(spark, path, "s", 0, "day", change(1, 5))
+    assert not once.change_once(spark, path, "s", 0, "day", change(1, 5)) and read() == {"2023-01-01": 5}
+    whole = once.write_partitions
+    def torn(rows, path, by):
+        whole(rows, path, by)
+        raise OSError("lost")
+    with monkeypatch.context() as broken, pytest.raises(OSError):
+        broken.setattr(once, "write_partitions", torn)
+        once.change_once(spark, path, "s", 1, "day", change(1, 7))
+    assert once.change_once(spark, path, "s", 1, "day", change(1, 7)) and read() == {"2023-01-01": 12} and state["n"] == 2
+    assert once.change_once(spark, path, "other", 0, "day", change(2, 1)) and read() == {"2023-01-01": 12, "2023-01-02": 1}
+    gone = lambda: (spark.createDataFrame([], "k string, n bigint, day date"), ["2023-01-02"])
+    assert once.change_once(spark, path, "other", 1, "day", gone) and read() == {"2023-01-01": 12}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sessions_of_events_in_any_order(spark, tmp_path, seed):
+    """Late events that extend sessions, and bridge two of different days, against sessions of all events."""
+    rng = random.Random(seed)
+    rows = [("u", "2023-01-01 10:00:00"), ("u", "2023-01-01 11:00:00"), ("v", "2023-01-03 10:00:00"), ("u", "2023-01-01 08:00:00"),
+            ("u", "2023-01-02 01:00:00"), ("u", "2023-01-01 17:00:00"), ("u", "2023-01-01 19:30:00"), ("v", "2023-01-03 16:00:00")]
+    rows += [(rng.choice("uvw"), f"2023-01-0{rng.randint(1, 5)} {rng.randint(0, 23):02d}:00:00") for _ in range(4)]
+    if seed:
+        rng.shuffle(rows)
+    stream, events = _in_batches(spark, tmp_path, rows)
+    signals.start_sessions(stream, "ts", "user_id", "6 hours", str(tmp_path / "t"), str(tmp_path / "c"), None).awaitTermination()
+    found = signals.with_duration(spark.read.parquet(str(tmp_path / "t")))
+    want = events.groupBy(F.session_window("ts", "6 hours").alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last"))
+    assert sorted((r["user_id"], r["session_start"], r["last_event"], r["events"]) for r in found.collect()) == sorted(
+        (r["user_id"], r["w"]["start"], r["last"], r["n"]) for r in want.collect())
+
+
+def test_the_progress_log_holds_more_batches_than_spark(lab, spark, tmp_path):
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    log = progress.ProgressLog(spark, str(tmp_path / "log"))
+    spark.streams.addListener(log)
+    try:
+        for n in range(5):
+            lab.deliver(f"{n}.json", [event(n), event(100 + n, price=-1)])
+        source = streams.json_line_events(spark, str(lab.root / "in"), max_files=1)
+        query = ingest.start_ingest(source, lab.sink, str(lab.root / "checkpoint"), every=None)
+        progress.finished(query)
+        assert ingest.counters(query)["consumed"] < 10
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    found = {r["metric"]: (r["value"], r["batches"]) for r in progress.counters(spark, str(tmp_path / "log")).collect()}
+    assert found == {"consumed": (10, 5), "valid": (5, 5), "dropped": (5, 5)}
+    assert progress.counters(spark, str(tmp_path / "none")).isEmpty()
+
+
+def test_batches_are_bounded_and_nothing_is_lost(lab, spark):
+    """A processing-time trigger over many files, three a batch."""
+    for n in range(8):
+        lab.deliver(f"{n}.json", [event(n)])
+    source = streams.json_line_events(spark, str(lab.root / "in"), max_files=3)
+    query = ingest.start_ingest(source, lab.sink, str(lab.root / "checkpoint"), every="1 second")
+    try:
+        query.processAllAvailable()
+        sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    assert len(sizes) >= 3 and max(sizes) <= 3 and len(lab.ids()) == 8

@@ -30,6 +30,11 @@ def daily_demand(sales: DataFrame, keys: Sequence[str] = SERIES, where: Column |
         F.sum("discount_cents").alias("_discount"),
         F.sum("gross_cents").alias("_gross"),
     )
+    return daily_columns(totals)
+
+
+def daily_columns(totals: DataFrame) -> DataFrame:
+    """Daily sums with money in dollars, the rates and the calendar columns."""
     return with_calendar_columns(
         totals.withColumns({
             "total_revenue": dollars("_net"),
@@ -40,6 +45,13 @@ def daily_demand(sales: DataFrame, keys: Sequence[str] = SERIES, where: Column |
     )
 
 
+def demand_rollup(daily: DataFrame) -> DataFrame:
+    """Units and revenue of daily rows per region and category, per region, and in all; ``level`` is 0, 1 and 3."""
+    return daily.rollup("region", "category").agg(
+        F.grouping_id().alias("level"), F.sum("total_quantity").alias("total_quantity"), F.sum("total_revenue").alias("total_revenue"),
+        F.count_distinct("agg_date").alias("days"))
+
+
 def with_dims(daily: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
     """Category and region.  Joined after the aggregation: both depend on the ids alone."""
     return (daily.join(products.select("product_id", "category"), "product_id")

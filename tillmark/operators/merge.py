@@ -18,12 +18,40 @@ def latest_per_key(source: DataFrame, keys: Sequence[str], order_by: str) -> Dat
     return first_per_key(ordered, list(keys), ["_newest"]).drop("_newest")
 
 
+class UnfitSource(ValueError):
+    """Rows to merge have no key, or share one and differ."""
+
+
+def unfit_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that cannot be merged, with the ``reason``: ``null_key``, or ``ambiguous_key`` if rows of one key differ."""
+    others = [c for c in source.columns if c not in keys]
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    clashing = source.filter(~null_key).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    return source.filter(null_key).withColumn("reason", F.lit("null_key")).unionByName(
+        source.join(clashing, list(keys), "left_semi").select(*source.columns).withColumn("reason", F.lit("ambiguous_key"))).select(
+        *keys, *others, "reason")
+
+
 def unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, none without a key: repeated keys would multiply rows, and null keys be inserted on every run.
+    """One row per key.  A row without a key, or rows of one key that differ, stop the job when they are met.
 
-    Of rows with one key the first by all other columns counts; `latest_per_key` chooses by time beforehand.
+    Repeated keys would multiply rows, and null keys be inserted on every run.  `unfit_rows` finds such rows
+    beforehand; `latest_per_key` chooses by time.  Equal rows count once, without a shuffle of their own.
     """
-    return first_per_key(source.dropna(subset=list(keys)), list(keys), [c for c in source.columns if c not in keys])
+    others = [c for c in source.columns if c not in keys]
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    named = source.withColumn(keys[0], F.when(null_key, F.raise_error(F.lit(f"a row to merge has no {', '.join(keys)}"))).otherwise(F.col(keys[0])))
+    if not others:
+        return named.distinct()
+    row = F.struct(*[F.col(c) for c in others])
+    ambiguous = F.raise_error(F.concat(F.lit(f"rows to merge differ for {', '.join(keys)} "), F.to_json(F.struct(*keys))))
+    found = named.groupBy(*keys).agg(F.min(row).alias("_low"), F.max(row).alias("_high")).withColumn(
+        "_low", F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low")).otherwise(ambiguous))
+    return found.select(*keys, "_low.*").select(*source.columns)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -131,12 +159,21 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
     return history.unionByName(both.select(F.explode(versions).alias("v")).select("v.*"))
 
 
-def as_of_version(facts: DataFrame, dim: DataFrame, key: str, day: str) -> DataFrame:
-    """Facts with the dimension version valid on their day (from inclusive, to exclusive)."""
-    versions = dim.withColumnsRenamed({key: "_key"})
-    on = (
-        (facts[key] == versions["_key"])
-        & (versions["effective_from"] <= facts[day])
-        & (versions["effective_to"].isNull() | (facts[day] < versions["effective_to"]))
-    )
-    return facts.join(versions, on).drop("_key")
+def as_of_version(facts: DataFrame, dim: DataFrame, key: str, day: str, every: str = "month") -> DataFrame:
+    """Facts with the dimension version valid on their day (from inclusive, to exclusive).
+
+    Versions of a key must not overlap.  Facts and versions meet by key and month (``every``), a version in each month it
+    is valid in.  As versions hold for whole days, a fact meets at most as many as a month has days, however many its key has,
+    and a key with many facts is spread over the months; within one, the join is split at run time.
+    """
+    span = facts.agg(F.min(day), F.max(day)).first()
+    first, last = F.lit(span[0]).cast("date"), F.lit(span[1]).cast("date")
+    since, until = F.col("effective_from"), F.col("effective_to")
+    months = F.sequence(F.trunc(F.greatest(since, first), every), F.trunc(F.least(F.coalesce(F.date_sub(until, 1), last), last), every),
+                        F.expr(f"interval 1 {every}"))
+    valid = dim.filter((since <= last) & (until.isNull() | ((until > first) & (until > since)))).withColumn(
+        "_slice", F.explode(months)).withColumnsRenamed({key: "_key"})
+    dated = facts.withColumn("_month", F.trunc(day, every))
+    on = (dated[key] == valid["_key"]) & (dated["_month"] == valid["_slice"]) & (valid["effective_from"] <= dated[day]) & (
+        valid["effective_to"].isNull() | (dated[day] < valid["effective_to"]))
+    return dated.join(valid, on).drop("_key", "_slice", "_month")

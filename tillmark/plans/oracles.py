@@ -247,6 +247,15 @@ p AS (SELECT *, isoyear(week_start) AS year, week(week_start) AS week_of_year, {
 
 WOW = f"SELECT *, {ratio('100 * (total_quantity - prev_week_qty)', 'prev_week_qty', 4)} AS wow_change_pct FROM p"
 
+oracle("weekly_upsert", SALES, weekly("sales", "product_id, store_id"), select="SELECT * EXCLUDE (prev_week_qty) FROM p")
+oracle("demand_rollup", SERIES_BASE, select=f"""
+SELECT region, category, grouping(region, category) AS level, sum(total_quantity) AS total_quantity,
+       {usd('sum(net)')} AS total_revenue, count(DISTINCT agg_date) AS days FROM series GROUP BY ROLLUP (region, category)""")
+oracle("weekly_customers_approx", SALES, select="""
+SELECT 'week' AS span, CAST(date_trunc('week', sale_date) AS DATE) AS since, count(DISTINCT customer_id) AS customers, true AS within_bound
+FROM sales GROUP BY 2
+UNION ALL SELECT 'quarter', CAST(date_trunc('quarter', sale_date) AS DATE), count(DISTINCT customer_id), true FROM sales GROUP BY 2""")
+
 oracle("weekly_demand_wow", SERIES_BASE, weekly("series_sales", "category, region"), select=WOW)
 oracle("weekly_demand_product_store", SALES, weekly("sales", "product_id, store_id"), select=WOW)
 oracle("weekly_from_daily", SERIES_BASE, weekly("series", "category, region", "sum(total_orders)", "agg_date", "total_quantity", "row"),
@@ -682,6 +691,10 @@ oracle("stream_clean_events", EVENTS, select=f"""
 SELECT event_id, event_type, ts AS event_timestamp, session_id, user_id, product_id, {_PRICE_OUT}, 1 AS quantity, 'web' AS device,
        'S' || substr(user_id, 1, 1) AS state FROM judged WHERE outcome = 'valid'""")
 oracle("stream_quarantine", EVENTS, select="SELECT event_id, outcome AS reject_reason FROM judged WHERE outcome <> 'valid'")
+oracle("stream_counters", EVENTS, select="""
+SELECT 'consumed' AS metric, count(*) AS value FROM judged
+UNION ALL SELECT 'valid', count(*) FILTER (outcome = 'valid') FROM judged
+UNION ALL SELECT 'dropped', count(*) FILTER (outcome <> 'valid') FROM judged""")
 oracle("stream_raw_lake", EVENTS, select="""
 SELECT event_type, 'S' || substr(user_id, 1, 1) AS state, count(*) AS events, CAST(sum(price) AS DOUBLE) AS total_price
 FROM judged WHERE outcome = 'valid' GROUP BY 1, 2""")

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmark.functions import sketches
+from tillmark.functions.dates import week_start
 from tillmark.functions.numbers import dollars, money
 from tillmark.functions.ordering import first_per_key, numbered_after
-from tillmark.operators import analytics, clean, dashboard, demand, enrich, features, forecast, merge, quality, runlog, star
+from tillmark.operators import analytics, clean, dashboard, demand, enrich, features, forecast, increments, merge, quality, runlog, star
 from tillmark.plans.tables import Tables
 from tillmark.plans.views import register_views
 from tillmark.schemas import RAW_POS
@@ -18,7 +20,7 @@ from tillmark.session import run_dir
 from tillmark.sinks import lake
 from tillmark.sources import files
 from tillmark.streaming import events as ingest
-from tillmark.streaming import signals
+from tillmark.streaming import progress, signals
 
 # The day after the last order; every scale ends on 2001-08-01.
 AS_OF = "2001-08-01"
@@ -162,11 +164,49 @@ def daily_demand_from_raw(t: Tables) -> DataFrame:
 
 @query
 def daily_demand_incremental(t: Tables) -> DataFrame:
-    """The table up to a day, with the days from a month before it on loaded again."""
-    sales, day = t.sales(), F.col("sale_date")
-    loaded = demand.daily_demand(sales, where=day < F.lit(SPLIT_DAY).cast("date"))
-    again = demand.daily_demand(sales, where=day >= F.date_sub(F.lit(SPLIT_DAY).cast("date"), 30))
-    return merge.merge_upsert(loaded, again, ["agg_date", "product_id", "store_id"])
+    """The sales up to a day with a month of them as first reported; then the corrections, and the sales from then on."""
+    path, sales, day = f"{run_dir(t.spark, 'partials')}/t", t.sales(), F.col("sale_date")
+    split = F.lit(SPLIT_DAY).cast("date")
+    reported = sales.filter(day < split).withColumn("quantity_sold", F.col("quantity_sold") + F.when(day >= F.date_sub(split, 30), 1).otherwise(0))
+    increments.apply_lines(t.spark, path, "sales", 0, reported)
+    later = day >= F.date_sub(split, 30)
+    increments.apply_lines(t.spark, path, "sales", 1, sales.filter(later), withdrawn=reported.filter(later))
+    return increments.daily_demand(t.spark.read.parquet(path))
+
+
+@query
+def weekly_upsert(t: Tables) -> DataFrame:
+    """Weekly demand as a table: the weeks up to a day, then the last of them and all later ones merged in by key."""
+    path, day = f"{run_dir(t.spark, 'weekly')}/t", F.col("sale_date")
+    split = week_start(F.lit(SPLIT_DAY).cast("date"))
+    keys = ["year", "week_start", *demand.SERIES]
+    # The first load has seen only the first days of its last week.
+    for where in (day < F.date_add(split, 3), day >= split):
+        merge.upsert_partitioned(demand.weekly_demand(t.sales(), where=where), path, keys, ["year"])
+    return t.spark.read.parquet(path)
+
+
+@query
+def demand_rollup(t: Tables) -> DataFrame:
+    return demand.demand_rollup(_series_daily(t))
+
+
+@query
+def weekly_customers_approx(t: Tables) -> DataFrame:
+    """Customers per week and quarter from daily sketches, each beside the exact count, and whether the error is within its bound."""
+    sales = t.sales()
+    path = f"{run_dir(t.spark, 'sketches')}/t"
+    sketches.with_sketch(sales, ["sale_date"], "customer_id", "customers").write.parquet(path)
+    daily = t.spark.read.parquet(path)
+    result = None
+    for name, since in (("week", F.trunc("sale_date", "week")), ("quarter", F.trunc("sale_date", "quarter"))):
+        approx = sketches.united(daily, [since.alias("since")], "customers", "approx")
+        exact = sales.groupBy(since.alias("since")).agg(F.countDistinct("customer_id").alias("customers"))
+        compared = exact.join(approx, "since").select(
+            F.lit(name).alias("span"), "since", "customers",
+            (F.abs(F.col("approx") - F.col("customers")) <= F.ceil(F.col("customers") * sketches.error_bound())).alias("within_bound"))
+        result = compared if result is None else result.unionByName(compared)
+    return result
 
 
 @query
@@ -676,6 +716,20 @@ def stream_clean_events(t: Tables) -> DataFrame:
         "user_id", "product_id", "price", "quantity", "device", "state")
 
 
+@query
+def stream_counters(t: Tables) -> DataFrame:
+    """What the listener wrote down of every batch of the ingestion, in several batches."""
+    root = run_dir(t.spark, "counters")
+    log = progress.ProgressLog(t.spark, f"{root}/progress")
+    t.spark.streams.addListener(log)
+    try:
+        sink = ingest.EventSink(f"{root}/events", f"{root}/lake", f"{root}/quarantine")
+        progress.finished(ingest.start_ingest(t.as_json(_out_of_order(t)), sink, f"{root}/checkpoint", every=None))
+    finally:
+        t.spark.streams.removeListener(log)
+    return progress.counters(t.spark, f"{root}/progress").select("metric", "value")
+
+
 @query
 def stream_quarantine(t: Tables) -> DataFrame:
     sink, _ = _drain(t)
@@ -702,26 +756,31 @@ def _utc(instant: str):
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(instant).cast("timestamp_ntz"))
 
 
+def _out_of_order(t: Tables, files: int = 3) -> DataFrame:
+    """The event stream in several files that each hold events of all times, one file a micro-batch."""
+    path = run_dir(t.spark, "out-of-order")
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts"))
+    events = t.events().withColumn("ts", local.cast("timestamp"))
+    events.repartition(files, F.xxhash64("event_id")).write.parquet(path)
+    return t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @query
 def stream_tumbling_demand(t: Tables) -> DataFrame:
+    """Windows of events that come in any order, kept without state in the stream."""
     root = run_dir(t.spark, "tumbling")
-    windows = signals.windowed_demand(_stream_times(t), "ts", ["event_type"], "price", "6 hours")
-    dated = windows.withColumn("day", F.to_date("window_start"))
-    signals.start_upserts(dated, f"{root}/t", ["day", "window_start", "event_type"], ["day"], f"{root}/c", None).awaitTermination()
+    signals.start_window_totals(
+        _out_of_order(t), "ts", ["event_type"], "price", "6 hours", f"{root}/t", f"{root}/c", every=None).awaitTermination()
     return t.spark.read.parquet(f"{root}/t").select(
         _utc("window_start").alias("window_start"), "event_type", "events", "total_value")
 
 
 @query
 def stream_sessions(t: Tables) -> DataFrame:
-    """All sessions of users: those the watermark, a day behind the newest event, has closed, and the open ones."""
+    """All sessions of users whose events come in any order."""
     root = run_dir(t.spark, "sessions")
-    found = signals.sessions(_stream_times(t), "ts", "user_id", "6 hours", "1 day")
-    signals.start_append(found, f"{root}/t", f"{root}/c", None).awaitTermination()
-    finished = t.spark.read.schema(found.schema).parquet(f"{root}/t")
-    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts"))
-    newest = signals.open_sessions(t.events().withColumn("ts", local.cast("timestamp")), finished, "ts", "user_id", "6 hours")
-    return finished.unionByName(newest).select(
+    signals.start_sessions(_out_of_order(t), "ts", "user_id", "6 hours", f"{root}/t", f"{root}/c", None).awaitTermination()
+    return signals.with_duration(t.spark.read.parquet(f"{root}/t")).select(
         "user_id", _utc("session_start").alias("session_start"), "events", "has_purchase", "duration_us")
 
 
@@ -741,7 +800,7 @@ def batch_speed_view(t: Tables) -> DataFrame:
     daily = t.events().groupBy(F.col("ts").cast("date").alias("day"), "event_type").agg(
         F.count(F.lit(1)).alias("events"), F.sum("price").alias("total_value"))
     root = run_dir(t.spark, "speed")
-    windows = signals.windowed_demand(_stream_times(t), "ts", ["event_type"], "price", "1 day")
-    dated = windows.select(_utc("window_start").cast("date").alias("day"), "event_type", "events", "total_value")
-    signals.start_upserts(dated, f"{root}/t", ["day", "event_type"], ["day"], f"{root}/c", None).awaitTermination()
-    return signals.serving_view(daily.filter(F.col("day") < F.lit("2024-01-20").cast("date")), t.spark.read.parquet(f"{root}/t"), "day")
+    signals.start_window_totals(
+        _stream_times(t), "ts", ["event_type"], "price", "1 day", f"{root}/t", f"{root}/c", every=None).awaitTermination()
+    speed = t.spark.read.parquet(f"{root}/t").select(_utc("window_start").cast("date").alias("day"), "event_type", "events", "total_value")
+    return signals.serving_view(daily.filter(F.col("day") < F.lit("2024-01-20").cast("date")), speed, "day")
