@@ -58,9 +58,13 @@ def test_days_load_once_and_add_up(spark, layout):
     assert tuple(weekly) == (300, 300)
 
     path = batch.export_features(spark, layout, "2023-01-03", 30)
-    assert spark.read.option("header", True).csv(path).count() == 12
+    exported = spark.read.option("header", True).csv(path)
+    # The nightly job has exported every load under its day.
+    assert {(str(r["dt"]), r["count"]) for r in exported.groupBy("dt").count().collect()} == {
+        ("2023-01-01", 6), ("2023-01-02", 12), ("2023-01-03", 12)}
     runs = {r["run_id"]: r for r in read("run_metrics").collect()}
     assert runs["r1"]["metrics"]["rows_read"] == 150 and runs["r1"]["metrics"]["rows_clean"] == 150
+    assert runs["r2"]["metrics"]["rows_fact_sales"] == 300 and runs["r2"]["metrics"]["rows_agg_daily_demand"] == 12
     assert read("dq_check_log").filter("pipeline_run_id = 'r1' and status = 'PASS'").count() == 7
 
 
@@ -120,3 +124,45 @@ def test_a_range_equals_its_days_one_by_one(spark, tmp_path):
             "dim_product", "dim_store", "fact_sales", "agg_daily_demand", "agg_weekly_demand")}
         tables[name]["lake"] = read(f"{layout.lake}/processed/pos_fact")
     assert tables["days"] == tables["range"]
+
+
+def test_cost_and_profit_of_the_facts(spark, layout):
+    """Costs of two of three products; the views of the written facts have a margin where there is a cost."""
+    land(spark, layout, "2023-01-01")
+    land(spark, layout, "2023-01-02")
+    costs = spark.createDataFrame([("P0", 4.0), ("P1", 6.0), ("unknown", 1.0)], "product_id string, cost_price double")
+    batch.run_batch(spark, layout, "2023-01-01", run_id="1", costs=costs, export_days=None)
+    batch.run_batch(spark, layout, "2023-01-02", run_id="2", export_days=None)  # costs stay
+    read = lambda name: spark.read.parquet(layout.table(name))
+    facts = read("fact_sales").join(read("dim_product").select("product_key", "product_id"), "product_key")
+    found = {r[0]: (r[1] and float(r[1]), r[2] and float(r[2])) for r in facts.groupBy("product_id").agg(
+        F.max("cost_of_goods"), F.min("gross_profit")).collect()}
+    assert found == {"P0": (8.0, 10.0), "P1": (12.0, 6.0), "P2": (None, None)}
+    sales = star.sales_rows(read("fact_sales"), read("dim_product"), read("dim_store"))
+    margins = analytics.store_performance(sales, read("dim_store")).collect()
+    assert all(float(r["gross_profit"]) > 0 for r in margins) and read("dim_product").count() == 3
+    assert not list((p for p in [layout.lake + "/processed/ml_ready"] if batch.sinks.path_exists(spark, p)))
+
+
+def test_the_gate_logs_its_thresholds(spark, layout):
+    land(spark, layout, "2023-01-01")
+    batch.run_batch(spark, layout, "2023-01-01", run_id="1")
+    logged = spark.read.parquet(layout.table("dq_check_log")).filter("check_type = 'pre_load'").collect()
+    assert {r["check_name"]: r["threshold"] for r in logged} == {
+        "row_count_ok": 0.0, "txn_id_no_nulls": 0.0, "quantity_positive": 0.01, "duplicate_txns": 0.02}
+
+
+@pytest.mark.parametrize("with_products", [True, False])
+def test_events_of_a_day(spark, layout, with_products):
+    events = [("e1", "purchase", "2023-01-01T10:00:00Z", "s1", "P0", "9.5"), ("e1", "purchase", "2023-01-01T11:00:00Z", "s1", "P0", "9.5"),
+              ("e2", "product_view", "2023-01-01T10:05:00Z", "s1", "P9", None), ("e3", "product_view", "2023-01-01T10:05:00Z", "s2", "P0", "-1")]
+    frame = spark.createDataFrame(events, "event_id string, event_type string, event_timestamp string, session_id string, product_id string, price string")
+    files.land_events(frame, layout.lake, "2023-01-01")
+    if with_products:
+        land(spark, layout, "2023-01-01")
+        batch.run_batch(spark, layout, "2023-01-01", run_id="1")
+    for _ in range(2):
+        batch.run_events(spark, layout, "2023-01-01")
+    found = {r["event_id"]: r for r in spark.read.parquet(f"{layout.lake}/processed/ecommerce_events").collect()}
+    assert set(found) == {"e1", "e2"} and found["e1"]["session_event_count"] == 2 and found["e2"]["session_has_purchase"] == 1
+    assert found["e1"]["dim_category"] == ("Toys" if with_products else None) and found["e2"]["list_price"] is None

@@ -10,7 +10,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark.sinks import keyindex, once
+from tillmark.sinks import keyindex, once, packing
 from tillmark.sources import files, streams
 from tillmark.streaming import events as ingest
 from tillmark.streaming import progress, signals
@@ -386,3 +386,25 @@ def test_batches_are_bounded_and_nothing_is_lost(lab, spark):
     finally:
         query.stop()
     assert len(sizes) >= 3 and max(sizes) <= 3 and len(lab.ids()) == 8
+
+
+def test_hours_are_packed_and_repeated_batches_left_out(lab, spark):
+    at = lambda hour, events: ingest.validated(raw(spark, events)).withColumn("ingested_at", F.lit(f"2023-06-15 {hour}:30:00").cast("timestamp"))
+    for n in range(3):
+        lab.sink.write(at("10", [event(n)]), n)
+    lab.sink.write(at("11", [event(10)]), 3)
+    lab.sink.write(at("12", [event(11)]), 4)
+    read = lambda: sorted(r["event_id"] for r in files.raw_events(spark, lab.sink.lake, "2023-06-15").collect())
+    want = read()
+    assert len(want) == 5
+    hours = lab.root / "lake" / "raw" / "ecommerce" / "year=2023" / "month=06" / "day=15"
+    assert packing.pack_hours(spark, lab.sink.lake, dt.datetime(2023, 6, 15, 11)) == 1
+    assert [p.name for p in (hours / "hour=10").glob("batch=*")] == ["batch=packed"] and read() == want
+    lab.sink.write(at("10", [event(1)]), 1)  # repeated after its hour was packed
+    assert read() == want
+    lab.sink.write(at("10", [event(20)]), 9)  # an hour that was not closed after all
+    assert packing.pack_hours(spark, lab.sink.lake, dt.datetime(2023, 6, 15, 13)) == 1
+    assert read() == sorted([*want, "E20"]) and len(list((hours / "hour=10").glob("batch=*"))) == 1
+    assert packing.packed_batches(spark, str(hours / "hour=10")) == {"stream-0", "stream-1", "stream-2", "stream-9"}
+    assert packing.pack_hours(spark, lab.sink.lake, dt.datetime(2023, 6, 15, 13)) == 0
+    assert sorted(p.name for p in (lab.root / "lake" / "raw").iterdir() if not p.name.startswith(".")) == ["ecommerce"]

@@ -90,5 +90,6 @@ def clean_events(df: DataFrame, event_types: Sequence[str] = tuple(EVENT_TYPES))
     return first
 
 
-def event_projection(df: DataFrame) -> DataFrame:
-    return df.select(*EVENT_COLUMNS)
+def event_projection(df: DataFrame, *extra: str) -> DataFrame:
+    """The flat event's columns, and the named ones."""
+    return df.select(*EVENT_COLUMNS, *extra)

@@ -51,8 +51,10 @@ def with_mean_weather(daily: DataFrame, weather: DataFrame, day: str) -> DataFra
     return daily.join(F.broadcast(means), daily[day] == means["_day"], "left").drop("_day")
 
 
-def with_product(events: DataFrame, products: DataFrame) -> DataFrame:
-    """Category and list price of the event's product, where known."""
+def with_product(events: DataFrame, products: DataFrame | None) -> DataFrame:
+    """Category and list price of the event's product, where known; typed nulls without a product dimension."""
+    if products is None:
+        return events.withColumns({"dim_category": F.lit(None).cast("string"), "list_price": F.lit(None).cast("decimal(12,2)")})
     return events.join(product_lookup(products), "product_id", "left")
 
 

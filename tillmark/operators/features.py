@@ -11,6 +11,7 @@ from tillmark.functions.numbers import ratio
 from tillmark.functions.series import frame, lagged, trailing_mean, trailing_std
 from tillmark.operators.demand import SERIES
 from tillmark.schemas import FEATURE_EXPORT
+from tillmark.session import materialised
 
 LAGS = (7, 14, 28)
 
@@ -80,16 +81,20 @@ def feature_report(df: DataFrame, target: str = "target_demand") -> DataFrame:
     all_lags = F.lit(True)
     for k in LAGS:
         all_lags = all_lags & F.col(f"demand_lag_{k}d").isNotNull()
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        ratio(F.count_if(all_lags), F.count(F.lit(1)), 2, factor=100).alias("lag_coverage_pct"),
-        F.min("agg_date").alias("start_date"),
-        F.max("agg_date").alias("end_date"),
-        (F.datediff(F.max("agg_date"), F.min("agg_date")) + 1).alias("days"),
-        F.countDistinct("product_id").alias("products"),
-        F.countDistinct("store_id").alias("stores"),
-        F.countDistinct("category").alias("categories"),
-    )
+    # One row per series first; the distinct counts then read those rows, each by itself, not the days three times over.
+    names = {"products": "product_id", "stores": "store_id", "categories": "category"}
+    series = materialised(df.groupBy(*names.values()).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(all_lags).alias("_lagged"), F.min("agg_date").alias("start_date"),
+        F.max("agg_date").alias("end_date")), "series")
+    totals = series.agg(F.sum("_rows").alias("rows"), F.sum("_lagged").alias("_lagged"), F.min("start_date").alias("start_date"),
+                        F.max("end_date").alias("end_date"))
+    for alias, column in names.items():
+        totals = totals.unionByName(series.agg(F.countDistinct(column).alias(alias)), allowMissingColumns=True)
+    # A few one-row results folded into one.
+    whole = totals.agg(*[F.max(c).alias(c) for c in totals.columns])
+    return whole.select(
+        F.coalesce("rows", F.lit(0)).alias("rows"), ratio("_lagged", "rows", 2, factor=100).alias("lag_coverage_pct"), "start_date",
+        "end_date", (F.datediff("end_date", "start_date") + 1).alias("days"), *names)
 
 
 def export_allowed(df: DataFrame, target: str = "target_demand") -> bool:

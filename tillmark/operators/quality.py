@@ -181,6 +181,11 @@ def _verdicts() -> list[tuple[str, Column, float]]:
     return [(name, F.coalesce(ok, F.lit(False)), limit) for name, ok, limit in rules]
 
 
+def gate_limits() -> dict[str, float]:
+    """The limit each rule of the gate compares with."""
+    return {name: limit for name, _, limit in _verdicts()}
+
+
 def preload_gate(df: DataFrame) -> DataFrame:
     """The four checks raw sales must pass before loading, and their joint verdict."""
     rows = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("transaction_id").isNull()).alias("null_ids"),

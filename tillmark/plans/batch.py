@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.dates import week_start
 from tillmark.operators import clean, demand, enrich, features, merge, quality, star
-from tillmark.operators.runlog import RunRecord
+from tillmark.operators.runlog import RunRecord, table_counts
 from tillmark.session import materialised
 from tillmark.sinks import lake as sinks
 from tillmark.sources import files
+from tillmark.streaming import events as ingest
 
-PRODUCT_DIM = "product_id string, product_name string, category string, brand string, unit_price decimal(12,2), product_key bigint"
+PRODUCT_DIM = "product_id string, product_name string, category string, brand string, unit_price decimal(12,2), cost_price decimal(12,2), product_key bigint"
 STORE_DIM = "store_id string, store_name string, city string, state string, region string, store_key bigint"
 
 
@@ -54,13 +55,22 @@ def ensure_calendar(spark: SparkSession, layout: Layout, first: str, last: str,
     return spark.read.parquet(path)
 
 
-def load_dims(spark: SparkSession, layout: Layout, cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Type 1 upserts of products and stores from the cleaned lines."""
+def load_dims(spark: SparkSession, layout: Layout, cleaned: DataFrame, costs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Type 1 upserts of products and stores from the cleaned lines.
+
+    ``costs`` (product_id, cost_price) sets the cost of the products it names; the others keep theirs.  Facts take the
+    cost that their product has when they are loaded.
+    """
     order = ["transaction_date", "transaction_id"]
     for name, schema, upsert in (("dim_product", PRODUCT_DIM, star.upsert_products),
                                  ("dim_store", STORE_DIM, star.upsert_stores)):
         path = layout.table(name)
-        sinks.replace_table(upsert(merge.read_if_exists(spark, path, schema), cleaned, order, "source_day"), path)
+        rows = upsert(merge.read_if_exists(spark, path, schema), cleaned, order, "source_day")
+        if costs is not None and name == "dim_product":
+            known = costs.select("product_id", F.col("cost_price").cast("decimal(12,2)").alias("cost_price")).join(
+                rows.select("product_id"), "product_id", "left_semi")
+            rows = merge.merge_upsert(rows, known, ["product_id"], ["cost_price"])
+        sinks.replace_table(rows, path)
     return spark.read.parquet(layout.table("dim_product")), spark.read.parquet(layout.table("dim_store"))
 
 
@@ -109,12 +119,28 @@ def export_features(spark: SparkSession, layout: Layout, as_of: str, lookback_da
     return sinks.export_by_run_date(features.export_rows(ready, as_of, lookback_days), layout.lake, as_of)
 
 
+def run_events(spark: SparkSession, layout: Layout, first: str, last: str | None = None) -> str:
+    """The events of a day (or range) of the raw lake, cleaned, with their product and session, as processed events.
+
+    Without a product dimension the events are written all the same, with nulls for what it would add.
+    """
+    raw = files.raw_events(spark, layout.lake, first, last, with_day=True)
+    events = clean.clean_events(ingest.normalised(raw, "source_day"))
+    path = layout.table("dim_product")
+    products = spark.read.parquet(path) if sinks.path_exists(spark, path) else None
+    whole = enrich.with_session_metrics(enrich.with_product(events, products))
+    added = ["dim_category", "list_price", "is_purchase", "session_event_count", "session_has_purchase", "source_day"]
+    return sinks.write_events(clean.event_projection(whole, *added), layout.lake)
+
+
 def run_batch(spark: SparkSession, layout: Layout, first: str, last: str | None = None, *, run_id: str,
               key: Sequence[str] = ("transaction_id",), weather: DataFrame | None = None,
-              holidays: DataFrame | None = None) -> DataFrame:
+              holidays: DataFrame | None = None, costs: DataFrame | None = None,
+              export_days: int | None = 365) -> DataFrame:
     """Load a day, or backfill an inclusive range of days.
 
-    Days are gated one by one: a day that fails is left out and the others go on.
+    Days are gated one by one: a day that fails is left out and the others go on.  Without a fact of the loaded days
+    nothing is aggregated.  The features of the last ``export_days`` are exported under the range's last day (None: not at all).
     Returns the post-load checks of the range's last day.
     """
     last = last or first
@@ -141,14 +167,21 @@ def run_batch(spark: SparkSession, layout: Layout, first: str, last: str | None
             raise GateClosed(f"no line from {first} to {last} is left to load")
 
         calendar = ensure_calendar(spark, layout, first, last, holidays)
-        products, stores = load_dims(spark, layout, cleaned)
+        products, stores = load_dims(spark, layout, cleaned, costs)
         load_facts(spark, layout, cleaned, products, stores, calendar, key, run_id)
-        aggregate(spark, layout, days, products, stores, weather, holidays)
-
         facts = spark.read.parquet(layout.table("fact_sales"))
+        aggregated = not facts.filter(F.col("sale_date").isin(days)).isEmpty()
+        if aggregated:
+            aggregate(spark, layout, days, products, stores, weather, holidays)
         checks = materialised(quality.post_load(star.with_cents(facts), products, last, product_key="product_key"), "checks")
         sinks.append_check_log(_post_load_log(checks), layout.warehouse, run_id, "post_load_check")
         quality.raise_on_failure(checks)
+        if aggregated and export_days is not None:
+            export_features(spark, layout, last, export_days)
+        # One row per table.
+        tables = ["fact_sales", "dim_product", "dim_store"] + ["agg_daily_demand", "agg_weekly_demand"] * aggregated
+        for row in table_counts({name: spark.read.parquet(layout.table(name)) for name in tables}).collect():
+            run.record(f"rows_{row['table_name']}", row["n_rows"])
         run.finish(spark, metrics)
         return checks
     except Exception as problem:
@@ -159,11 +192,11 @@ def run_batch(spark: SparkSession, layout: Layout, first: str, last: str | None
 
 def _gate_log(verdicts: DataFrame) -> DataFrame:
     """The gate's verdicts as check results, one row per day and rule."""
-    rules = ["row_count_ok", "txn_id_no_nulls", "quantity_positive", "duplicate_txns"]
-    rows = F.explode(F.array(*[F.struct(F.lit(r).alias("check_name"), F.col(r).alias("ok")) for r in rules]))
+    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("check_name"), F.lit(limit).alias("threshold"), F.col(name).alias("ok"))
+                               for name, limit in quality.gate_limits().items()]))
     return verdicts.select("source_day", "n", rows.alias("r")).select(
-        "r.check_name", F.lit("pos_sales_raw").alias("table_name"), F.col("n").alias("total_records"), F.when(F.col("r.ok"), "PASS").otherwise("FAIL").alias("status"),
-        F.col("source_day").cast("string").alias("details"))
+        "r.check_name", F.lit("pos_sales_raw").alias("table_name"), F.col("n").alias("total_records"), "r.threshold",
+        F.when(F.col("r.ok"), "PASS").otherwise("FAIL").alias("status"), F.col("source_day").cast("string").alias("details"))
 
 
 def _post_load_log(checks: DataFrame) -> DataFrame:

@@ -527,6 +527,11 @@ oracle("session_metrics", EVENTS, select="""
 SELECT event_id, session_id, event_type, CAST(event_type = 'purchase' AS BIGINT) AS is_purchase,
        count(event_id) OVER (PARTITION BY session_id) AS session_event_count,
        max(CAST(event_type = 'purchase' AS BIGINT)) OVER (PARTITION BY session_id) AS session_has_purchase FROM shop""")
+oracle("events_batch", EVENTS, PRODUCTS, select=f"""
+SELECT event_id, event_type, judged.product_id, category AS dim_category, {usd('products.price')} AS list_price,
+       CAST(event_type = 'purchase' AS BIGINT) AS is_purchase, count(event_id) OVER (PARTITION BY session_id) AS session_event_count,
+       max(CAST(event_type = 'purchase' AS BIGINT)) OVER (PARTITION BY session_id) AS session_has_purchase
+FROM judged LEFT JOIN products ON judged.product_id = CAST(products.product_id AS VARCHAR) WHERE outcome = 'valid'""")
 oracle("event_reject_reasons", EVENTS, select="SELECT outcome, count(*) AS events FROM judged GROUP BY 1")
 oracle("raw_event_files", EVENTS, select=f"""
 SELECT event_id, event_type, ts AS event_timestamp, session_id, user_id, product_id, {_PRICE_OUT} FROM shop""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +14,12 @@ from tillmark.functions.dates import week_start
 from tillmark.functions.numbers import dollars, money
 from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators import analytics, clean, dashboard, demand, enrich, features, forecast, increments, merge, quality, runlog, star
+from tillmark.plans import batch
 from tillmark.plans.tables import Tables
 from tillmark.plans.views import register_views
 from tillmark.schemas import RAW_POS
 from tillmark.session import run_dir
-from tillmark.sinks import lake
+from tillmark.sinks import lake, packing
 from tillmark.sources import files
 from tillmark.streaming import events as ingest
 from tillmark.streaming import progress, signals
@@ -275,7 +277,8 @@ def feature_report(t: Tables) -> DataFrame:
 def feature_export(t: Tables) -> DataFrame:
     """The export's rows for the whole history, with the mean weather of the day."""
     weathered = enrich.with_mean_weather(_daily(t), t.weather(), "agg_date")
-    return features.export_rows(features.ml_dataset(weathered), AS_OF, 10_000)
+    first = t.order_span().first()["first_day"]
+    return features.export_rows(features.ml_dataset(weathered), AS_OF, (dt.date.fromisoformat(AS_OF) - first).days)
 
 
 # -- dashboard ------------------------------------------------------------------
@@ -519,10 +522,8 @@ def event_reject_reasons(t: Tables) -> DataFrame:
     return checked.groupBy(F.coalesce("reject_reason", F.lit("valid")).alias("outcome")).agg(F.count(F.lit(1)).alias("events"))
 
 
-@query
-def raw_event_files(t: Tables) -> DataFrame:
-    """Events landed as day-partitioned JSON lines and read back from there."""
-    root = run_dir(t.spark, "raw-events")
+def _land_events(t: Tables, root: str) -> tuple[str, str]:
+    """Events as day-partitioned JSON lines; the first and the last day."""
     lines = files.with_day_columns(t.events().withColumn("_day", F.col("ts").cast("date")), "_day")
     (lines.select(
         "event_id", "event_type", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
@@ -532,11 +533,30 @@ def raw_event_files(t: Tables) -> DataFrame:
      .write.partitionBy("year", "month", "day", "hour", "batch").json(f"{root}/raw/ecommerce"))
     # Two dates.
     first, last = t.events().agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
-    flat = ingest.normalised(files.raw_events(t.spark, root, str(first), str(last)))
+    return str(first), str(last)
+
+
+@query
+def raw_event_files(t: Tables) -> DataFrame:
+    """Events landed as day-partitioned JSON lines and read back from there."""
+    root = run_dir(t.spark, "raw-events")
+    flat = ingest.normalised(files.raw_events(t.spark, root, *_land_events(t, root)))
     return flat.select("event_id", "event_type", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
                        "session_id", "user_id", "product_id", "price")
 
 
+@query
+def events_batch(t: Tables) -> DataFrame:
+    """The batch job over all days of landed events, with the product dimension of the warehouse."""
+    root = run_dir(t.spark, "events-batch")
+    layout = batch.Layout(root, f"{root}/warehouse")
+    first, last = _land_events(t, root)
+    t.products().withColumn("product_id", F.col("product_id").cast("string")).write.parquet(layout.table("dim_product"))
+    batch.run_events(t.spark, layout, first, last)
+    return t.spark.read.parquet(f"{root}/processed/ecommerce_events").select(
+        "event_id", "event_type", "product_id", "dim_category", "list_price", "is_purchase", "session_event_count", "session_has_purchase")
+
+
 @query
 def raw_pos_files(t: Tables) -> DataFrame:
     """Sales lines landed as day-partitioned CSV in the files' order, and read back from there."""
@@ -699,11 +719,11 @@ def metric_alerts(t: Tables) -> DataFrame:
 
 # -- streams --------------------------------------------------------------------
 
-def _drain(t: Tables) -> tuple[ingest.EventSink, str]:
-    """Run the ingestion over the events table until it is drained."""
+def _drain(t: Tables, events: DataFrame | None = None) -> tuple[ingest.EventSink, str]:
+    """Run the ingestion over the events table, or a stream of it, until it is drained."""
     root = run_dir(t.spark, "ingest")
     sink = ingest.EventSink(f"{root}/events", f"{root}/lake", f"{root}/quarantine")
-    running = ingest.start_ingest(t.as_json(t.event_stream()), sink, f"{root}/checkpoint", every=None)
+    running = ingest.start_ingest(t.as_json(t.event_stream() if events is None else events), sink, f"{root}/checkpoint", every=None)
     running.awaitTermination()
     return sink, root
 
@@ -738,9 +758,12 @@ def stream_quarantine(t: Tables) -> DataFrame:
 
 @query
 def stream_raw_lake(t: Tables) -> DataFrame:
-    """What the stream left in the raw lake, read as raw event files."""
-    sink, _ = _drain(t)
-    back = files.raw_events(t.spark, sink.lake, "2000-01-01", "2999-12-31")
+    """What several batches of the stream left in the raw lake, their hours packed, read as raw event files."""
+    sink, _ = _drain(t, _out_of_order(t))
+    # Two times.
+    first, last = t.spark.read.parquet(sink.table).agg(F.min("load_timestamp"), F.max("load_timestamp")).first()
+    packing.pack_hours(t.spark, sink.lake, last + dt.timedelta(hours=1, minutes=60))
+    back = files.raw_events(t.spark, sink.lake, first.date().isoformat(), last.date().isoformat())
     return back.groupBy("event_type", "state").agg(
         F.count(F.lit(1)).alias("events"), F.sum(F.col("price").cast("decimal(10,2)")).alias("total_price"))
 

@@ -62,17 +62,16 @@ def raw_pos(spark: SparkSession, lake: str, first: str, last: str | None = None)
     )
 
 
-def raw_events(spark: SparkSession, lake: str, first: str, last: str | None = None) -> DataFrame:
-    """Raw events of a day (or range), one JSON object per line.
+def raw_events(spark: SparkSession, lake: str, first: str, last: str | None = None, with_day: bool = False) -> DataFrame:
+    """Raw events of a day (or range), one JSON object per line; ``with_day`` adds the ``source_day`` they came in.
 
     Below the day lie the ingest hour and the micro-batch.
     """
     schema = _with_partitions(RAW_EVENT).add("hour", "string").add("batch", "string")
-    return (
-        spark.read.schema(schema).json(f"{lake}/raw/ecommerce")
-        .filter(days_between(first, last or first))
-        .drop("year", "month", "day", "hour", "batch")
-    )
+    events = spark.read.schema(schema).json(f"{lake}/raw/ecommerce").filter(days_between(first, last or first))
+    if with_day:
+        events = events.withColumn("source_day", F.make_date("year", F.col("month").cast("int"), F.col("day").cast("int")))
+    return events.drop("year", "month", "day", "hour", "batch")
 
 
 def event_array_file(spark: SparkSession, path: str) -> DataFrame:

@@ -22,6 +22,7 @@ from tillmark.functions.ordering import first_per_key
 from tillmark.operators.merge import read_if_exists
 from tillmark.schemas import EVENT_COLUMNS, EVENT_TYPES, RAW_EVENT
 from tillmark.sinks.keyindex import KeyIndex, one_writer
+from tillmark.sinks.packing import packed_batches
 from tillmark.sources.files import with_day_columns
 
 REQUIRED = ("event_id", "event_type", "event_timestamp", "product_id")
@@ -129,6 +130,11 @@ class EventSink:
     def _append_raw(self, valid: DataFrame) -> None:
         """JSON lines by ingest hour; the ingest time is the batch's, so a replay lands in the same place."""
         lines = with_day_columns(valid, "ingested_at").withColumn("hour", F.date_format("ingested_at", "HH"))
+        # A batch has one ingest time.  One that is repeated after its hour was packed is in there.
+        for row in lines.select("year", "month", "day", "hour", "batch").distinct().collect():
+            hour = f"year={row.year}/month={row.month}/day={row.day}/hour={row.hour}"
+            if row.batch in packed_batches(valid.sparkSession, f"{self.lake}/raw/ecommerce/{hour}"):
+                return
         (lines.drop("ingested_at").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("year", "month", "day", "hour", "batch").json(f"{self.lake}/raw/ecommerce"))
 
