@@ -62,6 +62,9 @@ def test_days_load_once_and_add_up(spark, layout):
     # The nightly job has exported every load under its day.
     assert {(str(r["dt"]), r["count"]) for r in exported.groupBy("dt").count().collect()} == {
         ("2023-01-01", 6), ("2023-01-02", 12), ("2023-01-03", 12)}
+    ranks = read("agg_product_rank")
+    fresh = analytics.monthly_ranks(facts)
+    assert sorted(map(tuple, ranks.select(fresh.columns).collect())) == sorted(map(tuple, fresh.collect())) and ranks.count() == 3
     runs = {r["run_id"]: r for r in read("run_metrics").collect()}
     assert runs["r1"]["metrics"]["rows_read"] == 150 and runs["r1"]["metrics"]["rows_clean"] == 150
     assert runs["r2"]["metrics"]["rows_fact_sales"] == 300 and runs["r2"]["metrics"]["rows_agg_daily_demand"] == 12

@@ -215,14 +215,22 @@ def slow_movers(sales: DataFrame, products: DataFrame, as_of: str, days: int = 3
     )
 
 
+def with_product_names(ranks: DataFrame, products: DataFrame) -> DataFrame:
+    return ranks.join(products.select("product_id", "product_name", "category"), "product_id")
+
+
 def monthly_product_rank(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Every product's revenue rank in each month."""
+    return with_product_names(monthly_ranks(sales), products)
+
+
+def monthly_ranks(sales: DataFrame) -> DataFrame:
+    """Units, revenue and revenue rank per product and month.  A month's ranks need that month's sales only."""
     totals = sales.groupBy(
         "product_id", F.year("sale_date").alias("year"), F.month("sale_date").alias("month_num"),
     ).agg(F.sum("quantity_sold").alias("units_sold"), F.sum("net_cents").alias("_net"))
     ranked = rank_within(totals, ["year", "month_num"], "_net", "revenue_rank")
-    return (ranked.withColumn("revenue", dollars("_net")).drop("_net")
-            .join(products.select("product_id", "product_name", "category"), "product_id"))
+    return ranked.withColumn("revenue", dollars("_net")).drop("_net")
 
 
 def store_performance(sales: DataFrame, stores: DataFrame) -> DataFrame:

@@ -69,9 +69,10 @@ def sales_projection(df: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def with_time_features(df: DataFrame, day: str = "transaction_date") -> DataFrame:
+def with_time_features(df: DataFrame, day: str = "transaction_date", dow_base: int = 1) -> DataFrame:
+    """Calendar columns of the day; ``dow_base`` is the number of Monday."""
     return df.withColumns({
-        "day_of_week": iso_day_of_week(day),
+        "day_of_week": iso_day_of_week(day) + (dow_base - 1),
         "week_of_year": F.weekofyear(day),
         "month_num": F.month(day),
         "quarter": F.quarter(day),

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmark.operators.features import densify as dense
+
 MIN_POINTS = 14
 TREND_POINTS = 30
 SEASON = 7
@@ -19,9 +21,10 @@ MA_WINDOW = 7
 
 
 def series_from_daily(daily: DataFrame, keys: Sequence[str] = ("product_id",), day: str = "agg_date",
-                      value: str = "total_quantity") -> DataFrame:
-    """One value per key and day."""
-    return daily.groupBy(*keys, F.col(day).alias("day")).agg(F.sum(value).cast("long").alias("y"))
+                      value: str = "total_quantity", densify: bool = False) -> DataFrame:
+    """One value per key and day; with ``densify`` also for the days between without a row, 0 there."""
+    series = daily.groupBy(*keys, F.col(day).alias("day")).agg(F.sum(value).cast("long").alias("y"))
+    return dense(series, keys, "y", "day") if densify else series
 
 
 def fitted(series: DataFrame, keys: Sequence[str] = ("product_id",), horizon: int = 30,

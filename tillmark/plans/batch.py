@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import week_start
-from tillmark.operators import clean, demand, enrich, features, merge, quality, star
+from tillmark.operators import analytics, clean, demand, enrich, features, merge, quality, star
 from tillmark.operators.runlog import RunRecord, table_counts
 from tillmark.session import materialised
 from tillmark.sinks import lake as sinks
@@ -89,7 +89,7 @@ def load_facts(spark: SparkSession, layout: Layout, cleaned: DataFrame, products
 
 def aggregate(spark: SparkSession, layout: Layout, days: Sequence[dt.date], products: DataFrame, stores: DataFrame,
               weather: DataFrame | None, holidays: DataFrame | None) -> None:
-    """Daily and weekly demand of the given days of sale, computed again from all facts of just those days.
+    """Daily and weekly demand, and monthly product ranks, of the given days of sale, computed again from their facts.
 
     These are the days a load touched, late lines of older days among them.
     """
@@ -109,6 +109,12 @@ def aggregate(spark: SparkSession, layout: Layout, days: Sequence[dt.date], prod
     kept = weekly.filter(F.col("week_start").isin(sorted(written)))
     sinks.write_partitions(demand.with_dims(kept, products, stores), layout.table("agg_weekly_demand"), ["week_start"])
 
+    # Whole months of the touched days; the date range prunes the facts.
+    months = sorted({d.replace(day=1) for d in days})
+    monthly = analytics.monthly_ranks(sales.filter(F.trunc(day, "month").isin(months) & day.between(months[0], dt.date(
+        max(days).year + max(days).month // 12, max(days).month % 12 + 1, 1))))
+    sinks.write_partitions(monthly, layout.table("agg_product_rank"), ["year", "month_num"])
+
 
 def export_features(spark: SparkSession, layout: Layout, as_of: str, lookback_days: int = 365) -> str:
     """The ML-ready table as CSV under the run date; refused when a target is negative."""

@@ -655,6 +655,11 @@ bands AS (SELECT *, sqrt(((ma - forecast) * (ma - forecast) + (linear - forecast
 
 for _name, _model in [("ma", "ma"), ("linear", "linear"), ("seasonal", "seasonal")]:
     oracle(f"forecast_{_name}", SALES, fit(HORIZON), select=f"SELECT product_id, step, forecast_date, {_model} AS forecast FROM steps")
+oracle("forecast_dense_series", SALES, PRODUCTS, """sold AS (
+  SELECT category, sale_date AS day, sum(qty) AS y FROM sales JOIN products USING (product_id) WHERE qty > 45 GROUP BY 1, 2),
+spans AS (SELECT category, min(day) AS a, max(day) AS b FROM sold GROUP BY 1),
+grid AS (SELECT category, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM spans)""", select="""
+SELECT category, day, coalesce(y, 0) AS y FROM grid LEFT JOIN sold USING (category, day)""")
 oracle("forecast_ensemble", SALES, fit(HORIZON), select="""
 SELECT product_id, step, forecast_date, forecast, greatest(forecast - CAST(1.28 AS DOUBLE) * sd, 0) AS lower_80,
        forecast + CAST(1.28 AS DOUBLE) * sd AS upper_80, greatest(forecast - CAST(1.96 AS DOUBLE) * sd, 0) AS lower_95,

@@ -131,7 +131,9 @@ def vw04_ml_dataset(t: Tables) -> DataFrame:
 @query
 def adhoc_sql_over_views(t: Tables) -> DataFrame:
     """SQL over the registered views: each region's quarters, next to the number of top product months."""
-    register_views(t.sales(cost=True), t.products(), t.stores(), _daily(t))
+    path = f"{run_dir(t.spark, 'ranks')}/t"
+    lake.write_partitions(analytics.monthly_ranks(t.sales()), path, ["year", "month_num"])
+    register_views(t.sales(cost=True), t.products(), t.stores(), _daily(t), ranks=t.spark.read.parquet(path))
     return t.spark.sql("""
         SELECT region, year, quarter, sum(units_sold) AS units, sum(total_revenue) AS revenue,
                (SELECT count(*) FROM v_top_products_monthly WHERE revenue_rank = 1) AS best_months
@@ -661,6 +663,14 @@ def _demand_series(t: Tables) -> DataFrame:
     return forecast.series_from_daily(t.sales(), day="sale_date", value="quantity_sold")
 
 
+@query
+def forecast_dense_series(t: Tables) -> DataFrame:
+    """Daily units per category with a row for every day, as the forecasts read them if asked to."""
+    bought = t.sales().filter("quantity_sold > 45")
+    return forecast.series_from_daily(bought.join(t.products().select("product_id", "category"), "product_id"), ["category"], "sale_date",
+                                      "quantity_sold", densify=True)
+
+
 @query
 def forecast_ma(t: Tables) -> DataFrame:
     return forecast.forecast(_demand_series(t), forecast.moving_average(), horizon=HORIZON)
