@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
+import random
 import zlib
+from collections import Counter
 
 from tillmark.llm.langid import LONGEST, Model, identify, keep_identified
 
@@ -34,6 +37,51 @@ def test_unseen_words_fall_back_to_shorter_grams():
     assert max(map(len, model.rows[LONGEST])) == LONGEST
 
 
+def plain_scores(train, text):
+    """Language and share of the likelihood, from the counts by the definition: words seen twice, else the longest seen n-grams."""
+    langs = sorted({lang for lang, _ in train})
+    words = {lang: Counter(w for at, t in train if at == lang for w in t.lower().split()) for lang in langs}
+    tables = [words]
+    for order in range(1, LONGEST + 1):
+        found = {lang: Counter() for lang in langs}
+        for lang in langs:
+            for word, n in words[lang].items():
+                framed = f"<{word}>" if order > 1 else word
+                for i in range(len(framed) - order + 1):
+                    found[lang][framed[i:i + order]] += 1 + math.log(n)
+        tables.append(found)
+    keys = [{k for lang in langs for k in t[lang] if order or sum(t[x][k] for x in langs) >= 2} for order, t in enumerate(tables)]
+    log = lambda order, key, lang: math.log(tables[order][lang][key] + 0.5) - math.log(
+        sum(tables[order][lang][k] for k in keys[order]) + 0.5 * len(keys[order]))
+
+    def word_log(word, lang):
+        if word in keys[0]:
+            return log(0, word, lang)
+        for order in range(LONGEST, 0, -1):
+            framed = f"<{word}>" if order > 1 else word
+            seen = [g for g in (framed[i:i + order] for i in range(len(framed) - order + 1)) if g in keys[order]]
+            if seen:
+                return sum(log(order, g, lang) for g in seen) / len(seen)
+        return 0.0
+
+    total = {lang: sum(word_log(w, lang) for w in text.lower().split()) for lang in langs}
+    best = max(langs, key=lambda lang: total[lang])
+    return best, 1 / sum(math.exp(v - total[best]) for v in total.values())
+
+
+def test_scores_equal_the_definition_for_all_texts(make):
+    """A sample that takes every labelled row; texts with known words, words seen once, unseen words and unseen letters."""
+    rng = random.Random(6)
+    stems = {lang: WORDS[lang].split() for lang in WORDS}
+    texts = [(i, lang, " ".join(rng.choice(stems[lang]) + rng.choice(["", "", "", "en", "s", "x", "qu"]) for _ in range(rng.randint(1, 12))))
+             for i in range(120) for lang in [rng.choice(list(WORDS))]]
+    docs = make([(i, t, lang, None) for i, lang, t in texts])
+    train = [(lang, t) for i, lang, t in texts if zlib.crc32(str(i).encode()) % 5]
+    for r in identify(docs.select("doc_id", "text"), docs, sample=10_000).collect():
+        lang, score = plain_scores(train, texts[r.doc_id][2])
+        assert r.lang_pred == lang and math.isclose(r.score, score, rel_tol=1e-4)
+
+
 def test_ties_go_to_the_first_language():
     model = Model([("b", "word", 2), ("a", "word", 2)])
     assert model.predict("word") == ("a", 0.5) and model.predict("zzz") == ("a", 0.5)
