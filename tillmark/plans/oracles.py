@@ -317,6 +317,20 @@ SELECT count(*) AS rows,
        min(agg_date) AS start_date, max(agg_date) AS end_date, max(agg_date) - min(agg_date) + 1 AS days,
        count(DISTINCT product_id) AS products, count(DISTINCT store_id) AS stores, count(DISTINCT category) AS categories FROM ml""")
 
+oracle("export_gate", SERIES_BASE, select="""
+SELECT 'sold' AS features, count(*) FILTER (total_quantity < 0) = 0 AS allowed FROM series
+UNION ALL SELECT 'returned', count(*) FILTER (total_quantity < 100) = 0 FROM series""")
+oracle("feature_export_files", DAILY_BASE, ML, select="""
+SELECT category, region, count(*) AS rows, CAST(sum(target_demand) AS BIGINT) AS units, CAST(sum(total_orders) AS BIGINT) AS orders,
+       count(demand_lag_28d) AS lagged FROM ml GROUP BY 1, 2""")
+oracle("export_latest", SERIES_BASE, select=f"""
+SELECT isoyear(agg_date) AS year, week(agg_date) AS week_of_year, sum(total_quantity) AS total_quantity,
+       {usd('sum(net)')} AS total_revenue, format FROM series, (VALUES ('csv'), ('parquet')) AS f(format) GROUP BY 1, 2, format""")
+oracle("dataset_replaced", SERIES_BASE, select="SELECT region, sum(total_quantity) AS units FROM series GROUP BY 1")
+oracle("weather_files", STORES, WEATHER, select="SELECT * FROM weather")
+oracle("holiday_files", HOLIDAYS, select="SELECT * FROM holidays")
+oracle("inferred_products", select="""
+SELECT p_brand, count(*) AS parts, sum(p_size) AS sizes, max(p_retailprice) AS dearest FROM part GROUP BY 1""")
 oracle("feature_export", DAILY_BASE, ML, WEATHER, """mean_weather AS (
   SELECT weather_date, avg(temp_high_f) AS temp_high_f, avg(CAST(precipitation_in AS DECIMAL(4,2))) AS precipitation_in FROM weather GROUP BY 1)""",
        select="""
@@ -589,6 +603,10 @@ oracle("dq_suite", RAW_POS, CHECKS, select=graded("pos_sales_raw"))
 oracle("dq_report", RAW_POS, CHECKS, f"graded AS ({graded('pos_sales_raw')})", select="""
 SELECT table_name, count(*) AS checks, count(*) FILTER (status = 'PASS') AS pass_count, count(*) FILTER (status = 'WARN') AS warn_count,
        count(*) FILTER (status = 'FAIL') AS fail_count, count(*) FILTER (status = 'FAIL') = 0 AS passed FROM graded GROUP BY 1""")
+oracle("dq_open_issues", RAW_POS, CHECKS, f"graded AS ({graded('pos_sales_raw')})",
+       select="SELECT check_name, status, pass_rate FROM graded WHERE status <> 'PASS'")
+oracle("dq_todays_report", RAW_POS, CHECKS, f"graded AS ({graded('pos_sales_raw')})",
+       select="SELECT check_name, table_name, status, pass_rate, failed_records FROM graded")
 oracle("dq_ref_integrity", "checks AS (" + check_row(
     "ref_integrity_product_id_product_id", "product_id", "referential_integrity", "count(*)",
     "count(*) FILTER (p_partkey IS NULL)", 0.99,
@@ -700,6 +718,8 @@ WHERE epoch_us(date_trunc('second', until)) - epoch_us(date_trunc('second', sinc
 oracle("stream_clean_events", EVENTS, select=f"""
 SELECT event_id, event_type, ts AS event_timestamp, session_id, user_id, product_id, {_PRICE_OUT}, 1 AS quantity, 'web' AS device,
        'S' || substr(user_id, 1, 1) AS state FROM judged WHERE outcome = 'valid'""")
+oracle("stream_restarted", EVENTS, select="""
+SELECT event_type, count(*) AS events, count(*) AS ids, CAST(sum(price) AS DOUBLE) AS total_price FROM judged WHERE outcome = 'valid' GROUP BY 1""")
 oracle("stream_quarantine", EVENTS, select="SELECT event_id, outcome AS reject_reason FROM judged WHERE outcome <> 'valid'")
 oracle("stream_counters", EVENTS, select="""
 SELECT 'consumed' AS metric, count(*) AS value FROM judged

@@ -20,7 +20,7 @@ from tillmark.plans.views import register_views
 from tillmark.schemas import RAW_POS
 from tillmark.session import run_dir
 from tillmark.sinks import lake, packing
-from tillmark.sources import files
+from tillmark.sources import files, streams
 from tillmark.streaming import events as ingest
 from tillmark.streaming import progress, signals
 
@@ -275,6 +275,78 @@ def feature_report(t: Tables) -> DataFrame:
     return features.feature_report(_features(t))
 
 
+@query
+def export_gate(t: Tables) -> DataFrame:
+    """Whether the features may be exported, as they are and with the returns taken as negative demand."""
+    daily = _series_daily(t).withColumnsRenamed({"total_quantity": "target_demand"})
+    returned = daily.withColumn("target_demand", F.col("target_demand") - 100)
+    verdicts = [(name, features.export_allowed(df)) for name, df in (("sold", daily), ("returned", returned))]
+    return t.spark.createDataFrame(verdicts, "features string, allowed boolean")
+
+
+@query
+def feature_export_files(t: Tables) -> DataFrame:
+    """The export's rows as the daily CSV export holds them."""
+    root = run_dir(t.spark, "export")
+    first = t.order_span().first()["first_day"]
+    weathered = enrich.with_mean_weather(_daily(t), t.weather(), "agg_date")
+    rows = features.export_rows(features.ml_dataset(weathered), AS_OF, (dt.date.fromisoformat(AS_OF) - first).days)
+    path = lake.export_by_run_date(rows, root, AS_OF)
+    back = t.spark.read.schema(T.StructType([*rows.schema, T.StructField("dt", T.StringType())])).option("header", True).csv(path)
+    return back.filter(F.col("dt") == AS_OF).groupBy("category", "region").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("target_demand").alias("units"), F.sum("total_orders").alias("orders"),
+        F.count("demand_lag_28d").alias("lagged"))
+
+
+@query
+def export_latest(t: Tables) -> DataFrame:
+    """Weekly totals exported as CSV and Parquet, each read from its latest copy."""
+    root, rows, result = run_dir(t.spark, "exports"), dashboard.weekly_totals(_series_daily(t)), None
+    for fmt in ("csv", "parquet"):
+        _, latest = lake.export_dataset(rows, f"{root}/{fmt}", "2001-08-01", fmt)
+        back = t.spark.read.schema(rows.schema).format(fmt).option("header", True).load(latest).withColumn("format", F.lit(fmt))
+        result = back if result is None else result.unionByName(back)
+    return result
+
+
+@query
+def dataset_replaced(t: Tables) -> DataFrame:
+    """A named aggregate written twice: the second one takes the place of the first."""
+    root, daily = run_dir(t.spark, "dataset"), _series_daily(t)
+    lake.write_dataset(daily.groupBy("region").agg(F.lit(0).cast("long").alias("units")), root, "regions")
+    path = lake.write_dataset(daily.groupBy("region").agg(F.sum("total_quantity").alias("units")), root, "regions")
+    return t.spark.read.parquet(path)
+
+
+@query
+def weather_files(t: Tables) -> DataFrame:
+    """Weather landed as a CSV of text and read back with its types."""
+    path = run_dir(t.spark, "weather")
+    null = F.lit(None).cast("string")
+    (t.weather().select(
+        F.date_format("weather_date", "yyyy-MM-dd").alias("date"), F.col("weather_state").alias("state"), F.col("temp_high_f").cast("string"),
+        null.alias("temp_low_f"), F.col("precipitation_in").cast("string"), null.alias("snow_in"), F.col("weather_condition").alias("condition"))
+     .write.option("header", True).csv(path))
+    return files.weather(t.spark, path)
+
+
+@query
+def holiday_files(t: Tables) -> DataFrame:
+    path = run_dir(t.spark, "holidays")
+    t.holidays().select(F.date_format("holiday_date", "yyyy-MM-dd").alias("date"), "holiday_name", F.lit("True").alias("is_federal")).write.option(
+        "header", True).csv(path)
+    return files.holidays(t.spark, path).drop("is_holiday")
+
+
+@query
+def inferred_products(t: Tables) -> DataFrame:
+    """Products from a CSV whose types Spark finds out, totalled."""
+    path = run_dir(t.spark, "inferred")
+    t.raw("part").select("p_partkey", "p_brand", "p_size", "p_retailprice").write.option("header", True).csv(path)
+    found = files.inferred_csv(t.spark, path)
+    return found.groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"), F.sum("p_size").alias("sizes"), F.max("p_retailprice").alias("dearest"))
+
+
 @query
 def feature_export(t: Tables) -> DataFrame:
     """The export's rows for the whole history, with the mean weather of the day."""
@@ -620,6 +692,27 @@ def dq_report(t: Tables) -> DataFrame:
     return quality.report(quality.pos_suite(t.raw_pos(), payment_methods=ACCEPTED))
 
 
+def _suite_log(t: Tables) -> DataFrame:
+    """The suite's results as logged."""
+    root = run_dir(t.spark, "check-log")
+    lake.append_check_log(quality.pos_suite(t.raw_pos(), payment_methods=ACCEPTED), root, "run-1", "suite")
+    return t.spark.read.parquet(f"{root}/dq_check_log")
+
+
+@query
+def dq_open_issues(t: Tables) -> DataFrame:
+    """Logged results that did not pass."""
+    return quality.open_issues(_suite_log(t)).select("check_name", "status", "pass_rate")
+
+
+@query
+def dq_todays_report(t: Tables) -> DataFrame:
+    """What the log says of the day it was written."""
+    log = _suite_log(t)
+    day = log.agg(F.max(F.to_date("run_timestamp"))).first()[0]
+    return quality.todays_report(log, str(day)).drop("run_timestamp")
+
+
 @query
 def dq_ref_integrity(t: Tables) -> DataFrame:
     known = t.products().filter("category <> 'PROMO'")
@@ -760,6 +853,19 @@ def stream_counters(t: Tables) -> DataFrame:
     return progress.counters(t.spark, f"{root}/progress").select("metric", "value")
 
 
+@query
+def stream_restarted(t: Tables) -> DataFrame:
+    """Events of an ingestion that ended, found more files when it was started again, and then everything once more."""
+    root = run_dir(t.spark, "restarted")
+    sink, events = ingest.EventSink(f"{root}/events", f"{root}/lake", f"{root}/quarantine"), t.as_json(t.events())
+    part = F.pmod(F.xxhash64("value"), F.lit(2))
+    for delivered in (part == 0, part == 1, F.lit(True)):
+        events.filter(delivered).write.mode("append").text(f"{root}/in")
+        ingest.start_ingest(streams.json_line_events(t.spark, f"{root}/in"), sink, f"{root}/checkpoint", every=None).awaitTermination()
+    return t.spark.read.parquet(sink.table).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids"), F.sum("price").alias("total_price"))
+
+
 @query
 def stream_quarantine(t: Tables) -> DataFrame:
     sink, _ = _drain(t)
