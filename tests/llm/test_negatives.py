@@ -26,8 +26,8 @@ def plain(rows, positives=5, negatives=3, band=(50, 95)):
     return sorted(out, key=repr)
 
 
-def found(spark, rows, **options):
-    frame = spark.createDataFrame([(*r, "x", "y") for r in rows], "vec_id long, label int, vector array<bigint>, slice string, words string")
+def found(spark, items, **options):
+    frame = spark.createDataFrame([(*r, "x", "y") for r in items], "vec_id long, label int, vector array<bigint>, slice string, words string")
     got = hard_negatives(frame, F.coalesce(F.col("vec_id") % 50 == 0, F.lit(False)), **options).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
     return sorted(map(tuple, got.collect()), key=repr)
