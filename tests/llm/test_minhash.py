@@ -89,3 +89,15 @@ def test_odd_rows(odd, none, spark, tmp_path):
     assert by[None].component_id is None and not by[None].kept and by[1].n_shingles == 0 and by[1].kept
     none.write.parquet(f"{tmp_path}/none/documents.parquet")
     assert op12_minhash(spark, f"{tmp_path}/none").isEmpty()
+
+
+def test_null_and_repeated_ids_do_not_hide_links(make, spark, tmp_path):
+    """Near copies of which one has no id, and ids that come with several texts."""
+    word = lambda i, n=40: " ".join(f"w{i}x{k}" for k in range(n))
+    rows = [(None, word(1) + " end", None, None), (5, word(1), None, None), (7, word(2), None, None), (7, word(3), None, None),
+            (7, word(4), None, None), (9, word(3) + " tail", None, None), (None, word(5), None, None), (None, word(5) + " z", None, None)]
+    make(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in op12_minhash(spark, str(tmp_path)).collect()), key=repr)
+    want = [(5, 39, 5, True), (7, 39, 7, True), (7, 39, 7, True), (7, 39, 7, True), (9, 40, 7, False),
+            (None, 39, None, False), (None, 40, 5, False), (None, 40, None, False)]
+    assert got == sorted(want, key=repr)

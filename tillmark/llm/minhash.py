@@ -170,19 +170,20 @@ def jaccard_groups(docs: DataFrame, key: Column, shingle: int = SHINGLE, percent
     the rest is verified on the full sets.  Sets without a shingle are one node without
     links.  Null texts count as empty, repeated rows come back as often as they came, no rows give no rows.
     """
-    rows = docs.select(key.alias("key"), text_of().alias("text"))
+    # Ids may be null or come with several texts, so a text is found again by its id and hash.
+    rows = docs.select(key.alias("key"), F.struct(key.alias("key"), F.xxhash64(text_of()).alias("hash")).alias("at"), text_of().alias("text"))
     prints = materialised(per_text(rows, "digest binary, size long, bands array<long>, sketch binary", prints_of(shingle)), "prints")
     # Numbers are given while the table is written, so every later read sees the same.
     nodes = materialised(prints.groupBy("digest").agg(
-        F.min("key").alias("key"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+        F.min("at").alias("at"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
     ).withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     bands = nodes.select("node", "size", F.explode("bands").alias("band"))
     shared = materialised(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "shared")
     met = may_hold(bands, F.col("band"), shared, F.col("band")).join(shared.hint("merge"), "band")
     met = materialised(met.withColumn("turn", F.struct(F.xxhash64("node").alias("hash"), F.col("node").alias("node"), F.col("size").alias("size"))), "met")
-    wanted = materialised(met.select("node").distinct().join(nodes.select("node", "key"), "node"), "wanted")
-    texts = may_hold(rows, F.xxhash64("key"), wanted, F.xxhash64("key")).join(wanted, "key").dropDuplicates(["node"])
+    wanted = materialised(met.select("node").distinct().join(nodes.select("node", "at"), "node"), "wanted")
+    texts = may_hold(rows.select("at", "text"), F.xxhash64("at"), wanted, F.xxhash64("at")).join(wanted, "at").dropDuplicates(["node"])
     sets = materialised(per_text(texts.select("node", "text"), "members array<long>", lambda found: [
         pa.array([shingles(t, shingle).view(np.int64) for t in found.to_pylist()], pa.list_(pa.int64()))]), "sets")
 
