@@ -125,20 +125,20 @@ def compare_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WINDOW)
     rows give no rows.
     """
     after = materialised(successors(docs), "next")
-    texts = docs.select(
-        F.struct("doc_id", F.sha2(text_of(), 256).alias("sha")).alias("key"), text_of().alias("text")
-    ).dropDuplicates(["key"])
-    marked = materialised(texts.select("key", marks(F.col("text"), gram, window).alias("marks")), "marks")
-    # What a document needs of the next one: as much of its beginning as is replaced.
-    lent = texts.select(F.col("key").alias("next"), F.col("text").alias("_other")).join(after, "next").select(
-        "key", "next", F.substring("_other", F.lit(1), F.expr("n div 3").cast("int")).alias("tail"), "n")
-    edited = texts.join(lent, "key").select("key", "next", F.col("n").cast("long").alias("n_chars"), F.concat(
-        F.substring("text", F.lit(1), F.col("n") - F.expr("n div 3").cast("int")), "tail").alias("_edited"))
-    compared = materialised(edited.select("key", "next", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"),
-                                          marks(F.col("_edited"), gram, window).alias("edited_marks")), "edited")
-    others = marked.select(F.col("key").alias("next"), grams(F.col("marks")).alias("next_grams"))
-    return compared.join(marked, "key").join(others, "next").select(
-        "key.doc_id", "n_chars", "marks", "edited_sha256", "edited_marks",
+    # Marks are computed where the texts are read; both sides below then read the same exchange of texts with their marks.
+    own = docs.select(
+        F.struct("doc_id", F.sha2(text_of(), 256).alias("sha")).alias("key"), text_of().alias("text"),
+        marks(text_of(), gram, window).alias("marks")).dropDuplicates(["key"])
+    # What a document needs of the next one: as much of its beginning as is replaced, and its hashes.
+    lent = own.select(F.col("key").alias("next"), F.col("text").alias("_other"), F.col("marks").alias("_marks")).join(after, "next").select(
+        "key", F.substring("_other", F.lit(1), F.expr("n div 3").cast("int")).alias("tail"), grams(F.col("_marks")).alias("next_grams"), "n")
+    both = own.join(lent, "key").select(
+        "key.doc_id", F.col("n").cast("long").alias("n_chars"), "marks", "next_grams",
+        F.concat(F.substring("text", F.lit(1), F.col("n") - F.expr("n div 3").cast("int")), "tail").alias("_edited"))
+    compared = both.select("doc_id", "n_chars", "marks", "next_grams", F.sha2("_edited", 256).alias("edited_sha256"),
+                           marks(F.col("_edited"), gram, window).alias("edited_marks"))
+    return compared.select(
+        "doc_id", "n_chars", "marks", "edited_sha256", "edited_marks",
         likeness(grams(F.col("marks")), grams(F.col("edited_marks"))).alias("near_edited"),
         likeness(grams(F.col("marks")), F.col("next_grams")).alias("near_next"))
 
