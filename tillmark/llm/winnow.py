@@ -17,7 +17,7 @@ WINDOW = 8
 #: where the word begins: any LONGEST + GRAM + WINDOW - 2 shared characters inside such words share a mark.
 LONGEST = 16
 #: Documents that are followed to the next one in a task.
-FOLLOWED = 50_000
+FOLLOWED = 10_000
 
 #: A gram's key holds its hash above the bits below, and its position from the end of the text in those bits.  36 bits of
 #: hash tell the grams of two texts apart; an index over all grams of a large corpus would want more.
@@ -98,11 +98,11 @@ def successors(docs: DataFrame) -> DataFrame:
     range-partitioned, followed inside a partition, and the last of a partition takes
     the first of the next, of which there is one row per partition.
     """
-    keys = docs.select(F.struct("doc_id", F.sha2(text_of(), 256).alias("sha")).alias("key"), F.length(text_of()).alias("n"))
+    keys = docs.select(F.struct("doc_id", F.unhex(F.sha2(text_of(), 256)).alias("sha")).alias("key"), F.length(text_of()).alias("n"))
     order = [F.col("key.doc_id").desc_nulls_last(), F.col("key.sha").asc()]
-    distinct = materialised(keys.dropDuplicates(["key"]), "keys")
-    slices = max(1, math.ceil(distinct.count() / FOLLOWED))
-    ranged = materialised(distinct.repartitionByRange(slices, *order).withColumn("part", F.spark_partition_id()), "ranged")
+    slices = max(1, math.ceil(docs.count() / FOLLOWED))
+    ranged = materialised(
+        keys.dropDuplicates(["key"]).repartitionByRange(slices, *order).withColumn("part", F.spark_partition_id()), "keys")
     inside = Window.partitionBy("part").orderBy(*order)
     followed = ranged.withColumn("next", F.lead("key").over(inside)).withColumn(
         "nth", F.row_number().over(inside))
@@ -127,7 +127,7 @@ def compare_with_edits(docs: DataFrame, gram: int = GRAM, window: int = WINDOW)
     after = materialised(successors(docs), "next")
     # Marks are computed where the texts are read; both sides below then read the same exchange of texts with their marks.
     own = docs.select(
-        F.struct("doc_id", F.sha2(text_of(), 256).alias("sha")).alias("key"), text_of().alias("text"),
+        F.struct("doc_id", F.unhex(F.sha2(text_of(), 256)).alias("sha")).alias("key"), text_of().alias("text"),
         marks(text_of(), gram, window).alias("marks")).dropDuplicates(["key"])
     # What a document needs of the next one: as much of its beginning as is replaced, and its hashes.
     lent = own.select(F.col("key").alias("next"), F.col("text").alias("_other"), F.col("marks").alias("_marks")).join(after, "next").select(
