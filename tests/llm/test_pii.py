@@ -7,7 +7,9 @@ import re
 import numpy as np
 import pytest
 
-from tillmark.llm.pii import EXAMPLES, KINDS, Model, Shapes, base_spans, detect, find, labelled, luhn
+from pii_held_out import HELD_OUT
+
+from tillmark.llm.pii import EXAMPLES, KINDS, Model, Shapes, base_spans, detect, find, labelled, luhn, marks
 
 RULES = [re.compile(p, re.ASCII) for p in (
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -61,6 +63,39 @@ def test_decoding_equals_trying_all_tags(model):
     assert model.decode(shapes).tolist() == want
 
 
+def test_skipped_stretches_change_nothing(model):
+    random.seed(2)
+    words = [w for line in EXAMPLES.split("\n") for w in labelled(line)[0].split()]
+    texts = [" ".join(random.choices(words, k=random.randint(0, 60))) for _ in range(300)]
+    shapes = Shapes(texts, model.classes, model.cues)
+    emit = model.sets[shapes.patterns] + sum(model.weights[c] for c in shapes.ids.T)
+    want = []
+    for text in range(len(texts)):
+        score, back = None, []
+        for row in emit[shapes.owner == text]:
+            reach = np.zeros((1, len(row))) if score is None else score[:, None] + model.moves
+            back.append(reach.argmax(axis=0))
+            score = row + reach.max(axis=0)
+        tags = [] if score is None else [int(score.argmax())]
+        for step in reversed(back[1:]):
+            tags.append(int(step[tags[-1]]))
+        want += tags[::-1]
+    assert model.decode(shapes).tolist() == want and len(set(want)) > 6
+
+
+def test_lines_never_fitted_on(model):
+    assert not {*HELD_OUT.split("\n")} & {*EXAMPLES.split("\n")} - {""}
+    meet = lambda x, ys: any(x[1] == y[1] and x[0] < y[2] and y[0] < x[2] for y in ys)
+    for kind, name in enumerate(KINDS):
+        wanted, caught, shown, right = 0, 0, 0, 0
+        for line in filter(None, HELD_OUT.split("\n")):
+            want = [s for s in marks(line) if s[1] == kind]
+            got = [s for s in next(find(model, [labelled(line)[0]]))[1] if s[1] == kind]
+            wanted, caught = wanted + len(want), caught + sum(meet(s, got) for s in want)
+            shown, right = shown + len(got), right + sum(meet(s, want) for s in got)
+        assert caught >= 0.9 * wanted > 0 and right >= 0.9 * shown, (name, wanted, caught, shown, right)
+
+
 def test_texts_side_by_side_do_not_influence_each_other(model):
     texts = ["Call 499-555-6503 x", "", "12", "  ", "555 0147", "é 漢 bob(at)mail.com"]
     assert model.spans(texts) == [model.spans([t])[0] for t in texts]
@@ -71,7 +106,12 @@ def test_loose_forms_are_added_and_clean_texts_left_alone(model):
     for text, part in shown.items():
         [(base, spans)] = find(model, [text])
         assert base == [] and [text[a:b] for a, _, b in spans] == [part]
-    for text in ("In 1984 there were 30 000 of 1,250.00", "Version 2.0, January 2004", "1.2. 3.4. 5.6.7 and 12:30", "a*** b%%% 7###"):
+    more = {"ask jane at example dot com now": "jane at example dot com", "mail john [at] mail [dot] org": "john [at] mail [dot] org",
+            "host 2001:db8::7 is up": "2001:db8::7"}
+    for text, part in more.items():
+        assert [text[a:b] for a, _, b in next(find(model, [text]))[1]] == [part]
+    for text in ("SSN 123-45-6789", "part no. 212-555-0147", "look at example.com at noon", "std::vector and abc::def",
+                 "In 1984 there were 30 000 of 1,250.00", "Version 2.0, January 2004", "1.2. 3.4. 5.6.7 and 12:30", "a*** b%%% 7###"):
         assert next(find(model, [text])) == ([], [])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ipaddress
 import re
 import sys
 from collections.abc import Iterator
@@ -97,7 +98,9 @@ def base_spans(text: str) -> list[Span]:
 SIGNS = "@.-+()[]:,"
 OTHER, LETTER = 14, 15
 CUES = ("phone", "tel", "telephone", "call", "mobile", "fax", "number", "ring", "email", "mail", "address", "write", "card",
-        "charge", "pay", "ip", "server", "ping", "connect", "version", "id", "order", "key", "token")
+        "charge", "pay", "ip", "server", "ping", "connect", "version", "id", "order", "key", "token", "at", "dot", "no", "ssn", "part",
+        "serial", "invoice", "case", "ref", "isbn", "account", "tracking", "item", "model", "ticket", "host", "router", "contact", "reach",
+        "cell", "text", "dial", "visa", "mastercard", "amex", "credit", "debit")
 DIGIT_STEPS = np.array([1, 2, 3, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14, 17, 20])
 LENGTH_STEPS = np.array([2, 3, 5, 8, 11, 14, 18, 25, 40])
 
@@ -121,25 +124,30 @@ def _classes() -> np.ndarray:
     return kinds
 
 
-def _hashes(codes: np.ndarray, places: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _hashes(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A hash of each word's letters, lower-case, whatever signs are around them."""
     letters = ((codes | 32) >= 97) & ((codes | 32) <= 122)
+    count = np.cumsum(letters)
+    places = np.maximum(count - 1 - np.repeat(count[starts] - letters[starts], np.diff([*starts, len(codes)])), 0)
     values = np.where(letters, (codes | 32).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.uint64(0))
-    # Multiplied by an odd number that depends on the place among the first 32 characters.
+    # Multiplied by an odd number that depends on the place among the first 32 letters.
     return np.add.reduceat((values ^ (values >> np.uint64(29))) * (2 * np.minimum(places, 31).astype(np.uint64) + np.uint64(3)), starts)
 
 
 class Shapes:
     """The words of some texts: where they start and stop in the joined texts, which start a text, and their features' ids."""
 
-    #: Offsets of the feature groups: own classes (16), first (16), last (16), digits, length, cue, and neighbours' digits and cue.
+    #: Offsets of the feature groups: own classes (16), first (16), last (16), digits, length, cue, digits and cue
+    #: of both neighbours, and the cue two words before.
     OWN, FIRST, LAST, DIGITS = 0, 16, 32, 48
     LENGTH = DIGITS + len(DIGIT_STEPS) + 1
     CUE = LENGTH + len(LENGTH_STEPS) + 1
     BEFORE = CUE + len(CUES) + 1
     BEFORE_CUE = BEFORE + len(DIGIT_STEPS) + 1
     AFTER = BEFORE_CUE + len(CUES) + 1
-    COUNT = AFTER + len(DIGIT_STEPS) + 1
+    AFTER_CUE = AFTER + len(DIGIT_STEPS) + 1
+    SECOND_CUE = AFTER_CUE + len(CUES) + 1
+    COUNT = SECOND_CUE + len(CUES) + 1
 
     def __init__(self, texts: list[str], classes: np.ndarray, cues: np.ndarray) -> None:
         codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -150,7 +158,7 @@ class Shapes:
         edges = np.flatnonzero(solid[1:] != solid[:-1])
         self.starts, self.stops = edges[::2], edges[1::2]
         if not len(self.starts):
-            self.patterns, self.ids, self.heads = np.zeros(0, dtype=np.int64), np.zeros((0, 8), dtype=np.int64), np.zeros(0, dtype=bool)
+            self.patterns, self.ids, self.heads = np.zeros(0, dtype=np.int64), np.zeros((0, 10), dtype=np.int64), np.zeros(0, dtype=bool)
             return
         self.owner = np.searchsorted(self.offsets, self.starts, side="right") - 1
         self.heads = np.concatenate([[True], self.owner[1:] != self.owner[:-1]])
@@ -159,19 +167,19 @@ class Shapes:
         #: The classes that occur in a word, as bits.
         self.patterns = np.bitwise_or.reduceat(BIT[inner], starts).astype(np.int64)
         digits = np.searchsorted(DIGIT_STEPS, np.add.reduceat(inner == 3, starts, dtype=np.int64), side="right")
-        places = np.arange(len(inner)) - np.repeat(starts, np.diff([*starts, len(inner)]))
-        hashed = _hashes(codes, places, starts)
+        hashed = _hashes(codes, starts)
         order = np.argsort(cues)
         spot = np.minimum(np.searchsorted(cues[order], hashed), len(cues) - 1)
         cue = np.where(cues[order][spot] == hashed, order[spot] + 1, 0)
         # Features of neighbours stop at the ends of a text.
         before = lambda values: np.where(self.heads, 0, np.concatenate([[0], values[:-1]]))
         tails = np.concatenate([self.heads[1:], [True]])
+        after = lambda values: np.where(tails, 0, np.concatenate([values[1:], [0]]))
         self.ids = np.stack([
             self.FIRST + kinds[self.starts], self.LAST + kinds[self.stops - 1], self.DIGITS + digits,
             self.LENGTH + np.searchsorted(LENGTH_STEPS, self.stops - self.starts, side="right"), self.CUE + cue,
             self.BEFORE + before(digits), self.BEFORE_CUE + before(cue),
-            self.AFTER + np.where(tails, 0, np.concatenate([digits[1:], [0]]))], axis=1)
+            self.AFTER + after(digits), self.AFTER_CUE + after(cue), self.SECOND_CUE + before(before(cue))], axis=1)
 
 
 class Model:
@@ -179,7 +187,7 @@ class Model:
 
     def __init__(self, examples: str = EXAMPLES, ridge: float = 0.02, rounds: int = 250) -> None:
         self.classes = _classes()
-        self.cues = np.array([_hashes(np.array([ord(c) for c in w], dtype=np.uint32), np.arange(len(w)), np.array([0]))[0] for w in CUES])
+        self.cues = np.array([_hashes(np.array([ord(c) for c in w], dtype=np.uint32), np.array([0]))[0] for w in CUES])
         self.weights = np.zeros((Shapes.COUNT, TAGS))
         self.moves = np.zeros((TAGS, TAGS))
         rows = [r for r in map(labelled, filter(None, examples.split("\n"))) if r[1]]
@@ -189,6 +197,10 @@ class Model:
         self.sets = sum(np.where(sets[:, None] >> b & 1, self.weights[Shapes.OWN + b], 0.0) for b in range(1, 16))
         #: What a tag can gain over "none" by the moves before and after it, at most.
         self.gain = (self.moves - self.moves[:, :1]).max(axis=0) + (self.moves - self.moves[:1]).max(axis=1)
+        #: What the moves can add to a run of other tags than "none": half a move to each word beside it, and the outer halves.
+        spare = np.maximum(self.moves - self.moves[0, 0], 0)
+        self.half = (spare.max(axis=0) + spare.max(axis=1)) / 2
+        self.edge = (spare[0].max() + spare[:, 0].max()) / 2
 
     def _features(self, shapes: Shapes) -> np.ndarray:
         dense = np.zeros((len(shapes.starts), Shapes.COUNT))
@@ -233,7 +245,8 @@ class Model:
 
         Where every other tag would lose against "none" even with the best moves before
         and after it, "none" is certain.  Such words cut the texts into stretches that do
-        not influence each other; these are decoded side by side, the longest ones first.
+        not influence each other; those with a word that can gain at all are decoded side
+        by side, the longest ones first.
         """
         tags = np.zeros(len(shapes.starts), dtype=np.int64)
         if not len(tags):
@@ -244,6 +257,10 @@ class Model:
         before = np.concatenate([[False], open_[:-1]]) & ~shapes.heads
         after = np.concatenate([open_[1:], [False]]) & ~tails
         begins, lasts = np.flatnonzero(open_ & ~before), np.flatnonzero(open_ & ~after)
+        # A run of other tags gains at most what its words gain one by one: without a word that gains, a stretch is all "none".
+        gains = np.concatenate([[0], np.cumsum((emit[:, 1:] + self.half[1:] + self.edge >= emit[:, :1]).any(axis=1))])
+        worth = gains[lasts + 1] > gains[begins]
+        begins, lasts = begins[worth], lasts[worth]
         if not len(begins):
             return tags
         sizes = lasts - begins + 1
@@ -301,36 +318,66 @@ def _logsum(values: np.ndarray, axis: int) -> np.ndarray:
 def _trimmed(text: str, start: int, kind: int, stop: int) -> Span:
     while stop > start and not text[stop - 1].isalnum():
         stop -= 1
-    while start < stop and not (text[start].isalnum() or text[start] in "(+"):
+    while start < stop and not (text[start].isalnum() or (kind == 3 and text[start] in "(+")):
         start += 1
     return start, kind, stop
 
 
+#: A name, "at" and a domain; a bare "at" needs a spelled dot, as "look at example.com" names no one.
+SPELLED = re.compile(r"""[a-z0-9._%+-]+(?:
+    \ ?(?:@|[(\[{]\ ?at\ ?[)\]}])\ ?[a-z0-9-]+(?:(?:\.|\ ?[(\[{]\ ?dot\ ?[)\]}]\ ?|\ dot\ )[a-z0-9-]+)+
+    |\ at\ [a-z0-9-]+(?:(?:\ ?[(\[{]\ ?dot\ ?[)\]}]\ ?|\ dot\ )[a-z0-9-]+)+)""", re.IGNORECASE | re.VERBOSE)
+
+
+def six_parts(word: str) -> bool:
+    """Whether a word, without brackets and port, is an address of the sixth version."""
+    word = word.split("]")[0].split("%")[0].split("/")[0]
+    if len(word) > 45 or word.count(":") < 2 or not any(c.isdigit() for c in word):
+        return False
+    try:
+        ipaddress.IPv6Address(word)
+    except ValueError:
+        return False
+    return True
+
+
 def plausible(text: str, span: Span) -> bool:
     """Whether a marked stretch can be of its kind at all."""
     start, kind, stop = span
     part = text[start:stop]
     digits = "".join(c for c in part if "0" <= c <= "9")
     if kind == 0:
-        return bool(re.search(r"[A-Za-z0-9](?:@|[(\[]at[)\]])[A-Za-z0-9]", part)) and "." in part
+        close = bool(re.search(r"[A-Za-z0-9](?:@|[(\[]at[)\]])[A-Za-z0-9]", part)) and "." in part
+        return close or bool(SPELLED.fullmatch(" ".join(part.split())))
     if kind == 1:
-        return any(True for _ in addresses(part))
+        return any(True for _ in addresses(part)) or six_parts(part)
     if kind == 2:
         return 13 <= len(digits) <= 19 and luhn(digits)
     return 9 <= len(digits) <= 15 and not any(c.isalpha() for c in part) and len(set(digits)) > 1 and bool(re.search(r"[0-9][^0-9]+[0-9]", part))
 
 
-def labelled(line: str) -> tuple[str, list[int]]:
-    """The text of a line of the table, and the tag of each of its words."""
+def _pieces(line: str) -> tuple[str, list[Span]]:
+    """The text of a line of the table, and what is marked in it."""
     text, marks = "", []
     for piece in re.split(r"(\{\w+\|[^}]*\})", line):
         mark = re.fullmatch(r"\{(\w+)\|(.*)\}", piece)
         if mark:
             marks.append((len(text), KINDS.index(mark[1]), len(text) + len(mark[2])))
         text += mark[2] if mark else piece
+    return text, marks
+
+
+def marks(line: str) -> list[Span]:
+    """What is marked in a line of the table."""
+    return _pieces(line)[1]
+
+
+def labelled(line: str) -> tuple[str, list[int]]:
+    """The text of a line of the table, and the tag of each of its words."""
+    text, marked = _pieces(line)
     tags, previous = [], None
     for word in WORDS.finditer(text):
-        hit = next((m for m in marks if m[0] < word.end() and word.start() < m[2]), None)
+        hit = next((m for m in marked if m[0] < word.end() and word.start() < m[2]), None)
         tags.append(0 if hit is None else 2 * hit[1] + (2 if hit == previous else 1))
         previous = hit
     return text, tags

@@ -57,4 +57,125 @@ ISBN 978-3-16-148410-0, 2nd edition, 412 pages
 lat 52.5200 lon 13.4050 alt 34
 Look at the end of the road (at the corner) and at the mill.
 he said [sic] that it was (at best) wrong
+Write to {email|mark at example dot com} about it.
+reach me: {email|sue.hall [at] example [dot] org} or not at all
+email {email|jan [at] post.example.net} first
+contact {email|info (at) example (dot) co (dot) uk} by Friday
+mine is {email|lee_ann at mail dot example dot edu} these days
+{email|r2d2 at example dot io} answers at night
+They met at noon at the dot on the map, at least twice.
+Look at example.com or at the dot com boom of the nineties.
+She was good at chess and at dot painting in 1999.
+My cell: {phone|917-555-0143}.
+text {phone|(415) 555-0198} for the code
+contact {phone|020 7946 0958} or come by
+tel no. {phone|303-555-0110} is new
+dial {phone|1-800-555-0175} now
+SSN 078-05-1120 was on the form.
+his ssn: 219-09-9999, he said
+part no. 646-555-0163 is out of stock
+Part 303-555-0175 fits the older model.
+serial 415-555-0132-7 ends the list
+serial no. 702 555 0120 was scratched off
+invoice 212-555-0191 is due on Monday
+Invoice no. 503 555 0106, two pages
+case 646-555-0118 was closed in 2012
+ref. 202-555-0170 in your letter
+item no. 617-555-0104, blue, size 12
+account 305 555 0188 was opened in May
+ticket 773-555-0129 waits for an answer
+tracking no. 913 555 0146 left Memphis
+model no. 804-555-0151 has no lid
+order no. 206-555-0133 shipped in 3 boxes
+The router {ip|2001:db8::8a2e:370:7334} drops packets.
+host {ip|fe80::1ff:fe23:4567:890a} is up
+ping {ip|2001:db8:0:1::53}, it said
+ip {ip|[2001:db8::7]:443} refused
+The clip starts at 12:30:45 and ends at 13:05:10.
+mac 00:1a:2b:3c:4d:5e belongs to the printer
+std::vector and abc::def are not hosts
+John 3:16 and Psalm 23:1 were read
+visa {card|4222.2222.2222.2}, amex {card|3782.822463.10005}
+credit card {card|4111/1111/1111/1111} on file
+Sums: 1234.5678.9012 and 99.1 and 4.1111.2
+account 1234.5678.9012.3456 has no check digit
+Please phone {phone|(718) 555-0164} before ten.
+Our fax is {phone|312-555-0137}, the desk is open till six.
+You may call {phone|404.555.0182} at any hour
+Mobile {phone|0151 555 0122} works best in the evening.
+Telephone {phone|(206) 555-0119}, ask for Ms Wong.
+ring me on {phone|020 7946 0321} tomorrow
+her cell is {phone|619-555-0177} now
+Contact the porter: {phone|(512) 555-0101}
+Text {phone|907-555-0156} to join.
+The number is {phone|(808) 555-0148}; leave a message.
+tel: {phone|0211 555 01 77}
+dial {phone|1-888-555-0129} for sales
+Send mail to {email|tom.b(at)example.net} please
+email {email|office[at]example.co.uk}, not the post
+Address: {email|n.kim(at)cs.example.edu}
+Ask {email|ivan at example dot ru} for a copy.
+write {email|maria [at] example [dot] es} in June
+my mail is {email|kurt99 (at) example (dot) de} still
+{email|ann-lee at news dot example dot org} sent it
+reach them at {email|desk(at)shop.example.com}, they reply
+Use {email|bo [at] mail.example.se} for bills.
+contact {email|press at example dot com} with questions
+server {ip|10.20.30.40:8443} stopped
+ip {ip|172.20.0.3:6379} is the cache
+Connect to {ip|192.168.7.7:3306} from inside.
+we ping {ip|10.0.5.1:161} each minute
+host {ip|2001:db8:85a3::8a2e:370:7334} moved
+The server {ip|fe80::2aa:ff:fe9a:4ca2} answered.
+connect to {ip|2001:db8::a1} today
+Router {ip|[2001:db8::99]:8080} was reset
+Logs of {ip|10.8.0.12:514} are empty, {ip|10.8.0.13:514} fills.
+requests from {ip|192.168.44.2:50022} came in
+ip: {ip|2001:db8:1:2:3:4:5:6}
+My visa {card|4111.1111.1111.1111} was refused.
+Card no. {card|5105.1051.0510.5100}, thanks
+pay by card {card|6011.1111.1111.1117} only
+amex {card|3714.496353.98431} expired
+charge {card|4012.8888.8888.1881} again
+Credit {card|5555.5555.5555.4444} and debit {card|4000.0566.5566.5556}.
+the card {card|3056.930902.5904} is a diners one
+he gave {card|4242.4242.4242.4242} over the line
+Mastercard {card|5200.8282.8282.8210} on file
+SSN 123-45-6789 is an example.
+Her ssn 457-55-5462 leaked in 2014
+part no. 212-555-0147 costs 12 dollars
+serial no. 718-555-0164 is stamped below
+Invoice 404-555-0182 lists 3 goods
+case no. 312-555-0137 goes to court
+The ticket 907-555-0156 was closed at 10:15.
+ref 512-555-0101, see page 12
+tracking 619-555-0177 is in Ohio
+item 808-555-0148 was returned twice
+account no. 206 555 0119 is empty
+order 888-555-0129 will be late
+ISBN 0-306-40615-2 and 978-0-306-40615-7
+We met at the station at nine, at last.
+Look at example.org and at shop.example.com for more.
+At example dot size 3 the print is fine.
+Lap times 01:12:33 and 01:11:59 on 2020-07-05.
+The mac address aa:bb:cc:00:11:22 was blocked.
+foo::bar and std::move in C++20
+Genesis 1:1 to 2:3 in 34 verses
+Release 10.2.0.1.5 of 12/03/2011 fixed 48 bugs.
+pi is 3.14159 26535 89793 23846 and so on
+The score was 21-19, 15-21, 21-18 in 1:04 hours.
+From 1999 to 2004 sales rose 12 345 678 units.
+lat 40.7128 lon -74.0060 at 10 m
+Room 212, floor 5, 0147 on the door
+Population 1 234 567 890 in 2020, 12 % more than in 2010
+sha 3f786850e387550fdab836ed7e6dc881de23001b
+In 2008 the index fell 777.68 points to 10365.45.
+Dates: 2020-01-02 2021-03-04 2022-05-06
+Our fax {phone|646-555-0171} is on all night.
+the hotline is {phone|800-555-0124} now
+her number was {phone|213-555-0186} then
+call us on {phone|020 7946 0777} today
+send it to {email|olga at example dot fi} today
+copy {email|tim-jones at web dot example dot net} on it
+Write {email|al [at] post.example.at} for more.
 """
