@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tillmark.functions import sketches
 from tillmark.functions.dates import week_start
+from tillmark.functions.joins import by_series
 from tillmark.functions.numbers import dollars, money
 from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators import analytics, clean, dashboard, demand, enrich, features, forecast, increments, merge, quality, runlog, star
@@ -125,7 +126,7 @@ def vw04_ml_dataset(t: Tables) -> DataFrame:
     daily = demand.daily_demand_table(t.sales(), t.products(), t.stores(), t.holidays())
     located = daily.join(t.stores().select("store_id", "state"), "store_id")
     weathered = enrich.with_weather(located, t.weather(), "agg_date", "state").drop("state", "weather_condition")
-    return features.ml_dataset(weathered)
+    return _features(t, weathered)
 
 
 @query
@@ -220,7 +221,7 @@ def weekly_demand_wow(t: Tables) -> DataFrame:
 
 @query
 def weekly_demand_product_store(t: Tables) -> DataFrame:
-    return demand.with_week_over_week(demand.weekly_demand(t.sales()))
+    return demand.with_week_over_week(by_series(demand.weekly_demand(t.sales()), demand.SERIES, t.parts()))
 
 
 @query
@@ -256,8 +257,9 @@ def densified_series(t: Tables) -> DataFrame:
     return features.densify(_series_daily(t), SERIES, "total_quantity")
 
 
-def _features(t: Tables) -> DataFrame:
-    return features.ml_dataset(_daily(t))
+def _features(t: Tables, daily: DataFrame | None = None) -> DataFrame:
+    daily = _daily(t) if daily is None else daily
+    return features.ml_dataset(by_series(daily, demand.SERIES, t.parts()))
 
 
 @query
@@ -290,7 +292,7 @@ def feature_export_files(t: Tables) -> DataFrame:
     root = run_dir(t.spark, "export")
     first = t.order_span().first()["first_day"]
     weathered = enrich.with_mean_weather(_daily(t), t.weather(), "agg_date")
-    rows = features.export_rows(features.ml_dataset(weathered), AS_OF, (dt.date.fromisoformat(AS_OF) - first).days)
+    rows = features.export_rows(_features(t, weathered), AS_OF, (dt.date.fromisoformat(AS_OF) - first).days)
     path = lake.export_by_run_date(rows, root, AS_OF)
     back = t.spark.read.schema(T.StructType([*rows.schema, T.StructField("dt", T.StringType())])).option("header", True).csv(path)
     return back.filter(F.col("dt") == AS_OF).groupBy("category", "region").agg(
@@ -352,7 +354,7 @@ def feature_export(t: Tables) -> DataFrame:
     """The export's rows for the whole history, with the mean weather of the day."""
     weathered = enrich.with_mean_weather(_daily(t), t.weather(), "agg_date")
     first = t.order_span().first()["first_day"]
-    return features.export_rows(features.ml_dataset(weathered), AS_OF, (dt.date.fromisoformat(AS_OF) - first).days)
+    return features.export_rows(_features(t, weathered), AS_OF, (dt.date.fromisoformat(AS_OF) - first).days)
 
 
 # -- dashboard ------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmark.functions.joins import lookup
+from tillmark.functions.joins import dealt, lookup, parts_of
 from tillmark.functions.numbers import money
 from tillmark.operators.star import calendar_dim
 
@@ -65,6 +65,10 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.schema(schema_of(name)).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def parts(self) -> int:
+        """Parts that the sales rows are dealt into."""
+        return parts_of(self.raw("lineitem"))
+
     def sales(self, dated: bool = True, cost: bool = False) -> DataFrame:
         """The sales rows.  Date, customer and payment come from the order, cost from the product."""
         lines = self.raw("lineitem").select(
@@ -85,6 +89,8 @@ class Tables:
                 F.col("o_orderdate").cast("date").alias("sale_date"),
                 F.col("o_custkey").alias("customer_id"),
                 F.col("o_orderpriority").alias("payment_method"))
+            # An order has few lines, so no key is hot.
+            lines, orders = dealt(lines, orders, "transaction_id", self.parts())
             lines = lines.join(orders, "transaction_id")
         if cost:
             costs = self.raw("part").select(F.col("p_partkey").alias("product_id"), whole_cents("p_retailprice").alias("unit_cents"))
