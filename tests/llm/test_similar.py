@@ -4,9 +4,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillmark.llm.similar import keep_one_per_similar, similar_groups
+from tillmark.llm import minhash
+from tillmark.llm.similar import SHINGLE, keep_one_per_similar, similar_groups
 
 
 def plain_shingles(text):
@@ -59,6 +61,21 @@ def test_groups_equal_brute_force(copies):
     assert sorted(map(min, groups.values())) == plain_kept([(r.doc_id, r.text) for r in copies.collect()])
 
 
+def test_fingerprints_link_by_themselves(make, monkeypatch):
+    """With one band of all coordinates, the stage still links texts whose fingerprints are two bits apart at most."""
+    monkeypatch.setattr(minhash, "ROWS", 1000)
+    monkeypatch.setattr(minhash, "_alike", lambda percent: F.lit(True))
+    random.seed(3)
+    texts = []
+    for _ in range(10):
+        words = [f"w{random.randint(0, 3000)}" for _ in range(900)]
+        texts += [" ".join([*words[:at], "changed", *words[at + 1:]]) for at in random.sample(range(900), 3)]
+    bits = [minhash.folded(minhash.shingles(t, SHINGLE)) for t in texts]
+    root = {r.doc_id: r.root for r in similar_groups(make([(i, t, "en", "a") for i, t in enumerate(texts)]), "doc_id").collect()}
+    near = [(i, j) for i in range(30) for j in range(i) if i // 3 == j // 3 and (bits[i] ^ bits[j]).bit_count() <= 2]
+    assert len(near) > 5 and all(root[i] == root[j] for i, j in near)
+
+
 def test_a_thousand_near_copies(make):
     """Copies of one text that are partly too far from each other, so that some are linked through others only."""
     random.seed(9)

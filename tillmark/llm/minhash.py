@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm.common import may_hold, per_text, ship, table, text_of
 from tillmark.llm.components import least_reachable
+from tillmark.llm.simhash import folded, near_links
 from tillmark.session import materialised
 
 ship(sys.modules[__name__])
@@ -65,10 +66,10 @@ def signature(hashes: np.ndarray, size: int = ROWS * BANDS) -> np.ndarray:
     return least
 
 
-def prints_of(shingle: int):
-    """Digest, size, bands and sketch (a byte of every coordinate) of texts."""
+def prints_of(shingle: int, simhash: bool = False):
+    """Digest, size, bands and sketch (a byte of every coordinate) of texts, and with ``simhash`` that of the set."""
     def run(texts: pa.Array) -> list[pa.Array]:
-        digests, sizes, bands, sketches = [], [], [], []
+        digests, sizes, bands, sketches, bits = [], [], [], [], []
         for text in texts.to_pylist():
             found = shingles(text, shingle)
             digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
@@ -77,7 +78,9 @@ def prints_of(shingle: int):
             bands.append(np.array([xxhash.xxh64_intdigest(low[i:i + ROWS].tobytes(), i) for i in range(0, len(low), ROWS)],
                                   dtype=np.uint64).view(np.int64) if len(found) else [])
             sketches.append(low.astype(np.uint8).tobytes())
-        return [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            bits.append(folded(found) if simhash else 0)
+        columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+        return columns + ([pa.array(np.array(bits, dtype=np.uint64).view(np.int64))] if simhash else [])
 
     return run
 
@@ -105,6 +108,40 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= F.lit(percent) * (F.size("_left") + F.size("_right") - shared)).select("a", "b")
 
 
+def _sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sketches do not rule the similarity out."""
+    sketches = nodes.select("node", "sketch")
+    return pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("_s")), "a").join(
+        sketches.select(F.col("node").alias("b"), F.col("sketch").alias("_t")), "b").filter(_alike(percent)).select("a", "b")
+
+
+def by_fingerprint(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes with the same SimHash ``bits``, or with fingerprints that :func:`near_links` links.
+
+    The least node stands for a fingerprint; the others with it meet that one.  Pairs whose sizes rule the similarity out
+    are left out, and so are sets without a shingle.
+    """
+    named = nodes.filter("size > 0").select("bits", "node", "size")
+    least = materialised(named.groupBy("bits").agg(F.min(F.struct("node", "size")).alias("_least")).select(
+        "bits", "_least.*"), "least")
+    # Few bytes become 64 rows each: keep them from being read by one task.
+    points = least.select("bits").repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    first, second = (least.select(*[F.col(c).alias(f"{c}_{side}") for c in least.columns]) for side in "ab")
+    near = near_links(points).join(first, F.col("a") == F.col("bits_a")).join(second, F.col("b") == F.col("bits_b")).select(
+        "node_a", "size_a", "node_b", "size_b")
+    same = named.select(F.col("bits").alias("bits_a"), F.col("node").alias("node_b"), F.col("size").alias("size_b")).join(
+        first, "bits_a").filter("node_a != node_b").select("node_a", "size_a", "node_b", "size_b")
+    return near.unionAll(same).filter(_fits("size_a", "size_b", percent)).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes are not of one component yet."""
+    first, second = (roots.select(F.col("node").alias(side), F.col("root").alias(f"_{side}")) for side in "ab")
+    return pairs.join(first, "a", "left").join(second, "b", "left").filter(
+        F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+
+
 def compared(percent: int):
     """Links between the asking rows of a slice of a bucket and the rows whose home it is."""
     def run(rows: pa.Table) -> pa.Table:
@@ -160,7 +197,7 @@ def _left_over(met: DataFrame, centres: DataFrame, roots: DataFrame, nodes: Data
     return materialised(found.distinct(), "more")
 
 
-def jaccard_groups(docs: DataFrame, key: Column, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def jaccard_groups(docs: DataFrame, key: Column, shingle: int = SHINGLE, percent: int = PERCENT, simhash: bool = False) -> DataFrame:
     """``key``, ``size`` (of the set of shingles) and ``root`` of every row; rows of one root are linked, if through others.
 
     Two texts are linked if their sets of word shingles share ``percent`` percent of their union or more.  Equal sets are
@@ -169,20 +206,29 @@ def jaccard_groups(docs: DataFrame, key: Column, shingle: int = SHINGLE, percent
     copies take few pairs and no link is lost.  Pairs whose sizes or sketches rule the similarity out are left out;
     the rest is verified on the full sets.  Sets without a shingle are one node without
     links.  Null texts count as empty, repeated rows come back as often as they came, no rows give no rows.
+
+    With ``simhash`` the sets are linked by their fingerprints first (:func:`by_fingerprint`), confirmed on the full sets;
+    the bands then compare only nodes that these links have not brought together.
     """
     # Ids may be null or come with several texts, so a text is found again by its id and hash.
     rows = docs.select(key.alias("key"), F.struct(key.alias("key"), F.xxhash64(text_of()).alias("hash")).alias("at"), text_of().alias("text"))
-    prints = materialised(per_text(rows, "digest binary, size long, bands array<long>, sketch binary", prints_of(shingle)), "prints")
+    prints = materialised(per_text(rows, "digest binary, size long, bands array<long>, sketch binary" + (", bits long" if simhash else ""),
+                                   prints_of(shingle, simhash)), "prints")
     # Numbers are given while the table is written, so every later read sees the same.
     nodes = materialised(prints.groupBy("digest").agg(
         F.min("at").alias("at"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+        *([F.first("bits").alias("bits")] if simhash else []),
     ).withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     bands = nodes.select("node", "size", F.explode("bands").alias("band"))
     shared = materialised(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "shared")
     met = may_hold(bands, F.col("band"), shared, F.col("band")).join(shared.hint("merge"), "band")
     met = materialised(met.withColumn("turn", F.struct(F.xxhash64("node").alias("hash"), F.col("node").alias("node"), F.col("size").alias("size"))), "met")
-    wanted = materialised(met.select("node").distinct().join(nodes.select("node", "at"), "node"), "wanted")
+    members = met.select("node")
+    if simhash:
+        close = materialised(_sketched(by_fingerprint(nodes, percent), nodes, percent), "close")
+        members = members.unionAll(close.select("a")).unionAll(close.select("b"))
+    wanted = materialised(members.distinct().join(nodes.select("node", "at"), "node"), "wanted")
     texts = may_hold(rows.select("at", "text"), F.xxhash64("at"), wanted, F.xxhash64("at")).join(wanted, "at").dropDuplicates(["node"])
     sets = materialised(per_text(texts.select("node", "text"), "members array<long>", lambda found: [
         pa.array([shingles(t, shingle).view(np.int64) for t in found.to_pylist()], pa.list_(pa.int64()))]), "sets")
@@ -192,10 +238,12 @@ def jaccard_groups(docs: DataFrame, key: Column, shingle: int = SHINGLE, percent
         "band", F.col("centre.node").alias("_node"), F.col("centre.size").alias("_size")), "centres")
     pairs = met.join(centres, "band").filter((F.col("node") != F.col("_node")) & _fits("size", "_size", percent)).select(
         F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
-    sketches = nodes.select("node", "sketch")
-    pairs = materialised(pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("_s")), "a").join(
-        sketches.select(F.col("node").alias("b"), F.col("sketch").alias("_t")), "b").filter(_alike(percent)).select("a", "b"), "pairs")
-    links = materialised(_verified(pairs, sets, percent), "links")
+    if simhash:
+        near = materialised(_verified(close, sets, percent), "near")
+        pairs = _apart(pairs, materialised(least_reachable(near), "roots"))
+    pairs = materialised(_sketched(pairs, nodes, percent), "pairs")
+    links = _verified(pairs, sets, percent)
+    links = materialised(links.unionAll(near) if simhash else links, "links")
     roots = materialised(least_reachable(links), "roots")
     more = _left_over(met, centres, roots, nodes, sets, percent)
     if not more.isEmpty():

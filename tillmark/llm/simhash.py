@@ -26,8 +26,17 @@ RADIUS = 2
 BUCKET = 32
 
 
+def folded(hashes: np.ndarray) -> int:
+    """SimHash of shingle hashes: a bit is set if over half of them have it."""
+    counts = np.zeros(BITS, dtype=np.int64)
+    for part in range(0, len(hashes), 65536):  # bounded memory however long the text
+        rows = hashes[part:part + 65536].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """SimHash of a text's word shingles: a bit is set if over half the shingle hashes have it; 0 without a word."""
+    """SimHash of a text's word shingles; 0 without a word."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and ASCII white space only
     if not words:
         return 0
@@ -35,12 +44,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
         grams = [b" ".join(words)]
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    hashes = np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], dtype="<u8")
-    counts = np.zeros(BITS, dtype=np.int64)
-    for part in range(0, len(hashes), 65536):  # bounded memory however long the text
-        rows = hashes[part:part + 65536].view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return folded(np.array([xxhash.xxh64_intdigest(g, SEED) for g in grams], dtype="<u8"))
 
 
 def simhashes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
