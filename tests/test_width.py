@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tillmark.operators import demand
 from tillmark.plans import queries
 from tillmark.plans.tables import Tables, schema_of
@@ -31,3 +33,15 @@ def test_sales_and_series_are_dealt_by_the_size_of_the_lines(spark, tmp_path, mo
         assert rows(weekly(), "week_start", *demand.SERIES, "total_quantity", "total_orders", "prev_week_qty") == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_micro_batch_comes_in_several_parts(spark, tmp_path):
+    events = [(None if i % 10 == 0 else i % 700, DAY + dt.timedelta(minutes=i), i % 9, "view", 1.0, '{"k": "3"}') for i in range(3000)]
+    spark.createDataFrame(events, schema_of("events")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    t, seen = Tables(spark, str(tmp_path)), []
+    stream = queries._out_of_order(t, batches=3, part_bytes=2000)
+    writer = stream.writeStream.foreachBatch(lambda batch, _: seen.append(
+        [n for n, in batch.groupBy(F.spark_partition_id()).count().select("count").collect()]))
+    writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    assert sum(map(sum, seen)) == 3000 and 1 < len(seen) <= 3
+    assert all(len(parts) > 1 and max(parts) <= 2 * min(parts) for parts in seen)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tillmark.functions import sketches
 from tillmark.functions.dates import week_start
-from tillmark.functions.joins import by_series
+from tillmark.functions.joins import by_series, known_bytes
 from tillmark.functions.numbers import dollars, money
 from tillmark.functions.ordering import first_per_key, numbered_after
 from tillmark.operators import analytics, clean, dashboard, demand, enrich, features, forecast, increments, merge, quality, runlog, star
@@ -897,13 +897,19 @@ def _utc(instant: str):
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(instant).cast("timestamp_ntz"))
 
 
-def _out_of_order(t: Tables, files: int = 3) -> DataFrame:
-    """The event stream in several files that each hold events of all times, one file a micro-batch."""
+def _out_of_order(t: Tables, batches: int = 3, part_bytes: int = 1_500_000) -> DataFrame:
+    """The event stream in several micro-batches that each hold events of all times.
+
+    A micro-batch comes in as many parts as the stored table needs at ``part_bytes`` each, since a task that reads a part
+    holds its events as JSON, some forty times as wide; files alone would be packed into fewer tasks as they are read.
+    """
     path = run_dir(t.spark, "out-of-order")
+    parts = max(1, -(-known_bytes(t.raw("events")) // (batches * part_bytes)))
     local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts"))
     events = t.events().withColumn("ts", local.cast("timestamp"))
-    events.repartition(files, F.xxhash64("event_id")).write.parquet(path)
-    return t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    events.repartition(batches * parts, F.xxhash64("event_id")).write.parquet(path)
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", parts).parquet(path)
+    return stream.repartition(parts) if parts > 1 else stream
 
 
 @query
