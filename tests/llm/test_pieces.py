@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 import sentencepiece
 
-from tillmark.llm.pieces import MODEL_FILE, SPACE, Chunk, Encoder, composed, decode, encode, resolved, words
+from tillmark.llm import pieces
+from tillmark.llm.pieces import MODEL_FILE, SPACE, Chunk, Encoder, composed, decode, encode, encode_decode, resolved, words
 
 pytestmark = pytest.mark.skipif(not os.path.isfile(MODEL_FILE), reason="no vocabulary")
 PARTS = ["a", "b", " ", "-", "=", "the", "ing", "é", "漢", "😀", "\n", "  ", "1", "<0x0A>", "International", "aaaa", SPACE]
@@ -65,6 +66,25 @@ def test_tables_equal_the_library_and_come_back(odd, library, chunk, fan):
         assert r.text in texts[r.doc_id] and r.ids == library.encode(r.text)
 
 
+def test_one_pass_gives_the_rows_of_two(odd):
+    both, two = encode_decode(odd), decode(encode(odd))
+    assert both.schema.names == two.schema.names and sorted(map(str, both.collect())) == sorted(map(str, two.collect()))
+
+
+def test_a_task_of_the_pipeline_has_one_python_worker_for_both(odd, spark, capsys):
+    import corpus_pipeline
+    corpus_pipeline.tokens(spark, odd.filter("length(text) < 100"), "").explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
+def test_steps_are_not_kept_without_end(encoder, library, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE", 50)
+    text = "".join(random.Random(5).choice("abcdefgh漢字") for _ in range(400))
+    assert by_chunks(encoder, text, 40) == library.encode(text)
+    encoder.transfer(Chunk("", SPACE + "a", "", True, True))
+    assert len(encoder.steps) <= 50
+
+
 def test_no_rows_and_no_ids(none, spark):
     assert encode(none).isEmpty()
     empty = decode(spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>"))

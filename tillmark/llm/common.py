@@ -31,6 +31,9 @@ FILTER_BITS = 26
 #: Rows that Python works on at a time.
 SLICE = 500
 
+#: Bytes that Spark hands to Python at a time, or one row if that has more.
+BATCH = 2 << 20
+
 #: Rows whose id hashes to this remainder are held out when a model is fitted.
 FOLDS = 5
 
@@ -99,6 +102,14 @@ def may_hold(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column
     return found.select(*[F.col(c) for c in rows.columns])
 
 
+def in_small_batches(spark: SparkSession) -> None:
+    """From now on the session hands rows to Python in batches of ``BATCH`` bytes.
+
+    Spark's own bound is 64 MB, which the executor, Python and what Python makes of it hold in every task.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batches in smaller ones, to bound what Python holds of them at a time."""
     for batch in batches:
@@ -112,6 +123,7 @@ def per_text(rows: DataFrame, added: str, function: Callable[[pa.Array], list[pa
     ``function`` gets the texts of a batch and returns one array for each added column.
     All other columns pass through untouched, but for those whose names are needed.
     """
+    in_small_batches(rows.sparkSession)
     fields = StructType.fromDDL(added)
     keep = [c for c in rows.columns if c.lower() not in ("text", *(f.name.lower() for f in fields))]
     schema = rows.select(*keep).schema

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import held_out, on_workers, per_text, ship, sliced, table
+from tillmark.llm.common import held_out, in_small_batches, on_workers, per_text, ship, sliced, table
 
 ship(sys.modules[__name__])
 
@@ -144,6 +144,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -
 
     If no language can be learned, as no row outside the held-out fold has one, all texts with a letter stay.
     """
+    in_small_batches(docs.sparkSession)
     model = fitted(docs, sample)
 
     def stays(text: str | None) -> bool:

@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import on_workers, per_text, ship, sliced, table, text_of
+from tillmark.llm.common import in_small_batches, on_workers, per_text, ship, sliced, table, text_of
 from tillmark.session import materialised
 
 ship(sys.modules[__name__])
@@ -24,7 +24,7 @@ CHUNK = 32_768
 FAN = 64
 #: Chunks that Python holds at a time.
 CHUNKS = 32
-#: Words kept between batches of a task.
+#: Words, and steps between pieces, kept between batches of a task.
 CACHE = 50_000
 SPACE = "▁"
 #: Appended to a serialised model: the normaliser's field that puts a space before a text, set to false (the last value counts).
@@ -122,6 +122,7 @@ class Encoder:
 
     def transfer(self, chunk: Chunk) -> list[tuple[tuple[int, int], tuple[int, int]]]:
         """The pairs of states before and after a chunk that a way leads from and to: the zeros of its matrix."""
+        self._forget()
         text, first, stop = chunk.text, chunk.first, chunk.stop
         resets = chunk.resets()
         entries = [EDGE] if chunk.opens else self.states(text, first)
@@ -147,6 +148,7 @@ class Encoder:
 
     def chunk(self, chunk: Chunk, entry: tuple[int, int], leave: tuple[int, int]) -> bytes:
         """Ids of the pieces that start in a chunk, between two known states."""
+        self._forget()
         text, first, stop = chunk.text, chunk.first, chunk.stop
         resets = chunk.resets()
         begin, last = first + entry[1], text[first - entry[0]:first + entry[1]]
@@ -168,6 +170,10 @@ class Encoder:
             ids = [i for w in self.library.encode(self.back(text, found, begin, *end), num_threads=1) for i in w]
         return np.array(ids, dtype="<i4").tobytes()
 
+    def _forget(self) -> None:
+        if len(self.steps) > CACHE:
+            self.steps = {}
+
     @staticmethod
     def _only(found: dict[int, dict[int, int]], end: int) -> tuple[int, int]:
         return next(iter(found[end])), end
@@ -268,6 +274,7 @@ def _encode_giants(texts: DataFrame, encoder, chunk: int, fan: int) -> DataFrame
     states around the whole text are known, so those around its parts are, level by
     level.  Then every chunk is encoded between its two states.
     """
+    in_small_batches(texts.sparkSession)
     # Of a piece across a cut, all but one code point may lie on either side.
     context = encoder().longest - 1
     bodies = F.regexp_extract_all(F.concat(F.lit(SPACE), F.translate("text", " ", SPACE)), F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
@@ -350,18 +357,34 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, chunk: int = CHUNK, fa
     Null texts count as empty and have no ids.  Repeated rows get equal results; a column
     named ``ids`` is replaced; other columns pass through; no rows give no rows.
     """
+    return _encoded(docs, model_file, chunk, fan, False)
+
+
+def encode_decode(docs: DataFrame, model_file: str = MODEL_FILE, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
+    """``docs`` with ``ids`` and ``text`` as :func:`decode` of :func:`encode` gives them, by one Python worker a task.
+
+    With both one behind the other every task has two workers, each with a vocabulary, and the ids go to Python a second time.
+    """
+    return _encoded(docs, model_file, chunk, fan, True)
+
+
+def _encoded(docs: DataFrame, model_file: str, chunk: int, fan: int, back: bool) -> DataFrame:
     encoder = load(docs.sparkSession, model_file)
+
+    def coded(texts: pa.Array) -> list[pa.Array]:
+        ids = encoder().whole(texts.to_pylist())
+        return [_listed(ids), *([pa.array([encoder().text(i) for i in ids], pa.string())] if back else [])]
+
     rest = F.struct(*[F.col(c) for c in docs.columns if c.lower() not in ("text", "ids")])
     rows = docs.select(rest.alias("_row"), text_of().alias("text"))
-    short = per_text(rows.filter(F.length("text") <= chunk), "ids array<int>",
-                     lambda texts: [_listed(encoder().whole(texts.to_pylist()))])
+    short = per_text(rows.filter(F.length("text") <= chunk), "ids array<int>" + ", text string" * back, coded)
     giant = rows.filter(F.length("text") > chunk).withColumn("sha", F.sha2("text", 256))
     distinct = giant.select("sha", "text").dropDuplicates(["sha"])
     result = short
     if not giant.isEmpty():
-        result = short.unionByName(giant.drop("text").join(
-            _encode_giants(distinct, encoder, chunk, fan), "sha").select("_row", "ids"))
-    return result.select("_row.*", "ids")
+        whole = giant.drop("text").join(_encode_giants(distinct, encoder, chunk, fan), "sha").select("_row", "ids")
+        result = short.unionByName(decode(whole, model_file) if back else whole)
+    return result.select("_row.*", "ids", *["text"] * back)
 
 
 def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
@@ -370,6 +393,7 @@ def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     The text is the encoded one but for U+2581, which the vocabulary takes for a space;
     bytes that are no UTF-8 become U+FFFD.
     """
+    in_small_batches(encoded.sparkSession)
     encoder = load(encoded.sparkSession, model_file)
     keep = [c for c in encoded.columns if c.lower() != "text"]
     schema = encoded.select(*keep).schema.add("text", "string")
