@@ -122,6 +122,61 @@ def at_once(spark, events):
     return ingest.validated(raw(spark, events)).withColumn("ingested_at", F.lit("2023-06-15 23:30:00").cast("timestamp"))
 
 
+def test_executors_keep_nothing_of_a_batch(lab, spark, monkeypatch):
+    """It lies in a folder while it is written, also if that failed before."""
+    kept, add = [], keyindex.KeyIndex.add
+    held = lambda: len(spark.sparkContext._jsc.getPersistentRDDs())
+    before = held()
+
+    def watched(self, rows, load):
+        kept.append((held(), len(list((lab.root / "events__staged").glob("one-0/*")))))
+        if len(kept) == 1:
+            raise OSError("lost")
+        return add(self, rows, load)
+
+    monkeypatch.setattr(keyindex.KeyIndex, "add", watched)
+    for n in range(2):
+        try:
+            lab.sink.write(at_once(spark, [event(1), event(1, event_timestamp="2023-06-14T10:00:00Z"), event(2, price=-1), "{broken"]), 0, "one")
+        except OSError:
+            assert n == 0
+    assert set(kept) == {(before, 2)}
+    assert lab.ids() == ["E1"] and lab.rejected() == ["malformed_json", "negative_price"]
+    assert sorted(r[0] for r in spark.read.parquet(lab.sink.quarantine).select("value").collect()) == sorted([json.dumps(event(2, price=-1)), "{broken"])
+    assert spark.read.parquet(lab.sink.table).select(F.dayofmonth("event_timestamp")).first()[0] == 14
+    assert not list((lab.root / "events__staged").glob("*"))
+
+
+def test_a_micro_batch_of_files_is_bound_by_bytes(lab, spark):
+    sizes = []
+    for n in range(4):
+        lab.deliver(f"{n}.json", [event(i) for i in range(n * 10, n * 10 + 10)])
+    two = 2 * (lab.root / "in" / "3.json").stat().st_size + 50
+    for most in (two, 1):  # one file at least
+        seen = []
+        source = streams.json_line_events(spark, str(lab.root / "in"), max_bytes=most)
+        writer = source.writeStream.foreachBatch(lambda batch, _, seen=seen: seen.append(batch.count()))
+        writer.option("checkpointLocation", str(lab.root / f"c{most}")).trigger(availableNow=True).start().awaitTermination()
+        sizes.append(seen)
+    assert sizes == [[20, 20], [10, 10, 10, 10]]
+
+
+def test_many_ids_meet_the_index_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyindex, "LITERALS", 10)
+    index = keyindex.KeyIndex(str(tmp_path / "ids"), ("event_id",))
+    ids = lambda first, last: spark.range(first, last).select(F.format_string("E%d", "id").alias("event_id"))
+    index.add(ids(0, 500), "a")
+    monkeypatch.setattr(keyindex, "parts_of", lambda stored: 7)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = index.unseen(ids(400, 900))
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("hashpartitioning(event_id#") == sum(", 7), " in line for line in plan.splitlines()) == 2
+        assert sorted(r[0] for r in fresh.collect()) == sorted(f"E{n}" for n in range(500, 900))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_an_id_that_comes_back_much_later_is_known(lab, spark):
     for n in range(20):  # enough for the runs of the index to be merged
         lab.sink.write(at_once(spark, [event(n), event(0, event_timestamp=f"20{30 + n}-01-01T00:00:00Z")]), n)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillmark.operators import demand
 from tillmark.plans import queries
 from tillmark.plans.tables import Tables, schema_of
+from tillmark.streaming import events as ingest
 
 DAY = dt.datetime(2000, 1, 3)
 
@@ -45,3 +46,19 @@ def test_a_micro_batch_comes_in_several_parts(spark, tmp_path):
     writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     assert sum(map(sum, seen)) == 3000 and 1 < len(seen) <= 3
     assert all(len(parts) > 1 and max(parts) <= 2 * min(parts) for parts in seen)
+
+
+def test_a_restarted_ingestion_takes_files_in_several_micro_batches(spark, tmp_path, monkeypatch, rows):
+    """With the result of one for each delivery, though ids repeat and their rows differ."""
+    events = [(None if i % 10 == 0 else i % 700, DAY + dt.timedelta(minutes=i), i % 9, "view", float(i), '{"k": "3"}') for i in range(3000)]
+    spark.createDataFrame(events, schema_of("events")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    written, write = [], ingest.EventSink.write
+    monkeypatch.setattr(ingest.EventSink, "write", lambda self, batch, *rest: (written.append(batch.count()), write(self, batch, *rest)))
+    run = lambda: rows(queries.stream_restarted(Tables(spark, str(tmp_path))), "event_type", "events", "ids", "total_price")
+    want = run()
+    assert len(written) == 3 and sum(written) == 6000 and want[0][1] == want[0][2] == 630
+    written.clear()
+    monkeypatch.setattr(queries, "parts_of", lambda stored, part_bytes: 6)
+    monkeypatch.setattr(queries, "BATCH_BYTES", 300_000)
+    assert run() == want
+    assert len(written) > 5 and sum(written) == 6000

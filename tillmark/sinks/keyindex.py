@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmark.functions.joins import fits_broadcast, parts_of
 from tillmark.sinks.lake import _hadoop_path, path_exists
 
 #: Up to so many keys are looked up as literals, which Parquet's statistics and bloom filters can use.  The session
@@ -142,7 +143,8 @@ class KeyIndex:
     def unseen(self, rows: DataFrame) -> DataFrame:
         """The rows whose key is not in the index; keys must not be null.
 
-        Few rows are looked up by the literal hashes of their keys; more are joined with all entries.
+        Few rows are looked up by the literal hashes of their keys; more are joined with all entries, in parts of
+        their stored size, so that tasks do not grow with the index.
         """
         spark = rows.sparkSession
         entries = self.entries(spark, rows.schema)
@@ -153,6 +155,10 @@ class KeyIndex:
             known = F.broadcast(entries.filter(F.col("key_hash").isin(hashes)).select(*self.keys))
         else:
             known = entries.select(*self.keys)
+            parts = parts_of(entries)
+            # A key has one row and few entries, so none is hot.
+            if parts > 1 and not fits_broadcast(known):
+                rows, known = rows.repartition(parts, *self.keys), known.repartition(parts, *self.keys)
         return rows.join(known, list(self.keys), "left_anti")
 
     def _write(self, entries: DataFrame, level: int, run: str) -> None:

@@ -18,9 +18,14 @@ def kafka_events(spark: SparkSession, servers: str, topic: str, max_per_batch: i
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def json_line_events(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Events from a folder of line-delimited JSON files."""
+def json_line_events(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Events from a folder of line-delimited JSON files.
+
+    A micro-batch takes ``max_files`` of them at most, or as many as have ``max_bytes`` together and one at least.
+    """
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path).select("value")

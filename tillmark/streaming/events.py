@@ -21,7 +21,7 @@ from tillmark.functions.dates import parse_event_time
 from tillmark.functions.ordering import first_per_key
 from tillmark.operators.merge import read_if_exists
 from tillmark.schemas import EVENT_COLUMNS, EVENT_TYPES, RAW_EVENT
-from tillmark.sinks.keyindex import KeyIndex, one_writer
+from tillmark.sinks.keyindex import KeyIndex, _delete, one_writer
 from tillmark.sinks.packing import packed_batches
 from tillmark.sources.files import with_day_columns
 
@@ -72,12 +72,21 @@ def normalised(events: DataFrame, *extra: str) -> DataFrame:
     return events.select(*[typed.get(c, F.col(c)).alias(c) for c in EVENT_COLUMNS], *extra)
 
 
+def _staged(rows: DataFrame, path: str) -> DataFrame:
+    """The rows, computed once into a folder."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class EventSink:
     """Where a micro-batch goes.
 
     A batch's event ids are looked up in an index of all ids beside the table, which also finds one that comes back
     with another time, however late; the table itself is not read.  Queries that share a table take turns.
+
+    While a batch is written, its events and the first one of each id lie in a folder beside the table, so it is read,
+    parsed and sorted once and executors keep none of it in memory.  A replay writes that folder anew.
     """
 
     table: str
@@ -91,18 +100,21 @@ class EventSink:
     def write(self, batch: DataFrame, batch_id: int, stream: str = "stream") -> None:
         """``stream`` tells queries apart that share the sink: batch ids start anew with every checkpoint."""
         load = f"{stream}-{batch_id}"
-        batch = batch.withColumn("batch", F.lit(load)).persist()
+        staged = f"{self.table}__staged/{load}"
         try:
+            # The text of a valid event is in its fields.
+            text = F.when(F.col("reject_reason").isNotNull(), F.col("value"))
+            batch = _staged(batch.withColumn("value", text), f"{staged}/events").withColumn("batch", F.lit(load))
             valid = normalised(batch.filter("reject_reason is null"), "ingested_at", "batch")
             self._quarantine(batch.filter("reject_reason is not null"))
             self._append_raw(valid)
             rows = first_per_key(valid.drop("batch"), ["event_id"], ["event_timestamp"])
             rows = rows.withColumnRenamed("ingested_at", "load_timestamp").withColumn("event_date", F.to_date("event_timestamp"))
+            rows = _staged(rows, f"{staged}/rows")
             with one_writer(batch.sparkSession, self.table, stream):
-                self._insert(rows.persist(), load)
-            rows.unpersist()
+                self._insert(rows, load)
         finally:
-            batch.unpersist()
+            _delete(batch.sparkSession, staged)
 
     def _insert(self, rows: DataFrame, load: str) -> None:
         """New event ids only.
