@@ -266,7 +266,7 @@ def _listed(values: list[bytes]) -> pa.Array:
     return kind.from_arrays(pa.array(offsets, pa.int64() if kind is pa.LargeListArray else pa.int32()), pa.array(np.frombuffer(b"".join(values), dtype="<i4"))).cast(pa.list_(pa.int32()))
 
 
-def _encode_giants(texts: DataFrame, encoder, chunk: int, fan: int) -> DataFrame:
+def _encode_giants(texts: DataFrame, encoder, longest: int, chunk: int, fan: int) -> DataFrame:
     """``sha`` and ``ids`` of distinct texts (``sha``, ``text``), each cut into chunks that are worked on apart.
 
     Up: every chunk gives the matrix of the states a way can lead from and to; the
@@ -276,7 +276,7 @@ def _encode_giants(texts: DataFrame, encoder, chunk: int, fan: int) -> DataFrame
     """
     in_small_batches(texts.sparkSession)
     # Of a piece across a cut, all but one code point may lie on either side.
-    context = encoder().longest - 1
+    context = longest - 1
     bodies = F.regexp_extract_all(F.concat(F.lit(SPACE), F.translate("text", " ", SPACE)), F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
     chunks = materialised(
         texts.select("sha", bodies.alias("bodies"))
@@ -342,9 +342,13 @@ def _encode_giants(texts: DataFrame, encoder, chunk: int, fan: int) -> DataFrame
 
 
 def load(spark: SparkSession, model_file: str = MODEL_FILE):
-    """A function that gives tasks the encoder."""
+    """A function that gives tasks the encoder, and the length of the longest piece.
+
+    Unpacked on the driver, a class that is sent by value would take the place of this module's.
+    """
     with open(model_file, "rb") as file:
-        return on_workers(spark, Encoder(file.read()))
+        own = Encoder(file.read())
+    return on_workers(spark, own), own.longest
 
 
 def encode(docs: DataFrame, model_file: str = MODEL_FILE, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
@@ -369,7 +373,7 @@ def encode_decode(docs: DataFrame, model_file: str = MODEL_FILE, chunk: int = CH
 
 
 def _encoded(docs: DataFrame, model_file: str, chunk: int, fan: int, back: bool) -> DataFrame:
-    encoder = load(docs.sparkSession, model_file)
+    encoder, longest = load(docs.sparkSession, model_file)
 
     def coded(texts: pa.Array) -> list[pa.Array]:
         ids = encoder().whole(texts.to_pylist())
@@ -382,7 +386,7 @@ def _encoded(docs: DataFrame, model_file: str, chunk: int, fan: int, back: bool)
     distinct = giant.select("sha", "text").dropDuplicates(["sha"])
     result = short
     if not giant.isEmpty():
-        whole = giant.drop("text").join(_encode_giants(distinct, encoder, chunk, fan), "sha").select("_row", "ids")
+        whole = giant.drop("text").join(_encode_giants(distinct, encoder, longest, chunk, fan), "sha").select("_row", "ids")
         result = short.unionByName(decode(whole, model_file) if back else whole)
     return result.select("_row.*", "ids", *["text"] * back)
 
@@ -394,7 +398,7 @@ def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     bytes that are no UTF-8 become U+FFFD.
     """
     in_small_batches(encoded.sparkSession)
-    encoder = load(encoded.sparkSession, model_file)
+    encoder, _ = load(encoded.sparkSession, model_file)
     keep = [c for c in encoded.columns if c.lower() != "text"]
     schema = encoded.select(*keep).schema.add("text", "string")
 
